@@ -10,6 +10,7 @@ import importlib
 
 PLAN_MODULES = [
     "leafline.plans.audit_plans",
+    "leafline.plans.text_plans",
 ]
 
 
