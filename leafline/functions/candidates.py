@@ -29,16 +29,17 @@ def _compact_nulls(arr: Column) -> Column:
     return F.filter(arr, lambda c: c.isNotNull())
 
 
-def dedupe_candidates(arr: Column) -> Column:
+def dedupe_candidates(arr: Column, strip: bool = False) -> Column:
     """A5: key = stripped text; empty keys dropped; first kind wins.
 
-    A left fold that keeps the first element per key."""
-    stripped = F.filter(
-        F.transform(arr, lambda c: F.struct(py_strip(c["text"]).alias("text"), c["kind"].alias("kind"))),
-        lambda c: c["text"] != "",
-    )
+    A left fold that keeps the first element per key.  The generators here
+    build every candidate from the already stripped value, so stripping
+    again is skipped unless ``strip`` (for candidate arrays from elsewhere)."""
+    if strip:
+        arr = F.transform(arr, lambda c: F.struct(py_strip(c["text"]).alias("text"), c["kind"].alias("kind")))
+    nonempty = F.filter(arr, lambda c: c["text"] != "")
     return F.aggregate(
-        stripped,
+        nonempty,
         F.array().cast(CAND_T),
         lambda acc, c: F.when(F.exists(acc, lambda a: a["text"] == c["text"]), acc).otherwise(
             F.array_append(acc, c)
@@ -94,7 +95,7 @@ def month_variants(v: Column) -> list[Column]:
     mon_txt = F.lower(F.regexp_extract(v, pat, 1))
     mon = F.array_position(F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS]), mon_txt)
     day = F.regexp_extract(v, pat, 2).try_cast("int")
-    ok = v.rlike(pat) & (mon > 0) & day.isNotNull()
+    ok = (F.length(v) <= 16) & v.rlike(pat) & (mon > 0) & day.isNotNull()
     mm = F.lpad(mon.cast("string"), 2, "0")
     dd = F.lpad(day.cast("string"), 2, "0")
     return [
@@ -110,7 +111,7 @@ def slash_date_variants(v: Column) -> list[Column]:
     pat = "(?U)^(\\d{1,2})/(\\d{1,2})$"
     mon = F.regexp_extract(v, pat, 1).try_cast("int")
     day = F.regexp_extract(v, pat, 2).try_cast("int")
-    ok = v.rlike(pat) & mon.between(1, 12) & day.isNotNull()
+    ok = (F.length(v) <= 5) & v.rlike(pat) & mon.between(1, 12) & day.isNotNull()
     name = F.element_at(F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS]), F.when(ok, mon).otherwise(F.lit(1)))
     dd = F.lpad(day.cast("string"), 2, "0")
     return [

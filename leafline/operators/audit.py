@@ -49,9 +49,7 @@ def candidate_leaves(records: DataFrame, key: str, json_col: str = "json", max_d
     per-record group-by and the join with the texts reuse this partitioning
     (records are smaller than their exploded leaves, so this is the cheapest
     place for the one exchange on the record side)."""
-    if by_key:
-        records = records.repartition(work_partitions(records), key)
-    leaves = flatten_leaves(records, [key], json_col, max_depth)
+    leaves = flatten_leaves(records, [key], json_col, max_depth, spread=by_key)
     return leaves.withColumn(
         "candidates", leaf_candidates(F.col("kind"), F.col("value"), F.col("value_text"), legacy_zero_strip)
     ).drop("value")

@@ -26,8 +26,13 @@ def _as_arr(v: Column) -> Column:
     return F.try_variant_get(v, "$", ARR_T)
 
 
-def _node(path: Column, v: Column) -> Column:
-    return F.struct(path.alias("path"), v.alias("v"))
+def _node(path: Column, v: Column, keep_arrays: bool) -> Column:
+    """A node carries its container tag, computed once when it is created:
+    'o' object, 'a' array (only when arrays are opened), 's' anything else."""
+    tag = F.when(_as_map(v).isNotNull(), F.lit("o"))
+    if not keep_arrays:
+        tag = tag.when(_as_arr(v).isNotNull(), F.lit("a"))
+    return F.struct(path.alias("path"), v.alias("v"), tag.otherwise(F.lit("s")).alias("t"))
 
 
 def _child_path(prefix: Column, key: Column) -> Column:
@@ -36,39 +41,39 @@ def _child_path(prefix: Column, key: Column) -> Column:
 
 def _expand(n: Column, keep_arrays: bool) -> Column:
     """One level: an object/array node becomes its children, a scalar stays."""
-    obj = F.transform(F.map_entries(_as_map(n["v"])), lambda e: _node(_child_path(n["path"], e["key"]), e["value"]))
-    if keep_arrays:
-        return F.coalesce(obj, F.array(n))
-    arr = F.transform(
-        _as_arr(n["v"]),
-        lambda x, i: _node(F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")), x),
+    obj = F.transform(
+        F.map_entries(_as_map(n["v"])),
+        lambda e: _node(_child_path(n["path"], e["key"]), e["value"], keep_arrays),
     )
-    return F.coalesce(obj, arr, F.array(n))
-
-
-def _is_container(v: Column, keep_arrays: bool) -> Column:
-    if keep_arrays:
-        return _as_map(v).isNotNull()
-    return _as_map(v).isNotNull() | _as_arr(v).isNotNull()
+    out = F.when(n["t"] == "o", obj)
+    if not keep_arrays:
+        arr = F.transform(
+            _as_arr(n["v"]),
+            lambda x, i: _node(F.concat(n["path"], F.lit("["), i.cast("string"), F.lit("]")), x, keep_arrays),
+        )
+        out = out.when(n["t"] == "a", arr)
+    return out.otherwise(F.array(n))
 
 
 def leaf_array(v: Column, max_depth: int = 8, keep_arrays: bool = False) -> Column:
-    """Array of (path, v) for every leaf of variant ``v``.
+    """Array of (path, v, t) for every leaf of variant ``v``.
 
     Paths are ``a.b[0].c``.  Empty objects and arrays yield nothing; JSON
-    null is a leaf.  With ``keep_arrays`` arrays are leaves themselves (F3)."""
-    level = F.array(_node(F.lit(""), v))
+    null is a leaf.  With ``keep_arrays`` arrays are leaves themselves (F3).
+    Each node is typed once; later levels only read its tag."""
+    level = F.array(_node(F.lit(""), v, keep_arrays))
     for _ in range(max_depth):
         level = F.flatten(F.transform(level, lambda n: _expand(n, keep_arrays)))
     return level
 
 
-def scalar_kind(v: Column) -> Column:
+def scalar_kind(v: Column, t: Column | None = None) -> Column:
     """Python-side type a JSON scalar would load as: bool/int/float/str/null.
 
     VARIANT keeps integers as integer types and decimals with a point as
-    DECIMAL/DOUBLE; an integer beyond 64 bits arrives as DECIMAL(p,0), p>=19."""
-    t = F.schema_of_variant(v)
+    DECIMAL/DOUBLE; an integer beyond 64 bits arrives as DECIMAL(p,0), p>=19.
+    ``t`` may carry an already computed ``schema_of_variant(v)``."""
+    t = F.schema_of_variant(v) if t is None else t
     return (
         F.when(t == "BOOLEAN", F.lit("bool"))
         .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("int"))
@@ -81,14 +86,29 @@ def scalar_kind(v: Column) -> Column:
     )
 
 
-def value_text(v: Column, kind: Column) -> Column:
+def _short_decimal_text(v: Column, t: Column) -> Column:
+    """Python repr of a float that VARIANT holds as a DECIMAL of at most 15
+    digits with magnitude 0 or in [1e-4, 1e16): the decimal's own digits
+    (those round-trip, so they are the shortest form), '.0' if integral.
+    NULL when the fast form does not apply."""
+    prec = F.regexp_extract(t, "^DECIMAL\\(([0-9]+),", 1).try_cast("int")
+    s = v.cast("string")
+    d = F.variant_get(v, "$", "double")
+    ok = (prec <= 15) & ((d == 0) | (F.abs(d) >= 1e-4))
+    return F.when(ok, F.when(s.contains("."), s).otherwise(F.concat(s, F.lit(".0"))))
+
+
+def value_text(v: Column, kind: Column, t: Column | None = None) -> Column:
     """Readable text of a scalar leaf: the string itself, Python repr of a
     number, ``true``/``false``; JSON for containers, NULL for null."""
     from leafline.functions.numbers import py_float_repr
 
+    t = F.schema_of_variant(v) if t is None else t
+    fast = _short_decimal_text(v, t)
     return (
         F.when(kind == "str", F.variant_get(v, "$", "string"))
         .when(kind == "int", v.cast("string"))
+        .when((kind == "float") & fast.isNotNull(), fast)
         .when(kind == "float", py_float_repr(F.variant_get(v, "$", "double")))
         .when(kind == "bool", F.when(F.variant_get(v, "$", "boolean"), "true").otherwise("false"))
         .when(kind == "null", F.lit(None).cast("string"))
@@ -113,12 +133,22 @@ def flatten_leaves(
     json_col: str = "json",
     max_depth: int = 8,
     keep_arrays: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """one row per leaf ``(keys..., ord, path, kind, value, value_text)``.
 
     A container still unopened at ``max_depth`` is reported with kind
-    ``depth_exceeded``; an unparsable record gives one ``invalid_json`` row."""
-    parsed = parse_records(df.select(*keys, json_col), json_col)
+    ``depth_exceeded``; an unparsable record gives one ``invalid_json`` row.
+    With ``spread`` the records are first hash-partitioned by key over the
+    session's shuffle width: one record becomes many leaves, so the work is
+    spread before it grows, and the leaves come out partitioned by key for
+    any later per-record group-by or join."""
+    src = df.select(*keys, json_col)
+    if spread:
+        from leafline.operators.audit import work_partitions
+
+        src = src.repartition(work_partitions(src), *keys)
+    parsed = parse_records(src, json_col)
     arr = leaf_array(F.col("record"), max_depth, keep_arrays)
     exploded = parsed.select(
         *keys,
@@ -126,13 +156,15 @@ def flatten_leaves(
         F.posexplode_outer(F.when(F.col("parse_error").isNull(), arr)).alias("ord", "leaf"),
     )
     v = F.col("leaf.v")
-    kind0 = scalar_kind(v)
-    deep = _as_map(v).isNotNull() if keep_arrays else (kind0 == "container")
+    exploded = exploded.withColumn("_t", F.schema_of_variant(v))
+    t = F.col("_t")
+    kind0 = scalar_kind(v, t)
+    deep = (F.col("leaf.t") == "o") if keep_arrays else F.col("leaf.t").isin("o", "a")
     kind = F.when(F.col("parse_error").isNotNull(), F.col("parse_error")).when(
         deep & (F.size(F.coalesce(F.map_keys(_as_map(v)), _as_arr(v))) > 0), F.lit("depth_exceeded")
     )
     if keep_arrays:
-        kind = kind.when(_as_arr(v).isNotNull(), F.lit("array"))
+        kind = kind.when(t.startswith("ARRAY"), F.lit("array"))
     kind = kind.otherwise(kind0)
     out = exploded.select(
         *keys,
@@ -140,9 +172,11 @@ def flatten_leaves(
         F.col("leaf.path").alias("path"),
         kind.alias("kind"),
         v.alias("value"),
-    ).withColumn("value_text", value_text(F.col("value"), F.col("kind")))
+        t.alias("_t"),
+    )
+    out = out.withColumn("value_text", value_text(F.col("value"), F.col("kind"), F.col("_t"))).drop("_t")
     # empty containers that survive as the last level produce no leaf
-    return out.where(~((F.col("kind") == "container")))
+    return out.where(F.col("kind") != "container")
 
 
 def flatten_scalars(df: DataFrame, keys: Sequence[str], json_col: str = "json", max_depth: int = 8) -> DataFrame:

@@ -46,13 +46,13 @@ def doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(na("quality").alias("quality"), na("toxic").alias("toxic")).alias("label"),
         F.struct(
             F.regexp_extract(t, f"^{WS}*([^ \\t\\r\\n]+)", 1).alias("first_word"),
-            F.regexp_extract(t, f"([^ \\t\\r\\n]+){WS}*$", 1).alias("last_word"),
+            F.reverse(F.regexp_extract(F.reverse(t), f"^{WS}*([^ \\t\\r\\n]+)", 1)).alias("last_word"),
             F.size(lines).cast("bigint").alias("lines"),
             _share(t, "[A-Z]").alias("upper_share"),
             _share(t, "[0-9]").alias("digit_share"),
             t.rlike("[0-9]").alias("has_digit"),
         ).alias("text"),
-        F.transform(lines, lambda l: F.size(F.filter(F.split(l, "[ \\t\\r]+"), lambda w: w != "")).cast("bigint"))
+        F.transform(lines, lambda l: F.size(F.regexp_extract_all(l, F.lit("[^ \\t\\r]+"), 0)).cast("bigint"))
         .alias("line_words"),
     )
     return j.select("doc_id", F.to_json(rec).alias("json"))
