@@ -11,6 +11,7 @@ import importlib
 PLAN_MODULES = [
     "leafline.plans.audit_plans",
     "leafline.plans.text_plans",
+    "leafline.plans.extract_plans",
 ]
 
 

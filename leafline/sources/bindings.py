@@ -83,3 +83,34 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("lines"), F.array().cast(lines.schema["lines"].dataType)).alias("lines"),
     )
     return j.select("o_orderkey", F.to_json(rec).alias("json"))
+
+
+def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile page text per customer with orders, ``(c_custkey, text)``.
+
+    Stand-in for a scraped page: section headers, label-then-value,
+    value-then-label, a glued ``label+value`` line, an ``#n / in / label``
+    rank triple, a blank line and an "N/A" value.  Values come from
+    customer ⋈ nation ⋈ per-customer order aggregates."""
+    from pyspark.sql import Window
+
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.count("*").alias("n_orders"), F.sum("o_totalprice").alias("spend"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_urgent"),
+    )
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(o, c.c_custkey == o.o_custkey)
+    rank = F.rank().over(Window.partitionBy("c_nationkey").orderBy(F.desc("spend"), "c_custkey"))
+    share = F.when(F.col("n_urgent") > 0,
+                   F.concat(F.floor(F.col("n_urgent") * 100 / F.col("n_orders")).cast("string"), F.lit("%"))
+                   ).otherwise(F.lit("N/A"))
+    lines = F.array(
+        F.lit("Customer Profile"), F.lit("Name"), F.col("c_name"), F.lit("Market Segment"), F.col("c_mktsegment"),
+        F.lit("Account Balance"), F.concat(F.lit("$"), F.format_number("c_acctbal", 2)), F.lit(""),
+        F.lit("Nation"), F.col("n_name"), F.lit("Orders"), F.col("n_orders").cast("string"), F.lit("Orders placed"),
+        F.lit("Total spend"), F.concat(F.lit("$"), F.format_number("spend", 2)),
+        F.concat(F.lit("Urgent share"), share),
+        F.concat(F.lit("#"), F.col("_rank").cast("string")), F.lit("in"), F.lit("Nation Rank"),
+    )
+    return j.withColumn("_rank", rank).select("c_custkey", F.array_join(lines, "\n").alias("text"))
