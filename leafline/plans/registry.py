@@ -12,6 +12,7 @@ PLAN_MODULES = [
     "leafline.plans.audit_plans",
     "leafline.plans.text_plans",
     "leafline.plans.extract_plans",
+    "leafline.plans.analysis_plans",
 ]
 
 

@@ -114,3 +114,38 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("#"), F.col("_rank").cast("string")), F.lit("in"), F.lit("Nation Rank"),
     )
     return j.withColumn("_rank", rank).select("c_custkey", F.array_join(lines, "\n").alias("text"))
+
+
+FEATURES = ["n_orders", "spend", "avg_price", "lo", "hi", "sf", "p1", "p12p", "p1f", "p5p"]
+
+
+def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity feature table, one row per customer with orders.
+
+    ``n_orders, spend, avg_price, lo, hi`` are never NULL; the conditional
+    means (status F; priority 1; status P with priority 1-2; priority 1 with
+    status F; status P, priority 5, year >= 1998) are NULL where no such
+    order exists, which gives the missing-value operators real gaps.  Label
+    ``c_mktsegment``; target ``spend``; ``rank`` 1 = largest spend (ties by
+    key).  Sums are exact (DECIMAL) so every value is order-independent."""
+    from leafline.functions.stats import exact_avg, exact_sum
+    from leafline.operators.features import global_row_number
+
+    o = table(spark, sf_dir, "orders")
+    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    price = F.col("o_totalprice")
+    agg = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count("*").alias("n_orders"),
+        exact_sum(price).cast("double").alias("spend"),
+        exact_avg(price).alias("avg_price"),
+        F.min(price).alias("lo"), F.max(price).alias("hi"),
+        exact_avg(F.when(st == "F", price)).alias("sf"),
+        exact_avg(F.when(pr == "1-URGENT", price)).alias("p1"),
+        exact_avg(F.when((st == "P") & pr.isin("1-URGENT", "2-HIGH"), price)).alias("p12p"),
+        exact_avg(F.when((pr == "1-URGENT") & (st == "F"), price)).alias("p1f"),
+        exact_avg(F.when((st == "P") & (pr == "5-LOW") & (F.year("o_orderdate") >= 1998), price)).alias("p5p"),
+        F.count_if(st == "F").alias("n_f"), F.count_if(st == "O").alias("n_o"),
+    )
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey", "c_acctbal")
+    j = c.join(agg, "c_custkey")
+    return global_row_number(j, [F.desc("spend"), F.asc("c_custkey")], "rank")
