@@ -13,6 +13,7 @@ PLAN_MODULES = [
     "leafline.plans.text_plans",
     "leafline.plans.extract_plans",
     "leafline.plans.analysis_plans",
+    "leafline.plans.cluster_plans",
 ]
 
 
