@@ -54,11 +54,12 @@ def uniform_hash(*cols: Column, seed: int = 42) -> Column:
 # by the caller's parameters.  Keeping centres out of the generated code
 # means one compiled plan serves every iteration.
 
-MODEL_T = "runs array<struct<grp:string,run:string,centres:array<array<double>>>>"
+MODEL_T = "runs array<struct<grp:string,run:string,skip:string,centres:array<array<double>>>>"
 
 
-def _model_frame(spark, runs: dict, groups: dict | None = None) -> DataFrame:
-    rows = [(str((groups or {}).get(r, "")), str(r), [list(map(float, c)) for c in cs]) for r, cs in runs.items()]
+def _model_frame(spark, runs: dict, groups: dict | None = None, skip: dict | None = None) -> DataFrame:
+    rows = [(str((groups or {}).get(r, "")), str(r), (skip or {}).get(r), [list(map(float, c)) for c in cs])
+            for r, cs in runs.items()]
     return spark.createDataFrame([(rows,)], MODEL_T)
 
 
@@ -71,28 +72,31 @@ def _nearest_hof(x: Column, centres: Column) -> Column:
 
 
 def _with_model(df: DataFrame, feats: Sequence[str], runs: dict, weight: Column | None, group_col: str | None,
-                groups: dict | None) -> DataFrame:
+                groups: dict | None, skip: dict | None = None, key_col: str | None = None) -> DataFrame:
     spark = df.sparkSession
     w = weight if weight is not None else F.lit(1.0)
     g = F.col(group_col).cast("string") if group_col else F.lit("")
+    k = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
     pts = df.select(F.array(*[F.col(c).cast("double") for c in feats]).alias("_x"), w.alias("_w"), g.alias("_g"),
-                    F.lit(1).alias("_one"))
-    model = F.broadcast(_model_frame(spark, runs, groups).withColumn("_one", F.lit(1)))
+                    k.alias("_k"), F.lit(1).alias("_one"))
+    model = F.broadcast(_model_frame(spark, runs, groups, skip).withColumn("_one", F.lit(1)))
     j = pts.join(model, "_one")
-    mine = F.filter(F.col("runs"), lambda r: r["grp"] == F.col("_g"))
+    # a run sees the points of its group, minus the one key it leaves out
+    mine = F.filter(F.col("runs"), lambda r: (r["grp"] == F.col("_g")) & ~F.coalesce(r["skip"] == F.col("_k"), F.lit(False)))
     per = F.transform(mine, lambda r: F.struct(r["run"].alias("run"), _nearest_hof(F.col("_x"), r["centres"]).alias("n")))
-    return j.select("_x", "_w", F.inline(per))
+    return j.select("_x", "_w", "_k", F.inline(per))
 
 
 def lloyd_step(df: DataFrame, feats: Sequence[str], runs: dict, weight: Column | None = None,
-               group_col: str | None = None, groups: dict | None = None):
+               group_col: str | None = None, groups: dict | None = None, skip: dict | None = None,
+               key_col: str | None = None):
     """One assignment + update for every run at once.
 
     ``runs``: run_id -> list of k centres; with ``group_col`` a run only
     sees the points of its group (``groups``: run_id -> group value).
     Returns (new runs, inertia per run, sizes per run); only runs x k
     aggregate rows reach the driver."""
-    ex = _with_model(df, feats, runs, weight, group_col, groups).where(F.col("_w") > 0)
+    ex = _with_model(df, feats, runs, weight, group_col, groups, skip, key_col).where(F.col("_w") > 0)
     aggs = [F.sum("_w").alias("w"), F.sum(F.col("_w") * F.col("n.d2")).alias("sse"), F.max("n.d2").alias("far_d2"),
             F.max_by("_x", F.col("n.d2")).alias("far")]
     aggs += [F.sum(F.col("_w") * F.col("_x")[i]).alias(f"s_{i}") for i in range(len(feats))]
@@ -120,7 +124,7 @@ def lloyd_step(df: DataFrame, feats: Sequence[str], runs: dict, weight: Column |
 
 def lloyd(df: DataFrame, feats: Sequence[str], runs: dict, max_iter: int = 300, tol: float = 1e-4,
           weight: Column | None = None, fixed_iterations: bool = False, group_col: str | None = None,
-          groups: dict | None = None):
+          groups: dict | None = None, skip: dict | None = None, key_col: str | None = None):
     """Multi-run Lloyd until every run moves less than ``tol`` or
     ``max_iter``; with ``fixed_iterations`` exactly ``max_iter`` steps
     (deterministic, SQL-checkable).  Converged runs leave the model."""
@@ -130,16 +134,27 @@ def lloyd(df: DataFrame, feats: Sequence[str], runs: dict, max_iter: int = 300,
         if not active:
             break
         step = {r: cur[r] for r in active}
-        new, _, _ = lloyd_step(df, feats, step, weight, group_col, groups)
+        new, _, _ = lloyd_step(df, feats, step, weight, group_col, groups, skip, key_col)
         for r in list(active):
             shift = max(np.sum((np.array(a) - np.array(b)) ** 2) for a, b in zip(cur[r], new[r]))
             cur[r] = new[r]
             if not fixed_iterations and shift <= tol * tol:
                 active.discard(r)
-    _, inertia, sizes = lloyd_step(df, feats, cur, weight, group_col, groups)
+    _, inertia, sizes = lloyd_step(df, feats, cur, weight, group_col, groups, skip, key_col)
     return cur, inertia, sizes
 
 
+def leave_one_out_labels(df: DataFrame, key: str, feats: Sequence[str], init: list, dropped: Sequence,
+                         max_iter: int = 20) -> DataFrame:
+    """One run per left-out key, all in the same Lloyd passes; returns
+    ``(run, key, cluster)`` for the points each run kept."""
+    runs = {f"loo_{i}": init for i in range(len(dropped))}
+    skip = {f"loo_{i}": str(d) for i, d in enumerate(dropped)}
+    cur, _, _ = lloyd(df, feats, runs, max_iter, skip=skip, key_col=key)
+    ex = _with_model(df.withColumn("_key", F.col(key)), feats, cur, None, None, None, skip, key)
+    return ex.select("run", F.col("_k").alias(key), F.col("n.cluster").alias("cluster"))
+
+
 def kmeans_pp_init(df: DataFrame, key: str, feats: Sequence[str], run_ks: dict, seed: int = 42,
                    group_col: str | None = None, groups: dict | None = None) -> dict:
     """k-means++ seeding for many runs at once: one pass per centre index.
@@ -387,3 +402,112 @@ def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float
     ids = global_row_number(comp.select("lab").distinct(), [F.col("lab")], "cluster")
     out = pts.join(comp, "i", "left").join(ids, "lab", "left").join(core.select("i", "core"), "i")
     return out.select(F.col("i").alias(key), (F.coalesce(F.col("cluster"), F.lit(0)) - 1).alias("cluster"), "core")
+
+
+# ------------------------------------------------------------------ Ward
+
+def micro_clusters(df: DataFrame, key: str, feats: Sequence[str], cap: int = 2000, seed: int = 42):
+    """Phase 1 of Ward: summarise the points as at most ``cap`` weighted
+    micro-clusters ``(mc, n, centre)`` and a point -> mc map.
+
+    With no more distinct points than ``cap`` every distinct point is its
+    own micro-cluster (then Ward is exact); above it, k-means with ``cap``
+    centres summarises them (BIRCH-style; an approximation)."""
+    distinct = df.select(*feats).distinct().limit(cap + 1).count()
+    if distinct <= cap:
+        g = df.groupBy(*feats).agg(F.count("*").alias("n"))
+        rows = g.collect()  # at most ``cap`` rows
+        centres = [[float(r[c]) for c in feats] for r in rows]
+        sizes = [float(r["n"]) for r in rows]
+        mapped = assign(df, feats, centres, "mc") if len(centres) <= 64 else df.join(
+            df.sparkSession.createDataFrame([(i, *c) for i, c in enumerate(centres)], ["mc", *feats]), list(feats))
+        return np.array(centres), np.array(sizes), mapped.select(key, "mc")
+    centres, _ = kmeans_fit(df, key, feats, cap, n_init=1, max_iter=20, seed=seed)
+    mapped = assign(df, feats, centres, "mc")
+    sizes = {r["mc"]: r["n"] for r in mapped.groupBy("mc").agg(F.count("*").alias("n")).collect()}
+    return np.array(centres), np.array([float(sizes.get(i, 0)) for i in range(len(centres))]), mapped.select(key, "mc")
+
+
+def ward_merges(centres: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, float, float]]:
+    """Phase 2 of Ward on the (metadata-sized) micro-cluster summary:
+    nearest-neighbour chain with Lance–Williams updates, O(m²).
+
+    Height of merging u, v = sqrt(2 n_u n_v / (n_u + n_v)) * ||c_u − c_v||
+    (the Euclidean distance for singletons).  Returns merges sorted by
+    height as (a, b, height, size) with ids like a linkage matrix (new
+    cluster t gets id m + t)."""
+    m = len(centres)
+    if m < 2:
+        return []
+    n = sizes.astype(float).copy()
+    diff = centres[:, None, :] - centres[None, :, :]
+    D = np.sqrt(2 * np.outer(n, n) / (n[:, None] + n[None, :]) * (diff ** 2).sum(-1))
+    np.fill_diagonal(D, np.inf)
+    active = np.ones(m, dtype=bool)
+    ident = list(range(m))
+    raw = []
+    chain: list[int] = []
+    while active.sum() > 1:
+        if not chain:
+            chain.append(int(np.argmax(active)))
+        a = chain[-1]
+        row = np.where(active, D[a], np.inf)
+        row[a] = np.inf
+        b = int(np.argmin(row))
+        if len(chain) > 1 and row[chain[-2]] <= row[b]:
+            b = chain[-2]
+        if len(chain) > 1 and b == chain[-2]:
+            chain.pop()
+            chain.pop()
+            h = D[a, b]
+            na, nb = n[a], n[b]
+            ks = np.where(active)[0]
+            ks = ks[(ks != a) & (ks != b)]
+            nk = n[ks]
+            new = np.sqrt(np.maximum(((na + nk) * D[a, ks] ** 2 + (nb + nk) * D[b, ks] ** 2 - nk * h * h) / (na + nb + nk), 0))
+            lo, hi = (a, b) if a < b else (b, a)
+            D[lo, ks] = D[ks, lo] = new
+            D[hi, :] = D[:, hi] = np.inf
+            active[hi] = False
+            raw.append((ident[a], ident[b], float(h), na + nb, lo))
+            n[lo] = na + nb
+            ident[lo] = ("m", len(raw) - 1)
+            chain = [c for c in chain if active[c]]
+        else:
+            chain.append(b)
+    # sort by height and give merged clusters linkage ids m + t
+    order = sorted(range(len(raw)), key=lambda i: raw[i][2])
+    newid = {}
+    out = []
+    for t, i in enumerate(order):
+        a, b, h, size, _ = raw[i]
+        ra = newid[a[1]] if isinstance(a, tuple) else a
+        rb = newid[b[1]] if isinstance(b, tuple) else b
+        newid[i] = m + t
+        out.append((int(min(ra, rb)), int(max(ra, rb)), float(h), float(size)))
+    return out
+
+
+def cut_heights(merges, ks: Sequence[int]) -> dict[int, float]:
+    """The line that cuts the tree into k clusters sits at the (k−1)-th
+    largest merge height."""
+    hs = sorted((h for _, _, h, _ in merges), reverse=True)
+    return {k: hs[k - 2] if 0 < k - 1 <= len(hs) else float("nan") for k in ks}
+
+
+def cut_labels(merges, m: int, k: int) -> list[int]:
+    """Flat labels 0..k−1 for the m leaves after the first m − k merges
+    (labels by first leaf, so they are deterministic)."""
+    parent = list(range(2 * m))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for t, (a, b, _h, _s) in enumerate(merges[: max(m - k, 0)]):
+        parent[find(a)] = m + t
+        parent[find(b)] = m + t
+    roots = {}
+    return [roots.setdefault(find(i), len(roots)) for i in range(m)]

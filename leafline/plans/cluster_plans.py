@@ -178,6 +178,49 @@ def q_bootstrap_stability(spark, sf):
     return s.withColumn("grade", C.stability_grade(F.col("mean_ari")))
 
 
+def q_loo_stability(spark, sf):
+    z = _z(spark, sf)
+    base, _ = _fixed(z)
+    init = [[float(x) for x in r] for r in base.groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in CL])
+            .orderBy("cluster_id").drop("cluster_id").collect()]
+    order = C.uniform_hash(F.col(KEY).cast("string"), seed=123)
+    dropped = [r[0] for r in z.where(F.col("c_name") != FOCUS).orderBy(order, KEY).select(KEY).limit(20).collect()]
+    lab = C.leave_one_out_labels(z, KEY, CL, init, dropped)
+    focus_key = z.where(F.col("c_name") == FOCUS).select(KEY)
+    focus_lab = lab.join(focus_key, KEY).select("run", F.col("cluster").alias("fc"))
+    own = base.where(F.col("c_name") == FOCUS).select("cluster_id")
+    peers = base.join(own, "cluster_id").where(F.col("c_name") != FOCUS).select(KEY)
+    n_peers = peers.count()
+    kept = lab.join(focus_lab, "run").where(F.col("cluster") == F.col("fc")).join(peers, KEY)
+    per = kept.groupBy("run").agg((F.count("*") / F.lit(max(n_peers, 1))).alias("peer_overlap"))
+    return per.agg(F.avg("peer_overlap").alias("mean_overlap"), F.min("peer_overlap").alias("min_overlap"),
+                   F.count("*").alias("runs")).withColumn("stable", F.col("mean_overlap") > 0.7)
+
+
+def q_ward_merges(spark, sf):
+    z = _z(spark, sf)
+    centres, sizes, _ = C.micro_clusters(z, KEY, CL)
+    merges = C.ward_merges(centres, sizes)
+    return spark.createDataFrame([(t, a, b, h, s) for t, (a, b, h, s) in enumerate(merges)],
+                                 "step int, a int, b int, height double, size double")
+
+
+def q_cut_heights(spark, sf):
+    z = _z(spark, sf)
+    centres, sizes, _ = C.micro_clusters(z, KEY, CL)
+    hs = C.cut_heights(C.ward_merges(centres, sizes), [5, 6, 7])
+    return spark.createDataFrame([(k, float(h)) for k, h in hs.items()], "k int, height double")
+
+
+def q_ward_labels(spark, sf):
+    z = _z(spark, sf)
+    centres, sizes, mapping = C.micro_clusters(z, KEY, CL)
+    labels = C.cut_labels(C.ward_merges(centres, sizes), len(centres), K)
+    lab = spark.createDataFrame([(i, l) for i, l in enumerate(labels)], "mc int, ward int")
+    a = mapping.join(F.broadcast(lab), "mc").join(z.select(KEY, "rank"), KEY)
+    return C.relabel_by_rank(a, "ward", "rank").select(KEY, "rank", "cluster_id")
+
+
 def q_aspiration_cluster(spark, sf):
     _, a, _ = _assigned(spark, sf)
     f = a.where(F.col("c_name") == FOCUS)
@@ -307,6 +350,10 @@ QUERIES = {
     "dbscan_labels": q_dbscan_labels,
     "dbscan_sweep": q_dbscan_sweep,
     "bootstrap_stability": q_bootstrap_stability,
+    "loo_stability": q_loo_stability,
+    "ward_merges": q_ward_merges,
+    "cut_heights": q_cut_heights,
+    "ward_labels": q_ward_labels,
     "aspiration_cluster": q_aspiration_cluster,
     "projection_2d": q_projection_2d,
     "cluster_profile": q_cluster_profile,
