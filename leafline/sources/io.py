@@ -21,7 +21,7 @@ PANDAS_NA_TOKENS = (
 
 def read_texts(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
     """One row per text file ``(entity_id, text)``; key = file stem."""
-    df = spark.read.option("wholetext", True).text(path).select("value", "_metadata.file_name")
+    df = spark.read.text(path, wholetext=True).select("value", "_metadata.file_name")
     stem = F.regexp_extract("file_name", f"^(.*){suffix.replace('.', '[.]')}$", 1)
     return df.select(stem.alias("entity_id"), F.col("value").alias("text")).where(F.col("entity_id") != "")
 
