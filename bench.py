@@ -20,14 +20,24 @@ from leafline.plans import registry  # noqa: E402
 from leafline.session import local_session  # noqa: E402
 
 HEADLINE = [
+    # audit and records (the reference's own correctness query)
     "audit_entity",
     "audit_summary",
     "validate_leaf",
     "flatten_order_leaves",
     "explode_children",
+    # text, links, extraction, incremental runs
     "clean_lines",
     "html_to_text",
     "best_link_row",
+    "label_value_extract",
+    "run_summary",
+    # features, models, clusters, profiles
+    "feature_projection",
+    "corr_matrix",
+    "gap_to_target",
+    "kmeans_lloyd",
+    "cluster_profile",
 ]
 
 

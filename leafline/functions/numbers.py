@@ -2,11 +2,9 @@
 
 ``py_float_repr`` and ``py_fixed`` reproduce Python's ``repr(float)`` and
 ``'%.Nf' % x`` so that audit candidates match what the reference would
-generate.  Spark's double->string cast and ``format_string`` differ from
-Python in exponent style and in rounding ties, so the gaps are closed
-here with plain expressions; the exact binary value of a double (needed only
-on decimal ties) comes from ``java.lang.Double.doubleToLongBits`` through
-the built-in ``reflect``.
+generate.  Spark's double->string cast differs from Python in exponent
+style and ``format_string`` in rounding ties, so both are built from plain
+expressions here.
 """
 
 from __future__ import annotations
@@ -51,40 +49,13 @@ def strip_float_text(s: Column) -> Column:
     return F.when(s.contains("."), stripped).otherwise(s)
 
 
-def _pow2_decimal(k: Column) -> Column:
-    """2**k as decimal(38,0) for 0 <= k <= 124, exact."""
-    one = F.lit(1).cast("bigint")
-    lo = F.call_function("shiftleft", one, F.least(k, F.lit(62))).cast("decimal(38,0)")
-    hi = F.call_function("shiftleft", one, F.greatest(k - 62, F.lit(0))).cast("decimal(38,0)")
-    return lo * hi
-
-
 def py_fixed(p: Column, n: int) -> Column:
-    """Python ``'%.{n}f' % p`` for 0 <= p < 1e11 and 0 <= n <= 6.
+    """Python ``'%.{n}f' % p``: round half-even on the exact binary value.
 
-    Round-half-even on the exact binary value, like C printf: the decimal
-    shortest form is rounded half-even, except on an apparent decimal tie,
-    where the exact bits decide the direction."""
-    d = p.cast("decimal(30,18)")
-    scale = F.lit(10**n).cast(f"decimal({n + 1},0)")
-    scaled = d * scale
-    fl = F.floor(scaled)
-    tie = (scaled - fl) == F.lit(0.5).cast("decimal(2,1)")
-    bits = F.call_function("reflect", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), p).cast("bigint")
-    ex = F.shiftright(bits, 52).bitwiseAND(F.lit(2047))
-    man = bits.bitwiseAND(F.lit(4503599627370495))
-    m = F.when(ex == 0, man).otherwise(man.bitwiseOR(F.lit(4503599627370496)))
-    e2 = F.when(ex == 0, F.lit(-1074)).otherwise(ex - 1075)
-    k = n + 1
-    big_p = (d * F.lit(10**k).cast(f"decimal({k + 1},0)")).cast("decimal(38,0)")
-    lhs = m.cast("decimal(38,0)") * F.lit(10**k).cast("decimal(38,0)")
-    rhs = big_p * _pow2_decimal(-e2)
-    up = (fl + 1) / scale
-    down = fl / scale
-    even = F.bround(d, n)
-    tie_value = F.when(e2 >= 0, even).when(lhs > rhs, up).when(lhs < rhs, down).otherwise(even)
-    r = F.when(tie, tie_value).otherwise(even)
-    return r.cast(f"decimal(38,{n})").cast("string")
+    ``format_number`` (Java ``DecimalFormat``, HALF_EVEN on the exact value
+    of the double) rounds exactly like C/Python printf; only its thousands
+    separators differ, and they are removed."""
+    return F.replace(F.format_number(p, n), F.lit(","), F.lit(""))
 
 
 def try_number(col: Column) -> Column:

@@ -28,7 +28,7 @@ AUDITABLE = ("str", "int", "float", "bool")
 
 
 def py_round(x: Column, n: int) -> Column:
-    """Python ``round(x, n)`` for 0 <= x < 1e11 (exact-binary half-even)."""
+    """Python ``round(x, n)`` (half-even on the exact binary value)."""
     return py_fixed(x, n).cast("double")
 
 
