@@ -511,3 +511,22 @@ def cut_labels(merges, m: int, k: int) -> list[int]:
         parent[find(b)] = m + t
     roots = {}
     return [roots.setdefault(find(i), len(roots)) for i in range(m)]
+
+
+# ------------------------------------------------------------------ centroid silhouette (C3 variant)
+
+def centroid_silhouette(assigned: DataFrame, feats: Sequence[str], centres: Sequence[Sequence[float]],
+                        cluster_col: str = "cluster") -> DataFrame:
+    """Simplified (centroid) silhouette, O(n·k): a = distance to the own
+    centre, b = distance to the nearest other centre, s = (b − a)/max(a, b);
+    0 for a point alone in its cluster.  This is NOT the exact silhouette
+    (mean distance to every member needs every pair); it is reported under
+    its own name."""
+    d = [F.sqrt(sqdist_expr(feats, c)) for c in centres]
+    dist = F.array(*d)
+    own = F.element_at(dist, F.col(cluster_col) + 1)
+    other = F.array_min(F.filter(F.transform(dist, lambda x, i: F.when(i != F.col(cluster_col), x)), lambda x: x.isNotNull()))
+    size = F.count(F.lit(1)).over(Window.partitionBy(cluster_col))
+    s = F.when(size <= 1, F.lit(0.0)).when(F.greatest(own, other) == 0, F.lit(0.0)).otherwise(
+        (other - own) / F.greatest(own, other))
+    return assigned.withColumn("silhouette", s)

@@ -221,6 +221,51 @@ def q_ward_labels(spark, sf):
     return C.relabel_by_rank(a, "ward", "rank").select(KEY, "rank", "cluster_id")
 
 
+def _member_centres(z, a):
+    rows = _centroids(z, a).orderBy("cluster_id").collect()
+    return [[float(r[c]) for c in CL] for r in rows]
+
+
+def q_centroid_silhouette(spark, sf):
+    z, a, _ = _assigned(spark, sf)
+    za = z.join(a.select(KEY, "cluster_id"), KEY)
+    s = C.centroid_silhouette(za, CL, _member_centres(z, a), "cluster_id")
+    return s.select(KEY, "cluster_id", F.round("silhouette", 6).alias("silhouette"))
+
+
+def q_centroid_silhouette_score(spark, sf):
+    return q_centroid_silhouette(spark, sf).agg(F.round(F.avg("silhouette"), 4).alias("score"))
+
+
+def q_focus_silhouette(spark, sf):
+    s = q_centroid_silhouette(spark, sf).join(customer_features(spark, sf).select(KEY, "c_name"), KEY)
+    own = s.where(F.col("c_name") == FOCUS).select("cluster_id")
+    agg = s.agg(F.max(F.when(F.col("c_name") == FOCUS, F.col("silhouette"))).alias("focus"),
+                F.round(F.avg("silhouette"), 4).alias("overall"))
+    clus = s.join(own, "cluster_id").agg(F.round(F.avg("silhouette"), 4).alias("focus_cluster_mean"))
+    return agg.withColumn("_k", F.lit(1)).join(clus.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+def q_candidate_k(spark, sf):
+    """K-means++ fits for k = 5, 6, 7 in shared passes; the k with the
+    best centroid silhouette (first on ties); the focus cluster per k."""
+    z = _z(spark, sf)
+    runs = {f"k{k}": k for k in (5, 6, 7)}
+    init = C.kmeans_pp_init(z, KEY, CL, runs)
+    cur, _, _ = C.lloyd(z, CL, init, 50)
+    rows = []
+    for k in (5, 6, 7):
+        a = C.relabel_by_rank(C.assign(z, CL, cur[f"k{k}"]), "cluster", "rank")
+        cen = [[float(r[c]) for c in CL] for r in z.join(a.select(KEY, "cluster_id"), KEY).groupBy("cluster_id")
+               .agg(*[F.avg(c).alias(c) for c in CL]).orderBy("cluster_id").collect()]
+        sil = C.centroid_silhouette(a.drop("cluster").withColumnRenamed("cluster_id", "cluster"), CL, cen, "cluster")
+        r = sil.agg(F.avg("silhouette").alias("s"), F.max(F.when(F.col("c_name") == FOCUS, F.col("cluster"))).alias("fc")).first()
+        rows.append((k, float(r["s"]), r["fc"]))
+    df = spark.createDataFrame(rows, "k int, score double, focus_cluster int")
+    best = C.best_k(df).first()["best_k"]
+    return df.withColumn("chosen", F.col("k") == best)
+
+
 def q_aspiration_cluster(spark, sf):
     _, a, _ = _assigned(spark, sf)
     f = a.where(F.col("c_name") == FOCUS)
@@ -354,6 +399,10 @@ QUERIES = {
     "ward_merges": q_ward_merges,
     "cut_heights": q_cut_heights,
     "ward_labels": q_ward_labels,
+    "centroid_silhouette": q_centroid_silhouette,
+    "centroid_silhouette_score": q_centroid_silhouette_score,
+    "focus_silhouette": q_focus_silhouette,
+    "candidate_k": q_candidate_k,
     "aspiration_cluster": q_aspiration_cluster,
     "projection_2d": q_projection_2d,
     "cluster_profile": q_cluster_profile,
@@ -483,3 +532,14 @@ ORACLES = {
         SELECT z.c_custkey, z.rank, round(sqrt(""" + " + ".join(f"(z.{c} - ac.{c}) * (z.{c} - ac.{c})" for c in CL) + """), 6) AS dist
         FROM z JOIN klab l ON l.c_custkey = z.c_custkey, ac, ids WHERE l.cluster_id = ids.own ORDER BY dist, z.c_custkey LIMIT 10""",
 }
+
+_SIL = """, zc AS (SELECT z.*, l.cluster_id FROM z JOIN klab l ON l.c_custkey = z.c_custkey),
+dd AS (SELECT zc.c_custkey, zc.c_name, zc.cluster_id, cen.cluster_id AS other, sqrt(""" + " + ".join(
+    f"(zc.{c} - cen.{c}) * (zc.{c} - cen.{c})" for c in CL) + """) AS d FROM zc, cen),
+ab AS (SELECT c_custkey, c_name, cluster_id, max(d) FILTER (WHERE other = cluster_id) AS a,
+              min(d) FILTER (WHERE other <> cluster_id) AS b FROM dd GROUP BY ALL),
+sz AS (SELECT cluster_id, count(*) AS n FROM zc GROUP BY cluster_id),
+sil AS (SELECT ab.c_custkey, ab.c_name, ab.cluster_id, CASE WHEN sz.n <= 1 OR greatest(a, b) = 0 THEN 0.0
+               ELSE (b - a) / greatest(a, b) END AS s FROM ab JOIN sz ON sz.cluster_id = ab.cluster_id)"""
+ORACLES["centroid_silhouette"] = BASE + _FOC + _SIL + " SELECT c_custkey, cluster_id, round(s, 6) AS silhouette FROM sil"
+ORACLES["centroid_silhouette_score"] = BASE + _FOC + _SIL + " SELECT round(avg(round(s, 6)), 4) AS score FROM sil"
