@@ -356,52 +356,61 @@ def eps_pairs(df: DataFrame, key: str, feats: Sequence[str], eps: float) -> Data
     return j.where((F.col("i") != F.col("j")) & (d2 <= F.lit(eps * eps))).select("i", "j", F.sqrt(d2).alias("dist"))
 
 
-def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float, min_samples: int,
+def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float | Sequence[float], min_samples: int,
            max_iter: int = 100, checkpoint_every: int = 3) -> DataFrame:
-    """C20: labels 0..c−1 (clusters ordered by their first core point in
-    ``order``) and −1 for noise.  Core: at least ``min_samples`` points
-    within eps, itself included.  A border point joins the cluster with the
-    smallest first-core position among its core neighbours."""
+    """Labels 0..c−1 (clusters ordered by their first core point in
+    ``order``) and −1 for noise, for one or several eps at once.
+
+    Core: at least ``min_samples`` points within eps, itself included.  A
+    border point joins the cluster with the smallest first-core position
+    among its core neighbours.  Several eps share one grid join (at the
+    largest eps) and one label-propagation loop keyed by (eps, point)."""
     spark = df.sparkSession
+    from leafline.operators.features import global_row_number
     from leafline.session import checkpoint_dir
 
     checkpoint_dir(spark)
+    eps_list = [float(e) for e in (eps if isinstance(eps, (list, tuple)) else [eps])]
     pts = df.select(F.col(key).alias("i"), F.col(order).alias("pos"))
-    pairs = eps_pairs(df, key, feats, eps)
-    deg = pairs.groupBy("i").agg(F.count("*").alias("nb"))
-    core = pts.join(deg, "i", "left").withColumn("core", F.coalesce(F.col("nb"), F.lit(0)) + 1 >= min_samples)
-    core_ids = core.where("core").select("i", "pos")
-    edges = pairs.join(core_ids.select("i"), "i").join(core_ids.select(F.col("i").alias("j")), "j").select("i", "j")
-    # nodes are identified by their position (unique, ordered); a label is
-    # the smallest position reachable so far.  Each round: take the smallest
-    # neighbour label, then jump (label of my label), which shortens chains
-    # geometrically; ``checkpoint()`` cuts the lineage every few rounds.
-    node = core_ids.select("i", "pos")
-    e = edges.join(node, "i").select(F.col("pos").alias("u"), "j").join(
-        node.select(F.col("i").alias("j"), F.col("pos").alias("v")), "j").select("u", "v")
-    label = node.select(F.col("pos").alias("u"), F.col("pos").alias("lab"))
+    pairs0 = eps_pairs(df, key, feats, max(eps_list))
+    pairs = pairs0.select("i", "j", "dist", F.explode(F.array(*[F.lit(e) for e in eps_list])).alias("eps")).where(
+        F.col("dist") <= F.col("eps")).drop("dist")
+    grid = pts.select("i", "pos", F.explode(F.array(*[F.lit(e) for e in eps_list])).alias("eps"))
+    deg = pairs.groupBy("eps", "i").agg(F.count("*").alias("nb"))
+    core = grid.join(deg, ["eps", "i"], "left").withColumn(
+        "core", F.coalesce(F.col("nb"), F.lit(0)) + 1 >= min_samples).drop("nb")
+    cores = core.where("core").select("eps", "i", "pos")
+    # nodes are identified by (eps, position); a label is the smallest position
+    # reachable so far.  Each round takes the smallest neighbour label, then
+    # jumps (label of my label), which shortens chains geometrically;
+    # ``checkpoint()`` cuts the lineage every few rounds.
+    e = pairs.join(cores, ["eps", "i"]).select("eps", F.col("pos").alias("u"), "j").join(
+        cores.select("eps", F.col("i").alias("j"), F.col("pos").alias("v")), ["eps", "j"]).select("eps", "u", "v")
+    label = cores.select("eps", F.col("pos").alias("u"), F.col("pos").alias("lab"))
     for it in range(max_iter):
-        nb = e.join(label.select(F.col("u").alias("v"), F.col("lab").alias("nlab")), "v").groupBy("u").agg(
-            F.min("nlab").alias("m"))
-        step = label.join(nb, "u", "left").select("u", F.least("lab", F.coalesce("m", "lab")).alias("lab"))
-        jump = step.join(step.select(F.col("u").alias("lab"), F.col("lab").alias("lab2")), "lab", "left").select(
-            "u", F.least("lab", F.coalesce("lab2", "lab")).alias("lab"))
+        nb = e.join(label.select("eps", F.col("u").alias("v"), F.col("lab").alias("nlab")), ["eps", "v"]).groupBy(
+            "eps", "u").agg(F.min("nlab").alias("m"))
+        step = label.join(nb, ["eps", "u"], "left").select("eps", "u", F.least("lab", F.coalesce("m", "lab")).alias("lab"))
+        jump = step.join(step.select("eps", F.col("u").alias("lab"), F.col("lab").alias("lab2")), ["eps", "lab"], "left").select(
+            "eps", "u", F.least("lab", F.coalesce("lab2", "lab")).alias("lab"))
         if (it + 1) % checkpoint_every == 0:
             jump = jump.checkpoint()
-        changed = jump.join(label.withColumnRenamed("lab", "old"), "u").where(F.col("lab") != F.col("old")).limit(1).count()
+        changed = jump.join(label.withColumnRenamed("lab", "old"), ["eps", "u"]).where(
+            F.col("lab") != F.col("old")).limit(1).count()
         label = jump
         if changed == 0:
             break
-    label = label.join(node.select(F.col("pos").alias("u"), "i"), "u").select("i", "lab")
-    # border points: not core, with a core neighbour -> smallest component label
-    border = pairs.join(core.where(~F.col("core")).select("i"), "i").join(
-        label.select(F.col("i").alias("j"), F.col("lab").alias("nlab")), "j").groupBy("i").agg(F.min("nlab").alias("lab"))
-    comp = label.unionByName(border)
-    from leafline.operators.features import global_row_number
-
-    ids = global_row_number(comp.select("lab").distinct(), [F.col("lab")], "cluster")
-    out = pts.join(comp, "i", "left").join(ids, "lab", "left").join(core.select("i", "core"), "i")
-    return out.select(F.col("i").alias(key), (F.coalesce(F.col("cluster"), F.lit(0)) - 1).alias("cluster"), "core")
+    comp = label.join(cores.select("eps", F.col("pos").alias("u"), "i"), ["eps", "u"]).select("eps", "i", "lab")
+    border = pairs.join(core.where(~F.col("core")).select("eps", "i"), ["eps", "i"]).join(
+        comp.select("eps", F.col("i").alias("j"), F.col("lab").alias("nlab")), ["eps", "j"]).groupBy("eps", "i").agg(
+        F.min("nlab").alias("lab"))
+    labs = comp.unionByName(border)
+    ids = global_row_number(labs.select("eps", "lab").distinct(), [F.col("eps"), F.col("lab")], "_g")
+    first = ids.groupBy("eps").agg(F.min("_g").alias("_g0"))
+    ids = ids.join(F.broadcast(first), "eps").withColumn("cluster", F.col("_g") - F.col("_g0")).select("eps", "lab", "cluster")
+    out = grid.join(labs, ["eps", "i"], "left").join(ids, ["eps", "lab"], "left").join(core.select("eps", "i", "core"), ["eps", "i"])
+    out = out.select("eps", F.col("i").alias(key), F.coalesce(F.col("cluster"), F.lit(-1)).alias("cluster"), "core")
+    return out if len(eps_list) > 1 else out.drop("eps")
 
 
 # ------------------------------------------------------------------ Ward

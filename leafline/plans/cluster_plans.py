@@ -151,14 +151,15 @@ def q_dbscan_labels(spark, sf):
 
 
 def q_dbscan_sweep(spark, sf):
-    pl = _plane(spark, sf)
-    out = None
-    for eps in (0.15, 0.3):
-        lab = C.dbscan(pl, KEY, "rank", ["x0", "x1"], eps, MIN_SAMPLES)
-        row = lab.agg(F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"),
-                      F.count_if(F.col("cluster") == -1).alias("n_outliers")).withColumn("eps", F.lit(eps))
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Clusters and outliers for several eps from one eps-join and one
+    propagation loop; outlier keys listed when there are 1 to 10."""
+    lab = C.dbscan(_plane(spark, sf), KEY, "rank", ["x0", "x1"], [0.15, 0.2, 0.3], MIN_SAMPLES)
+    return lab.groupBy("eps").agg(
+        F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"),
+        F.count_if(F.col("cluster") == -1).alias("n_outliers"),
+        F.array_sort(F.collect_list(F.when(F.col("cluster") == -1, F.col(KEY)))).alias("_out"),
+    ).select("eps", "n_clusters", "n_outliers",
+             F.when(F.col("n_outliers").between(1, 10), F.array_join(F.col("_out").cast("array<string>"), ",")).alias("outliers"))
 
 
 def q_bootstrap_stability(spark, sf):
