@@ -539,3 +539,47 @@ def centroid_silhouette(assigned: DataFrame, feats: Sequence[str], centres: Sequ
     s = F.when(size <= 1, F.lit(0.0)).when(F.greatest(own, other) == 0, F.lit(0.0)).otherwise(
         (other - own) / F.greatest(own, other))
     return assigned.withColumn("silhouette", s)
+
+
+# ------------------------------------------------------------------ k-distance
+
+def kth_neighbour_distance(df: DataFrame, key: str, feats: Sequence[str], m: int, h0: float,
+                           max_rounds: int = 12) -> DataFrame:
+    """Distance to the m-th nearest neighbour counting the point itself
+    (so the (m−1)-th other point), exact.
+
+    Grid join at radius h (cells of side h, 3^d neighbour cells hold every
+    point within h); a point with at least m−1 others within h has its
+    answer among them.  The rest retry with h doubled, so only sparse points
+    ever look far.  Pairs beyond h are never formed."""
+    todo = df.select(key, *feats)
+    done = None
+    h = h0
+    for _ in range(max_rounds):
+        pairs = eps_pairs_between(todo, df, key, feats, h)
+        w = Window.partitionBy("i").orderBy("dist", "j")
+        kth = pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == m - 1).select(
+            F.col("i").alias(key), F.col("dist").alias("k_distance"))
+        kth = kth.checkpoint()
+        done = kth if done is None else done.unionByName(kth)
+        todo = todo.join(kth.select(key), key, "left_anti")
+        if todo.limit(1).count() == 0:
+            break
+        h *= 2
+    return done
+
+
+def eps_pairs_between(left: DataFrame, right: DataFrame, key: str, feats: Sequence[str], eps: float) -> DataFrame:
+    """Pairs (i from left, j from right, i != j) within ``eps`` via the grid."""
+    cell = lambda: [F.floor(F.col(c) / F.lit(eps)).cast("bigint").alias(f"_g{i}") for i, c in enumerate(feats)]
+    a = left.select(F.col(key).alias("i"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(feats)], *cell())
+    offsets = [[]]
+    for _ in feats:
+        offsets = [o + [d] for o in offsets for d in (-1, 0, 1)]
+    b = right.select(F.col(key).alias("j"), *[F.col(c).alias(f"y{i}") for i, c in enumerate(feats)], *cell())
+    b = b.select("j", *[f"y{i}" for i in range(len(feats))],
+                 F.inline(F.array(*[F.struct(*[(F.col(f"_g{i}") + F.lit(o[i])).alias(f"_g{i}") for i in range(len(feats))])
+                                    for o in offsets])))
+    j = a.join(b, [f"_g{i}" for i in range(len(feats))])
+    d2 = sum(((F.col(f"x{i}") - F.col(f"y{i}")) ** 2 for i in range(len(feats))), F.lit(0.0))
+    return j.where((F.col("i") != F.col("j")) & (d2 <= F.lit(eps * eps))).select("i", "j", F.sqrt(d2).alias("dist"))

@@ -80,3 +80,19 @@ def run_summary(inputs: DataFrame, previous_done: DataFrame, new_results: DataFr
         (F.col("inputs") - F.col("previous")).alias("remaining_before_run"),
         F.round((F.col("inputs") - F.col("previous")) * F.lit(COST_PER_ENTITY), 2).alias("estimated_cost"),
     )
+
+
+def map_entities(df: DataFrame, fn, schema: str, partitions: int | None = None, key: str | None = None) -> DataFrame:
+    """Apply a per-entity function (pandas frame in, pandas frame out)
+    in parallel across partitions with Arrow batches (``mapInPandas``).  An
+    expensive function gets an explicit partition count; ``key`` keeps one
+    entity's rows together."""
+    src = df
+    if partitions:
+        src = src.repartition(partitions, key) if key else src.repartition(partitions)
+
+    def run(batches):
+        for pdf in batches:
+            yield fn(pdf)
+
+    return src.mapInPandas(run, schema)

@@ -267,6 +267,14 @@ def q_candidate_k(spark, sf):
     return df.withColumn("chosen", F.col("k") == best)
 
 
+def q_k_distance(spark, sf):
+    """C19 on the 2-D standardised plane: m = min(2p + 1, 10) = 5 for p = 2,
+    the point itself counted; sorted descending."""
+    pl = _plane(spark, sf)
+    kd = C.kth_neighbour_distance(pl, KEY, ["x0", "x1"], 5, 0.1)
+    return kd.select(KEY, F.round("k_distance", 6).alias("k_distance")).orderBy(F.desc("k_distance"), KEY)
+
+
 def q_aspiration_cluster(spark, sf):
     _, a, _ = _assigned(spark, sf)
     f = a.where(F.col("c_name") == FOCUS)
@@ -404,6 +412,7 @@ QUERIES = {
     "centroid_silhouette_score": q_centroid_silhouette_score,
     "focus_silhouette": q_focus_silhouette,
     "candidate_k": q_candidate_k,
+    "k_distance": q_k_distance,
     "aspiration_cluster": q_aspiration_cluster,
     "projection_2d": q_projection_2d,
     "cluster_profile": q_cluster_profile,
@@ -542,5 +551,9 @@ ab AS (SELECT c_custkey, c_name, cluster_id, max(d) FILTER (WHERE other = cluste
 sz AS (SELECT cluster_id, count(*) AS n FROM zc GROUP BY cluster_id),
 sil AS (SELECT ab.c_custkey, ab.c_name, ab.cluster_id, CASE WHEN sz.n <= 1 OR greatest(a, b) = 0 THEN 0.0
                ELSE (b - a) / greatest(a, b) END AS s FROM ab JOIN sz ON sz.cluster_id = ab.cluster_id)"""
+ORACLES["k_distance"] = "WITH " + FEAT_SQL + _zsql() + """, p AS (SELECT c_custkey AS i, n_orders AS x0, avg_price AS x1 FROM z),
+    d AS (SELECT a.i, sqrt((a.x0 - b.x0) * (a.x0 - b.x0) + (a.x1 - b.x1) * (a.x1 - b.x1)) AS dist, b.i AS j
+          FROM p a JOIN p b ON a.i <> b.i)
+    SELECT i AS c_custkey, round(dist, 6) AS k_distance FROM d QUALIFY row_number() OVER (PARTITION BY i ORDER BY dist, j) = 4"""
 ORACLES["centroid_silhouette"] = BASE + _FOC + _SIL + " SELECT c_custkey, cluster_id, round(s, 6) AS silhouette FROM sil"
 ORACLES["centroid_silhouette_score"] = BASE + _FOC + _SIL + " SELECT round(avg(round(s, 6)), 4) AS score FROM sil"

@@ -39,3 +39,11 @@ def test_table_set_skips_empty(spark):
     assert os.path.exists(os.path.join(d, "full")) and not os.path.exists(os.path.join(d, "empty"))
     io.write_csv(full, os.path.join(d, "csv"))
     assert spark.read.option("header", True).csv(os.path.join(d, "csv")).count() == 1
+
+
+def test_map_entities(spark):
+    from leafline.operators.incremental import map_entities
+
+    df = spark.range(10).selectExpr("id", "id * 2 AS v")
+    out = map_entities(df, lambda pdf: pdf.assign(v=pdf["v"] + 1), "id long, v long", partitions=3, key="id")
+    assert sorted(r["v"] for r in out.collect()) == [2 * i + 1 for i in range(10)]
