@@ -61,10 +61,16 @@ def nfkc(col: Column) -> Column:
     return F.when(needs, normalized).otherwise(col)
 
 
+@lru_cache(maxsize=1)
+def py_space_chars() -> str:
+    """The characters Python's ``str.isspace`` accepts, as one string."""
+    return "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
+
+
 def py_strip(col: Column) -> Column:
-    """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    ws = py_space_class()
-    return F.regexp_replace(col, f"^{ws}+|{ws}+$", "")
+    """Python ``str.strip()``: remove Unicode whitespace at both ends (a
+    character-set trim, no regex)."""
+    return F.btrim(col, F.lit(py_space_chars()))
 
 
 def normalize_text(col: Column) -> Column:
