@@ -552,6 +552,9 @@ def kth_neighbour_distance(df: DataFrame, key: str, feats: Sequence[str], m: int
     point within h); a point with at least m−1 others within h has its
     answer among them.  The rest retry with h doubled, so only sparse points
     ever look far.  Pairs beyond h are never formed."""
+    from leafline.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
     todo = df.select(key, *feats)
     done = None
     h = h0

@@ -16,6 +16,7 @@ from leafline.operators import features as E
 from leafline.operators import profile as P
 from leafline.operators import strategy as R
 from leafline.plans.analysis_plans import DENSE, FEAT_SQL, FOCUS
+from leafline.session import checkpoint_dir
 from leafline.sources.bindings import customer_features
 
 KEY = "c_custkey"
@@ -26,6 +27,9 @@ EPS, MIN_SAMPLES = 0.2, 5
 
 
 def _z(spark, sf):
+    """Standardised clustering input, checkpointed (iterative jobs reread it)
+    into the shared folder the session names in spark.checkpoint.dir."""
+    checkpoint_dir(spark)
     f = customer_features(spark, sf)
     z, _ = E.standardize(f.select(KEY, "c_name", "c_mktsegment", "rank", *CL), CL)
     return z.checkpoint()
