@@ -273,7 +273,7 @@ def relabel_by_rank(assigned: DataFrame, cluster_col: str, rank_col: str, out_co
     """Renumber clusters 0..k−1 by mean rank ascending.  The map
     has k rows (an aggregate), so it is broadcast."""
     means = assigned.groupBy(cluster_col).agg(F.avg(rank_col).alias("_mr"))
-    m = means.withColumn(out_col, F.row_number().over(Window.orderBy("_mr", cluster_col)) - 1).drop("_mr")
+    m = means.withColumn(out_col, (F.row_number().over(Window.orderBy("_mr", cluster_col)) - 1).cast("bigint")).drop("_mr")
     return assigned.join(F.broadcast(m), cluster_col)
 
 
@@ -286,7 +286,7 @@ def cluster_info(assigned: DataFrame, cluster_col: str, rank_col: str) -> DataFr
 
 def cluster_names(info: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
     """C14: tier word by cluster order + "(min-max)" of its ranks."""
-    words = F.element_at(F.array(*[F.lit(w) for w in TIER_NAMES]), F.col(cluster_col) + 1)
+    words = F.element_at(F.array(*[F.lit(w) for w in TIER_NAMES]), (F.col(cluster_col) + 1).cast("int"))
     word = F.coalesce(F.when(F.col(cluster_col) < len(TIER_NAMES), words),
                       F.concat(F.lit("Tier-"), (F.col(cluster_col) + 1).cast("string")))
     return info.select(cluster_col, F.format_string("%s (%d-%d)", word, F.col("min_rank"), F.col("max_rank")).alias("cluster_name"))
@@ -533,7 +533,7 @@ def centroid_silhouette(assigned: DataFrame, feats: Sequence[str], centres: Sequ
     its own name."""
     d = [F.sqrt(sqdist_expr(feats, c)) for c in centres]
     dist = F.array(*d)
-    own = F.element_at(dist, F.col(cluster_col) + 1)
+    own = F.element_at(dist, (F.col(cluster_col) + 1).cast("int"))
     other = F.array_min(F.filter(F.transform(dist, lambda x, i: F.when(i != F.col(cluster_col), x)), lambda x: x.isNotNull()))
     size = F.count(F.lit(1)).over(Window.partitionBy(cluster_col))
     s = F.when(size <= 1, F.lit(0.0)).when(F.greatest(own, other) == 0, F.lit(0.0)).otherwise(

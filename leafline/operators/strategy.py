@@ -60,7 +60,7 @@ def cv_folds(df: DataFrame, order_col: str, k: int = 5) -> DataFrame:
     big = F.lit(r * (q + 1))
     fold = F.when(p <= big, F.floor((p - 1) / F.lit(q + 1)) + 1).otherwise(
         F.lit(r) + F.floor((p - big - 1) / F.lit(max(q, 1))) + 1)
-    return pos.withColumn("fold", fold.cast("int")).drop("_pos")
+    return pos.withColumn("fold", fold.cast("bigint")).drop("_pos")
 
 
 def _combine(parts: list[dict]) -> dict:
@@ -126,7 +126,7 @@ def coef_interpretation(coefs: DataFrame) -> DataFrame:
             .when(f.contains("gmat"), F.lit(10.0)).when(f.contains("gpa"), F.lit(0.1)).otherwise(F.lit(1.0)))
     w = Window.orderBy(F.desc(F.abs("coef")), "feature")  # over the p-row coefficient table
     return coefs.select("feature", "coef", unit.alias("unit"), (F.col("coef") * unit).alias("per_unit"),
-                        F.row_number().over(w).alias("magnitude_rank"))
+                        F.row_number().over(w).cast("bigint").alias("magnitude_rank"))
 
 
 def gap_to_target(feat: DataFrame, coefs: DataFrame, rank_col: str, band: tuple[int, int], focus: Column,

@@ -363,10 +363,10 @@ ORACLES = {
                round(CASE WHEN n_f = 0 THEN NULL ELSE spend / n_f END, 6) AS spend_per_finished FROM feat""",
     "regr_one": "WITH " + FEAT_SQL + """
         SELECT round(regr_slope(p12p, avg_price), 6) AS slope, round(regr_intercept(p12p, avg_price), 4) AS intercept,
-               round(regr_r2(p12p, avg_price), 6) AS r2, regr_count(p12p, avg_price) AS n FROM feat""",
+               round(regr_r2(p12p, avg_price), 6) AS r2, regr_count(p12p, avg_price)::BIGINT AS n FROM feat""",
     "ols_simple": "WITH " + FEAT_SQL + """
         SELECT round(regr_slope(spend, n_orders), 4) AS slope, round(regr_intercept(spend, n_orders), 2) AS intercept,
-               round(regr_r2(spend, n_orders), 6) AS r2, regr_count(spend, n_orders) AS n FROM feat""",
+               round(regr_r2(spend, n_orders), 6) AS r2, regr_count(spend, n_orders)::BIGINT AS n FROM feat""",
     "cv_folds": "WITH " + FEAT_SQL + " SELECT c_custkey, rank, ntile(5) OVER (ORDER BY rank) AS fold FROM feat",
     "target_band": "WITH " + FEAT_SQL + f"""
         SELECT count(*) AS n_in_band, min(spend) AS min_score, max(spend) AS max_score,
@@ -414,7 +414,7 @@ _GF = ["n_orders", "avg_price", "lo", "hi"]
 _SLOPES = ", slopes AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, regr_slope(spend, {c}) AS coef FROM feat" for c in _GF) + ")"
 ORACLES["coef_interpretation"] = "WITH " + FEAT_SQL + _SLOPES + """
-    SELECT feature, round(coef, 6) AS coef, 1.0 AS unit, round(coef, 6) AS per_unit,
+    SELECT feature, round(coef, 6) AS coef, 1.0::DOUBLE AS unit, round(coef, 6) AS per_unit,
            row_number() OVER (ORDER BY abs(coef) DESC, feature) AS magnitude_rank FROM slopes"""
 _GAPS = ", band AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, (SELECT max({c}) FROM feat WHERE {_FOCUS})::DOUBLE AS focus_value, "
