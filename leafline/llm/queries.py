@@ -6,8 +6,10 @@ import importlib
 
 #: query name -> module of this package that defines it
 OPERATORS = {
+    "op2_secrets": "secrets",
     "op5_warc_segments": "warc",
     "op7_shard_lpt": "sharding",
+    "op9_winnowing": "winnowing",
 }
 
 
