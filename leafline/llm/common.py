@@ -26,11 +26,19 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/leafline-{tag}-{uuid.uuid4().hex}"
 
 
-def shared_table(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
-    path = new_folder(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def shared_table(df: DataFrame, tag: str, batch_rows: int = 2000) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    ``batch_rows`` bounds the rows of an Arrow batch sent to Python meanwhile."""
+    spark = df.sparkSession
+    path, key = new_folder(spark, tag), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, batch_rows)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

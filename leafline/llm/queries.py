@@ -7,9 +7,12 @@ import importlib
 #: query name -> module of this package that defines it
 OPERATORS = {
     "op2_secrets": "secrets",
+    "op4_near_duplicates": "neardup",
     "op5_warc_segments": "warc",
+    "op6_toxicity_kn": "toxicity",
     "op7_shard_lpt": "sharding",
     "op9_winnowing": "winnowing",
+    "op10_quality_kn": "quality",
 }
 
 
