@@ -7,6 +7,7 @@ import importlib
 #: query name -> module of this package that defines it
 OPERATORS = {
     "op2_secrets": "secrets",
+    "op3_decontamination": "decontamination",
     "op4_near_duplicates": "neardup",
     "op5_warc_segments": "warc",
     "op6_toxicity_kn": "toxicity",
