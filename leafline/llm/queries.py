@@ -12,6 +12,7 @@ OPERATORS = {
     "op5_warc_segments": "warc",
     "op6_toxicity_kn": "toxicity",
     "op7_shard_lpt": "sharding",
+    "op8_mixing": "mixing",
     "op9_winnowing": "winnowing",
     "op10_quality_kn": "quality",
 }
