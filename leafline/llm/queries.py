@@ -6,6 +6,7 @@ import importlib
 
 #: query name -> module of this package that defines it
 OPERATORS = {
+    "op1_html_wrapper": "html_extract",
     "op2_secrets": "secrets",
     "op3_decontamination": "decontamination",
     "op4_near_duplicates": "neardup",
