@@ -83,11 +83,19 @@ def audit_records(records: DataFrame, texts: DataFrame, key: str, json_col: str
         digits_view(F.col("_text")).alias("_digits"),
     )
 
-    def verdict(leaf: Column) -> Column:
-        first = F.get(
-            F.filter(leaf["candidates"], lambda c: _match(c, F.col("_lower"), F.col("_compact"), F.col("_digits"))),
-            0,
+    candidate = views.schema["leaves"].dataType.elementType["candidates"].dataType.elementType
+
+    def with_hit(leaf: Column) -> Column:
+        """The leaf and its first candidate found in the text; later ones aren't tried."""
+        hit = F.aggregate(
+            leaf["candidates"], F.lit(None).cast(candidate),
+            lambda got, c: F.when(got.isNotNull(), got).when(
+                _match(c, F.col("_lower"), F.col("_compact"), F.col("_digits")), c),
         )
+        return F.struct(leaf.alias("leaf"), hit.alias("hit"))
+
+    def verdict(pair: Column) -> Column:
+        leaf, first = pair["leaf"], pair["hit"]
         auditable = leaf["kind"].isin(*AUDITABLE)
         match_type = (
             F.when(~auditable, F.when(leaf["kind"].isin("invalid_json", "depth_exceeded"), leaf["kind"])
@@ -105,7 +113,7 @@ def audit_records(records: DataFrame, texts: DataFrame, key: str, json_col: str
             F.when(auditable, first["text"]).alias("matched_candidate"),
         )
 
-    results = views.select(key, F.transform(F.col("leaves"), verdict).alias("results"))
+    results = views.select(key, F.transform(F.transform("leaves", with_hit), verdict).alias("results"))
     return results.select(key, "results", *_report_columns(F.col("results")))
 
 

@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafline.session import materialise
+
 # Fixed values (must equal the reference's): names of clusters by rank order.
 TIER_NAMES = ["Elite", "Strong", "Mid-Upper", "Mid-Lower", "Lower", "Bottom", "Tier-7"]
 
@@ -112,12 +114,11 @@ def lloyd_step(df: DataFrame, feats: Sequence[str], runs: dict, weight: Column |
     out = {}
     for run, cs in runs.items():
         got = new.get(run, {})
+        # emptied clusters re-seed with distinct far points, the farthest first
+        spare = sorted(far.get(run, []), key=lambda t: -t[0])
         fixed = []
         for c in range(len(cs)):
-            if c in got:
-                fixed.append(got[c])
-            else:  # emptied cluster: re-seed with the farthest point seen
-                fixed.append(max(far.get(run, [(0.0, list(cs[c]))]), key=lambda t: t[0])[1])
+            fixed.append(got[c] if c in got else spare.pop(0)[1] if spare else list(cs[c]))
         out[run] = fixed
     return out, inertia, sizes
 
@@ -305,9 +306,10 @@ def adjusted_rand(df: DataFrame, a: str, b: str, weight: Column | None = None) -
     one = cont.agg(F.sum(comb(F.col("nij"))).alias("I"), F.sum("nij").alias("N"),
                    F.sum(F.when(F.col("ra") == 1, comb(F.col("ai")))).alias("A"),
                    F.sum(F.when(F.col("rb") == 1, comb(F.col("bj")))).alias("B"))
-    e = F.col("A") * F.col("B") / comb(F.col("N"))
+    # a single row has no pair of rows: the agreement is 1 by definition
+    e = F.try_divide(F.col("A") * F.col("B"), comb(F.col("N")))
     den = (F.col("A") + F.col("B")) / 2 - e
-    return one.select(F.when(den == 0, F.lit(1.0)).otherwise((F.col("I") - e) / den).alias("ari"))
+    return one.select(F.when(e.isNull() | (den == 0), F.lit(1.0)).otherwise((F.col("I") - e) / den).alias("ari"))
 
 
 def match_rate(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -322,17 +324,16 @@ def stability_grade(mean_ari: Column) -> Column:
 
 def poisson1_weight(key: Column, run: Column, seed: int = 42) -> Column:
     """Bootstrap multiplicity ~ Poisson(1) from a hash uniform (inverse CDF);
-    the scalable stand-in for a multinomial draw of n rows."""
+    the scalable stand-in for a multinomial draw of n rows.  Bounds run
+    until the distribution function reaches 1 in double precision."""
     u = uniform_hash(key.cast("string"), run.cast("string"), seed=seed)
-    cdf, p, out = 0.0, math.exp(-1.0), F.lit(8)
-    bounds = []
-    for k in range(8):
+    cdf, p, k, bounds = 0.0, math.exp(-1.0), 0, []
+    while cdf + p > cdf:
         cdf += p
-        bounds.append((k, cdf))
-        p = p / (k + 1)
-    for k, c in reversed(bounds):
-        out = F.when(u <= F.lit(c), F.lit(k)).otherwise(out)
-    return out
+        bounds.append(cdf)
+        k += 1
+        p /= k
+    return F.size(F.filter(F.array(*[F.lit(c) for c in bounds]), lambda c: c < u))
 
 
 # ------------------------------------------------------------------ DBSCAN
@@ -356,49 +357,44 @@ def eps_pairs(df: DataFrame, key: str, feats: Sequence[str], eps: float) -> Data
     return j.where((F.col("i") != F.col("j")) & (d2 <= F.lit(eps * eps))).select("i", "j", F.sqrt(d2).alias("dist"))
 
 
-def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float | Sequence[float], min_samples: int,
-           max_iter: int = 100, checkpoint_every: int = 3) -> DataFrame:
+def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float | Sequence[float],
+           min_samples: int) -> DataFrame:
     """Labels 0..c−1 (clusters ordered by their first core point in
     ``order``) and −1 for noise, for one or several eps at once.
 
     Core: at least ``min_samples`` points within eps, itself included.  A
     border point joins the cluster with the smallest first-core position
     among its core neighbours.  Several eps share one grid join (at the
-    largest eps) and one label-propagation loop keyed by (eps, point)."""
-    spark = df.sparkSession
+    largest eps) and one label-propagation loop keyed by (eps, point).  The
+    pairs, the core points and each round's labels are written once; the
+    loop ends when no label changes."""
     from leafline.operators.features import global_row_number
-    from leafline.session import checkpoint_dir
 
-    checkpoint_dir(spark)
     eps_list = [float(e) for e in (eps if isinstance(eps, (list, tuple)) else [eps])]
     pts = df.select(F.col(key).alias("i"), F.col(order).alias("pos"))
     pairs0 = eps_pairs(df, key, feats, max(eps_list))
-    pairs = pairs0.select("i", "j", "dist", F.explode(F.array(*[F.lit(e) for e in eps_list])).alias("eps")).where(
-        F.col("dist") <= F.col("eps")).drop("dist")
+    pairs = materialise(pairs0.select("i", "j", "dist", F.explode(F.array(*[F.lit(e) for e in eps_list])).alias("eps")).where(
+        F.col("dist") <= F.col("eps")).drop("dist"), "dbscan-pairs")
     grid = pts.select("i", "pos", F.explode(F.array(*[F.lit(e) for e in eps_list])).alias("eps"))
     deg = pairs.groupBy("eps", "i").agg(F.count("*").alias("nb"))
-    core = grid.join(deg, ["eps", "i"], "left").withColumn(
-        "core", F.coalesce(F.col("nb"), F.lit(0)) + 1 >= min_samples).drop("nb")
+    core = materialise(grid.join(deg, ["eps", "i"], "left").withColumn(
+        "core", F.coalesce(F.col("nb"), F.lit(0)) + 1 >= min_samples).drop("nb"), "dbscan-core")
     cores = core.where("core").select("eps", "i", "pos")
     # nodes are identified by (eps, position); a label is the smallest position
     # reachable so far.  Each round takes the smallest neighbour label, then
-    # jumps (label of my label), which shortens chains geometrically;
-    # ``checkpoint()`` cuts the lineage every few rounds.
-    e = pairs.join(cores, ["eps", "i"]).select("eps", F.col("pos").alias("u"), "j").join(
-        cores.select("eps", F.col("i").alias("j"), F.col("pos").alias("v")), ["eps", "j"]).select("eps", "u", "v")
+    # jumps (label of my label), which shortens chains geometrically.
+    e = materialise(pairs.join(cores, ["eps", "i"]).select("eps", F.col("pos").alias("u"), "j").join(
+        cores.select("eps", F.col("i").alias("j"), F.col("pos").alias("v")), ["eps", "j"]).select("eps", "u", "v"), "dbscan-edges")
     label = cores.select("eps", F.col("pos").alias("u"), F.col("pos").alias("lab"))
-    for it in range(max_iter):
+    while True:
         nb = e.join(label.select("eps", F.col("u").alias("v"), F.col("lab").alias("nlab")), ["eps", "v"]).groupBy(
             "eps", "u").agg(F.min("nlab").alias("m"))
-        step = label.join(nb, ["eps", "u"], "left").select("eps", "u", F.least("lab", F.coalesce("m", "lab")).alias("lab"))
-        jump = step.join(step.select("eps", F.col("u").alias("lab"), F.col("lab").alias("lab2")), ["eps", "lab"], "left").select(
-            "eps", "u", F.least("lab", F.coalesce("lab2", "lab")).alias("lab"))
-        if (it + 1) % checkpoint_every == 0:
-            jump = jump.checkpoint()
-        changed = jump.join(label.withColumnRenamed("lab", "old"), ["eps", "u"]).where(
-            F.col("lab") != F.col("old")).limit(1).count()
-        label = jump
-        if changed == 0:
+        step = materialise(label.join(nb, ["eps", "u"], "left").select(
+            "eps", "u", F.col("lab").alias("old"), F.least("lab", F.coalesce("m", "lab")).alias("lab")), "dbscan-step")
+        jump = materialise(step.join(step.select("eps", F.col("u").alias("lab"), F.col("lab").alias("lab2")), ["eps", "lab"]).select(
+            "eps", "u", "old", F.least("lab", "lab2").alias("lab")), "dbscan-label")
+        label = jump.select("eps", "u", "lab")
+        if jump.where("lab <> old").limit(1).count() == 0:
             break
     comp = label.join(cores.select("eps", F.col("pos").alias("u"), "i"), ["eps", "u"]).select("eps", "i", "lab")
     border = pairs.join(core.where(~F.col("core")).select("eps", "i"), ["eps", "i"]).join(
@@ -407,121 +403,12 @@ def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float
     labs = comp.unionByName(border)
     ids = global_row_number(labs.select("eps", "lab").distinct(), [F.col("eps"), F.col("lab")], "_g")
     first = ids.groupBy("eps").agg(F.min("_g").alias("_g0"))
-    ids = ids.join(F.broadcast(first), "eps").withColumn("cluster", F.col("_g") - F.col("_g0")).select("eps", "lab", "cluster")
+    ids = ids.join(first, "eps").withColumn("cluster", F.col("_g") - F.col("_g0")).select("eps", "lab", "cluster")
     out = grid.join(labs, ["eps", "i"], "left").join(ids, ["eps", "lab"], "left").join(core.select("eps", "i", "core"), ["eps", "i"])
     out = out.select("eps", F.col("i").alias(key), F.coalesce(F.col("cluster"), F.lit(-1)).alias("cluster"), "core")
     return out if len(eps_list) > 1 else out.drop("eps")
 
 
-# ------------------------------------------------------------------ Ward
-
-def micro_clusters(df: DataFrame, key: str, feats: Sequence[str], cap: int = 2000, seed: int = 42):
-    """Phase 1 of Ward: summarise the points as at most ``cap`` weighted
-    micro-clusters ``(mc, n, centre)`` and a point -> mc map.
-
-    With no more distinct points than ``cap`` every distinct point is its
-    own micro-cluster (then Ward is exact); above it, k-means with ``cap``
-    centres summarises them (BIRCH-style; an approximation)."""
-    distinct = df.select(*feats).distinct().limit(cap + 1).count()
-    if distinct <= cap:
-        g = df.groupBy(*feats).agg(F.count("*").alias("n"))
-        rows = g.collect()  # at most ``cap`` rows
-        centres = [[float(r[c]) for c in feats] for r in rows]
-        sizes = [float(r["n"]) for r in rows]
-        mapped = assign(df, feats, centres, "mc") if len(centres) <= 64 else df.join(
-            df.sparkSession.createDataFrame([(i, *c) for i, c in enumerate(centres)], ["mc", *feats]), list(feats))
-        return np.array(centres), np.array(sizes), mapped.select(key, "mc")
-    centres, _ = kmeans_fit(df, key, feats, cap, n_init=1, max_iter=20, seed=seed)
-    mapped = assign(df, feats, centres, "mc")
-    sizes = {r["mc"]: r["n"] for r in mapped.groupBy("mc").agg(F.count("*").alias("n")).collect()}
-    return np.array(centres), np.array([float(sizes.get(i, 0)) for i in range(len(centres))]), mapped.select(key, "mc")
-
-
-def ward_merges(centres: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, float, float]]:
-    """Phase 2 of Ward on the (metadata-sized) micro-cluster summary:
-    nearest-neighbour chain with Lance–Williams updates, O(m²).
-
-    Height of merging u, v = sqrt(2 n_u n_v / (n_u + n_v)) * ||c_u − c_v||
-    (the Euclidean distance for singletons).  Returns merges sorted by
-    height as (a, b, height, size) with ids like a linkage matrix (new
-    cluster t gets id m + t)."""
-    m = len(centres)
-    if m < 2:
-        return []
-    n = sizes.astype(float).copy()
-    diff = centres[:, None, :] - centres[None, :, :]
-    D = np.sqrt(2 * np.outer(n, n) / (n[:, None] + n[None, :]) * (diff ** 2).sum(-1))
-    np.fill_diagonal(D, np.inf)
-    active = np.ones(m, dtype=bool)
-    ident = list(range(m))
-    raw = []
-    chain: list[int] = []
-    while active.sum() > 1:
-        if not chain:
-            chain.append(int(np.argmax(active)))
-        a = chain[-1]
-        row = np.where(active, D[a], np.inf)
-        row[a] = np.inf
-        b = int(np.argmin(row))
-        if len(chain) > 1 and row[chain[-2]] <= row[b]:
-            b = chain[-2]
-        if len(chain) > 1 and b == chain[-2]:
-            chain.pop()
-            chain.pop()
-            h = D[a, b]
-            na, nb = n[a], n[b]
-            ks = np.where(active)[0]
-            ks = ks[(ks != a) & (ks != b)]
-            nk = n[ks]
-            new = np.sqrt(np.maximum(((na + nk) * D[a, ks] ** 2 + (nb + nk) * D[b, ks] ** 2 - nk * h * h) / (na + nb + nk), 0))
-            lo, hi = (a, b) if a < b else (b, a)
-            D[lo, ks] = D[ks, lo] = new
-            D[hi, :] = D[:, hi] = np.inf
-            active[hi] = False
-            raw.append((ident[a], ident[b], float(h), na + nb, lo))
-            n[lo] = na + nb
-            ident[lo] = ("m", len(raw) - 1)
-            chain = [c for c in chain if active[c]]
-        else:
-            chain.append(b)
-    # sort by height and give merged clusters linkage ids m + t
-    order = sorted(range(len(raw)), key=lambda i: raw[i][2])
-    newid = {}
-    out = []
-    for t, i in enumerate(order):
-        a, b, h, size, _ = raw[i]
-        ra = newid[a[1]] if isinstance(a, tuple) else a
-        rb = newid[b[1]] if isinstance(b, tuple) else b
-        newid[i] = m + t
-        out.append((int(min(ra, rb)), int(max(ra, rb)), float(h), float(size)))
-    return out
-
-
-def cut_heights(merges, ks: Sequence[int]) -> dict[int, float]:
-    """The line that cuts the tree into k clusters sits at the (k−1)-th
-    largest merge height."""
-    hs = sorted((h for _, _, h, _ in merges), reverse=True)
-    return {k: hs[k - 2] if 0 < k - 1 <= len(hs) else float("nan") for k in ks}
-
-
-def cut_labels(merges, m: int, k: int) -> list[int]:
-    """Flat labels 0..k−1 for the m leaves after the first m − k merges
-    (labels by first leaf, so they are deterministic)."""
-    parent = list(range(2 * m))
-
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for t, (a, b, _h, _s) in enumerate(merges[: max(m - k, 0)]):
-        parent[find(a)] = m + t
-        parent[find(b)] = m + t
-    roots = {}
-    return [roots.setdefault(find(i), len(roots)) for i in range(m)]
-
-
 # ------------------------------------------------------------------ centroid silhouette (C3 variant)
 
 def centroid_silhouette(assigned: DataFrame, feats: Sequence[str], centres: Sequence[Sequence[float]],
@@ -535,41 +422,40 @@ def centroid_silhouette(assigned: DataFrame, feats: Sequence[str], centres: Sequ
     dist = F.array(*d)
     own = F.element_at(dist, (F.col(cluster_col) + 1).cast("int"))
     other = F.array_min(F.filter(F.transform(dist, lambda x, i: F.when(i != F.col(cluster_col), x)), lambda x: x.isNotNull()))
-    size = F.count(F.lit(1)).over(Window.partitionBy(cluster_col))
+    size = F.col("_size")
     s = F.when(size <= 1, F.lit(0.0)).when(F.greatest(own, other) == 0, F.lit(0.0)).otherwise(
         (other - own) / F.greatest(own, other))
-    return assigned.withColumn("silhouette", s)
+    # one row per cluster, as many as ``centres``
+    sizes = assigned.groupBy(F.col(cluster_col).alias("_sc")).agg(F.count(F.lit(1)).alias("_size"))
+    return assigned.join(F.broadcast(sizes), F.col(cluster_col) == F.col("_sc")).withColumn("silhouette", s).drop("_sc", "_size")
 
 
 # ------------------------------------------------------------------ k-distance
 
-def kth_neighbour_distance(df: DataFrame, key: str, feats: Sequence[str], m: int, h0: float,
-                           max_rounds: int = 12) -> DataFrame:
+def kth_neighbour_distance(df: DataFrame, key: str, feats: Sequence[str], m: int, h0: float) -> DataFrame:
     """Distance to the m-th nearest neighbour counting the point itself
-    (so the (m−1)-th other point), exact.
+    (so the (m−1)-th other point), exact; NULL for every point of a table
+    with fewer than ``m`` points.
 
     Grid join at radius h (cells of side h, 3^d neighbour cells hold every
     point within h); a point with at least m−1 others within h has its
-    answer among them.  The rest retry with h doubled, so only sparse points
-    ever look far.  Pairs beyond h are never formed."""
-    from leafline.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    todo = df.select(key, *feats)
+    answer among them.  The rest retry with h doubled until none is left,
+    so only sparse points ever look far.  Pairs beyond h are never formed."""
+    if df.limit(m).count() < m:
+        return df.select(key, F.lit(None).cast("double").alias("k_distance"))
+    todo = materialise(df.select(key, *feats), "kth-todo")
     done = None
     h = h0
-    for _ in range(max_rounds):
+    while True:
         pairs = eps_pairs_between(todo, df, key, feats, h)
         w = Window.partitionBy("i").orderBy("dist", "j")
-        kth = pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == m - 1).select(
-            F.col("i").alias(key), F.col("dist").alias("k_distance"))
-        kth = kth.checkpoint()
+        kth = materialise(pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == m - 1).select(
+            F.col("i").alias(key), F.col("dist").alias("k_distance")), "kth-found")
         done = kth if done is None else done.unionByName(kth)
-        todo = todo.join(kth.select(key), key, "left_anti")
+        todo = materialise(todo.join(kth.select(key), key, "left_anti"), "kth-todo")
         if todo.limit(1).count() == 0:
-            break
+            return done
         h *= 2
-    return done
 
 
 def eps_pairs_between(left: DataFrame, right: DataFrame, key: str, feats: Sequence[str], eps: float) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafline.operators import linalg
+from leafline.session import materialise
 
 # ------------------------------------------------------------------ ranks
 
@@ -27,17 +28,21 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
     inside a partition comes from ``monotonically_increasing_id`` (which
     numbers rows in partition order), the partition's start from the row
     counts of the partitions before it (one row per partition: metadata,
-    broadcast).  ``order`` must be a total order (end with a unique key)."""
+    broadcast).  Range bounds come from a sample that Spark draws anew for
+    each evaluation, so the numbered rows are written once and both the
+    counts and the result read that table: they cannot disagree.
+    ``order`` must be a total order (end with a unique key)."""
     from leafline.operators.audit import work_partitions
 
     n = partitions or work_partitions(df)
     s = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
     s = s.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
+    s = materialise(s.drop("_mid"), "ranked")
     counts = s.groupBy("_pid").agg(F.count("*").alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
     return s.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + F.col("_idx") + 1).drop(
-        "_mid", "_pid", "_idx", "_off"
+        "_pid", "_idx", "_off"
     )
 
 
@@ -190,36 +195,36 @@ def correlated_pairs(corr: DataFrame, threshold: float = 0.85) -> DataFrame:
     return corr.where(F.abs("r") > threshold).orderBy(F.desc(F.abs("r")), "feature_i", "feature_j")
 
 
+#: Which of two correlated columns goes: per rule the part of the dotted name it
+#: looks at and the rank of each word; the larger rank goes.  A rule says
+#: nothing where a name has no rank or both have the same.
+DROP_RANKS = [
+    ("name", {"two_yr_avg": 0, "": 1}),
+    ("name", {"us_citizens": 1, "overall": 0}),
+    ("leaf", {"low_": 1, "high_": 1, "average": 0}),
+]
+
+
+def drop_ranks(name: str) -> list[int | None]:
+    """The column's rank under each rule: that of the first word it holds."""
+    part = {"name": name, "leaf": name.rsplit(".", 1)[-1]}
+    return [next((r for word, r in words.items() if word in part[scope]), None) for scope, words in DROP_RANKS]
+
+
 def correlation_drop_list(pairs: list[tuple[str, str, float]], missing_pct: dict[str, float]) -> list[tuple[str, str]]:
-    """Greedy drop over the (metadata-sized) ordered pair list.
-
-    Skip a pair if either is already dropped; keep ``two_yr_avg`` columns;
-    drop ``us_citizens`` against ``overall``; drop ``low_``/``high_`` against
-    ``average``; else drop the one with more missing values; tie -> second."""
-    dropped: list[tuple[str, str]] = []
-    gone: set[str] = set()
-    for a, b, _r in pairs:
-        if a in gone or b in gone:
+    """``(dropped, kept)`` for the (metadata-sized) ordered pair list.
+
+    Of a pair whose columns are both still there, the first rule that ranks them
+    differently decides, then the larger missing share, then the second goes."""
+    out: dict[str, str] = {}
+    for first, second, _r in pairs:
+        if first in out or second in out:
             continue
-        if "two_yr_avg" in a and "two_yr_avg" not in b:
-            victim = b
-        elif "two_yr_avg" in b and "two_yr_avg" not in a:
-            victim = a
-        elif "us_citizens" in a and "overall" in b:
-            victim = a
-        elif "us_citizens" in b and "overall" in a:
-            victim = b
-        elif ("low_" in a or "high_" in a) and "average" in b:
-            victim = a
-        elif ("low_" in b or "high_" in b) and "average" in a:
-            victim = b
-        elif missing_pct.get(a, 0.0) > missing_pct.get(b, 0.0):
-            victim = a
-        else:
-            victim = b
-        gone.add(victim)
-        dropped.append((victim, b if victim == a else a))
-    return dropped
+        signs = [x - y for x, y in zip(drop_ranks(first), drop_ranks(second)) if x is not None and y is not None]
+        signs.append(missing_pct.get(first, 0.0) - missing_pct.get(second, 0.0))
+        goes_first = next((s > 0 for s in signs if s), False)
+        out.update({first: second} if goes_first else {second: first})
+    return list(out.items())
 
 
 def standardize(df: DataFrame, cols: Sequence[str]):

@@ -5,7 +5,7 @@ All row-local except L2 (one exchange by path) and L3 (an aggregate).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference's): ad/tracker domains blocked by substring.
@@ -65,18 +65,17 @@ def has_exact_rank(text: Column) -> Column:
 
 def best_link_row(rows: DataFrame, text_col: str = "row_text") -> DataFrame:
     """L2: one row per path: an exact rank beats none, then the longer text,
-    then the first seen; ordered by the path's first position.
-
-    ``rows`` has ``page_id, pos, path`` and ``text_col``.  One exchange by
-    path (a path is one link target; its group is bounded by its anchors)."""
-    w = Window.partitionBy("path").orderBy(
-        F.desc(has_exact_rank(F.col(text_col)).cast("int")), F.desc(F.length(text_col)), "page_id", "pos"
-    )
-    first = Window.partitionBy("path")
-    ranked = rows.withColumn("_rn", F.row_number().over(w)).withColumn(
-        "first_seen", F.min(F.struct("page_id", "pos")).over(first)
-    )
-    return ranked.where("_rn = 1").drop("_rn")
+    then the first seen; ``first_seen`` is the path's first position.
+
+    ``rows`` has ``page_id, pos, path`` and ``text_col``.  Minimum and best
+    row are partial aggregates, so a link on every page of a site costs one
+    row per task."""
+    t = F.col(text_col)
+    best = F.struct((~has_exact_rank(t)).alias("_no"), (-F.length(t)).alias("_len"), F.col("page_id"), F.col("pos"))
+    rest = [c for c in rows.columns if c != "path"]
+    picked = rows.groupBy("path").agg(
+        F.min_by(F.struct(*rest), best).alias("_best"), F.min(F.struct("page_id", "pos")).alias("first_seen"))
+    return picked.select(*[F.col("path") if c == "path" else F.col(f"_best.{c}").alias(c) for c in rows.columns], "first_seen")
 
 
 def exact_rank(text: Column) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafline.operators.features import unpivot
@@ -97,10 +97,10 @@ def position_label(focus_value: Column, reference: Column, inverted: bool = Fals
 
 def peer_ranking(assigned: DataFrame, cluster_col: str, cluster_id: int, metric: str) -> DataFrame:
     """Members of a cluster sorted by a metric with the peer mean as a
-    reference line (a window over the cluster's rows)."""
+    reference line (a one-row aggregate)."""
     peers = assigned.where(F.col(cluster_col) == cluster_id)
-    w = Window.partitionBy(cluster_col)
-    return peers.withColumn("peer_mean", F.avg(metric).over(w)).orderBy(F.desc(metric))
+    mean = peers.agg(F.avg(metric).alias("peer_mean"))
+    return peers.crossJoin(F.broadcast(mean)).orderBy(F.desc(metric))
 
 
 def columns_by_pattern(df: DataFrame, include: str, exclude: str | None = None) -> list[str]:

@@ -202,30 +202,6 @@ def q_loo_stability(spark, sf):
                    F.count("*").alias("runs")).withColumn("stable", F.col("mean_overlap") > 0.7)
 
 
-def q_ward_merges(spark, sf):
-    z = _z(spark, sf)
-    centres, sizes, _ = C.micro_clusters(z, KEY, CL)
-    merges = C.ward_merges(centres, sizes)
-    return spark.createDataFrame([(t, a, b, h, s) for t, (a, b, h, s) in enumerate(merges)],
-                                 "step int, a int, b int, height double, size double")
-
-
-def q_cut_heights(spark, sf):
-    z = _z(spark, sf)
-    centres, sizes, _ = C.micro_clusters(z, KEY, CL)
-    hs = C.cut_heights(C.ward_merges(centres, sizes), [5, 6, 7])
-    return spark.createDataFrame([(k, float(h)) for k, h in hs.items()], "k int, height double")
-
-
-def q_ward_labels(spark, sf):
-    z = _z(spark, sf)
-    centres, sizes, mapping = C.micro_clusters(z, KEY, CL)
-    labels = C.cut_labels(C.ward_merges(centres, sizes), len(centres), K)
-    lab = spark.createDataFrame([(i, l) for i, l in enumerate(labels)], "mc int, ward int")
-    a = mapping.join(F.broadcast(lab), "mc").join(z.select(KEY, "rank"), KEY)
-    return C.relabel_by_rank(a, "ward", "rank").select(KEY, "rank", "cluster_id")
-
-
 def _member_centres(z, a):
     rows = _centroids(z, a).orderBy("cluster_id").collect()
     return [[float(r[c]) for c in CL] for r in rows]
@@ -409,9 +385,6 @@ QUERIES = {
     "dbscan_sweep": q_dbscan_sweep,
     "bootstrap_stability": q_bootstrap_stability,
     "loo_stability": q_loo_stability,
-    "ward_merges": q_ward_merges,
-    "cut_heights": q_cut_heights,
-    "ward_labels": q_ward_labels,
     "centroid_silhouette": q_centroid_silhouette,
     "centroid_silhouette_score": q_centroid_silhouette_score,
     "focus_silhouette": q_focus_silhouette,

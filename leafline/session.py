@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -42,14 +43,26 @@ def local_session(cpus: int | str = "*", app: str = "leafline") -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    Set one only where the session names none (a local test run)."""
+    Set one only where a local session names none (a test run); on a cluster
+    a machine's own temporary folder would not be shared, so that is an error."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not d:
+        if not (sc.master or "").startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="leafline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
+
+
+def materialise(df: DataFrame, tag: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    Whatever reads the result later sees the same rows, and lineage ends here."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/leafline-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -106,24 +106,3 @@ def test_dbscan_matches_brute_force(spark, pts):
     got = C.dbscan(df.withColumn("pos", F.col("id")), "id", "pos", ["x", "y"], 0.25, 4)
     got = [r["cluster"] for r in got.orderBy("id").collect()]
     assert got == _brute_dbscan(a, 0.25, 4)
-
-
-def test_ward_matches_naive():
-    import itertools
-
-    rng = np.random.default_rng(3)
-    a = np.vstack([rng.normal(0, .2, (8, 2)), rng.normal(2, .3, (9, 2))])
-    merges = C.ward_merges(a, np.ones(len(a)))
-    clusters, hs = {i: [i] for i in range(len(a))}, []
-    while len(clusters) > 1:
-        best = None
-        for u, v in itertools.combinations(clusters, 2):
-            nu, nv = len(clusters[u]), len(clusters[v])
-            h = np.sqrt(2 * nu * nv / (nu + nv)) * np.linalg.norm(a[clusters[u]].mean(0) - a[clusters[v]].mean(0))
-            if best is None or h < best[0]:
-                best = (h, u, v)
-        h, u, v = best
-        clusters[u] += clusters.pop(v)
-        hs.append(h)
-    assert np.allclose([m[2] for m in merges], sorted(hs))
-    assert C.cut_labels(merges, len(a), 2) == [0] * 8 + [1] * 9
