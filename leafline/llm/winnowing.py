@@ -23,11 +23,10 @@ from leafline.llm.common import read_table, shared_table, text_or_empty
 
 K, W = 5, 8
 POS = (1 << 31) - 1
-#: runs of letters or digits; characters of scripts without spaces stand alone
-WORD = (
-    r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]"
-    r"|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]]+"
-)
+#: what stands between words
+GAP = r"[^\p{L}\p{N}]+"
+#: a text with more bytes a word than this (scripts without blanks) is taken by characters
+WORD_BYTES = 60
 #: buckets of neighbouring ids, and rows that one holds on average
 MAX_BUCKETS, BUCKET_ROWS = 65_536, 2_000
 
@@ -43,8 +42,10 @@ def add_fingerprint(
     if w < 1 or w & (w - 1):
         raise ValueError("w must be a power of two")
     text = text_or_empty(text_col)
-    words = F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda x: F.xxhash64(x))
-    df = df.withColumn("_w", words)
+    df = df.withColumn("_s", F.split(F.lower(text), GAP))
+    by_char = F.octet_length(text) > F.size("_s") * WORD_BYTES
+    df = df.withColumn("_s", F.when(by_char, F.filter(F.split(F.lower(text), ""), lambda x: x.rlike(r"[\p{L}\p{N}]"))).otherwise(F.array_remove("_s", "")))
+    df = df.withColumn("_w", F.transform("_s", lambda x: F.xxhash64(x))).drop("_s")
     n = F.size("_w")
 
     def pack(h: Column, i: Column) -> Column:
@@ -111,12 +112,12 @@ def _bucket(order: str, bounds: list[int]) -> Column:
 
 
 def with_next(
-    rows: DataFrame, id_col: str, carry: list[str], max_buckets: int = MAX_BUCKETS
+    rows: DataFrame, id_col: str, text_col: str, max_buckets: int = MAX_BUCKETS
 ) -> DataFrame:
-    """Add ``next``: struct of ``carry`` of the row after this in falling id.
+    """Add ``fp`` and ``next``: struct of text and ``fp`` of the row after this in falling id.
 
     After the last row comes the first.  Null ids come last; equal ids are
-    ordered by ``carry``.  Rows are dealt to buckets of neighbouring ids
+    ordered by text.  Rows are dealt to buckets of neighbouring ids
     (quantiles over all ids); each bucket also gets the first row of the bucket
     after it, so one shuffle and one window per bucket suffice."""
     order = F.coalesce(F.bitwise_not(F.col(id_col).cast("bigint")), F.lit((1 << 63) - 1))
@@ -129,14 +130,14 @@ def with_next(
         q = F.percentile_approx("_ord", [i / b for i in range(1, b)], max(10_000, 20 * b))
         bounds = sorted(set(light.agg(q.alias("q")).first()["q"]))
     keyed = keyed.withColumn("_b", _bucket("_ord", bounds)).withColumn(
-        "_tie", F.xxhash64(*carry)
+        "_tie", F.xxhash64(text_col)
     ).withColumn("_copy", F.lit(0))
     # the first row of each bucket: at most max_buckets keys
     heads = keyed.groupBy("_b").agg(F.min(F.struct("_ord", "_tie")).alias("_h"))
     heads = shared_table(heads.select("_b", "_h._ord", "_h._tie"), "winnow-heads")
     numbers = sorted(r["_b"] for r in heads.select("_b").toLocalIterator())
     if not numbers:
-        return rows.withColumn("next", F.struct(*carry))
+        return add_fingerprint(rows, text_col).withColumn("next", F.struct(text_col, "fp"))
     before = dict(zip(numbers, numbers[-1:] + numbers[:-1], strict=True))
     to = rows.sparkSession.createDataFrame(list(before.items()), "_hb int, _to int")
     heads = heads.join(to, F.col("_b") == F.col("_hb")).select(
@@ -149,9 +150,10 @@ def with_next(
         .dropDuplicates(["_b"])
         .select(*keyed.columns)
     )
-    w = Window.partitionBy("_b").orderBy("_copy", "_ord", "_tie", *carry)
-    out = keyed.unionByName(first).withColumn("next", F.lead(F.struct(*carry)).over(w))
-    return out.where(F.col("_copy") == 0).select(*rows.columns, "next")
+    w = Window.partitionBy("_b").orderBy("_copy", "_ord", "_tie", text_col)
+    both = add_fingerprint(keyed.unionByName(first), text_col)
+    out = both.withColumn("next", F.lead(F.struct(text_col, "fp")).over(w))
+    return out.where(F.col("_copy") == 0).select(*rows.columns, "fp", "next")
 
 
 def fingerprint_with_edits(
@@ -166,7 +168,7 @@ def fingerprint_with_edits(
     Defined cases: null texts are empty and have no fingerprint; an empty table gives
     none; repeated rows follow each other; other columns are not read."""
     rows = docs.select(F.col(id_col).alias(id_col), text_or_empty(text_col).alias("text"))
-    rows = with_next(add_fingerprint(rows, "text"), id_col, ["text", "fp"])
+    rows = with_next(rows, id_col, "text")
     n = F.char_length("text")
     m = F.floor(n / 3).cast("int")
     edited = F.concat(
