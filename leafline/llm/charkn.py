@@ -34,7 +34,7 @@ HOT = 1 << 18
 SLICE_CHARS, FLUSH_TYPES = 1_000_000, 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
-SCORED_SCHEMA = "_id bigint, _th bigint, _kind int, _value double, _n bigint, g string, _c bigint, _tag string"
+SCORED_SCHEMA = "_id bigint, _th bigint, _kind int, _values array<double>, _n bigint, g string, _c bigint, _tag string"
 
 
 def padded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +77,18 @@ def inside(starts: np.ndarray, total: int) -> np.ndarray:
     return ok
 
 
+def first_places(keys: np.ndarray, ok: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of the places in ``ok`` those where a text has its 5-gram for the first time."""
+    of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[: len(keys)]
+    at = np.flatnonzero(ok)
+    both = keys[at] + of[at].astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    both ^= both >> np.uint64(30)
+    both *= np.uint64(0xBF58476D1CE4E5B9)
+    once = np.zeros(len(keys), bool)
+    once[at[np.unique(both, return_index=True)[1]]] = True
+    return once
+
+
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Runs of whole texts of about ``most`` characters."""
     begin, held = 0, 0
@@ -89,7 +101,7 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
-def _counter(classes: int) -> Callable:
+def _counter(classes: int, once: bool) -> Callable:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, np.ndarray] | None = None
 
@@ -109,12 +121,15 @@ def _counter(classes: int) -> Callable:
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
                 cps, starts = padded(texts[a:b])
                 keys = gram_keys(cps)
-                at = np.flatnonzero(inside(starts, len(cps)))
+                ok = inside(starts, len(cps))
+                if once:
+                    ok = first_places(keys, ok, starts)
+                at = np.flatnonzero(ok)
                 keys = keys[at]
                 uniq, where, place = np.unique(keys, return_index=True, return_inverse=True)
                 counts = np.zeros((len(uniq), classes + 1), dtype=np.int64)
                 counts[:, classes] = np.bincount(place, minlength=len(uniq))
-                of = np.repeat(cls[a:b], np.diff(starts) - ORDER + 1)
+                of = np.repeat(cls[a:b], np.diff(starts))[at]
                 for k in range(classes):
                     if (of == k).any():
                         counts[:, k] = np.bincount(place[of == k], minlength=len(uniq))
@@ -132,13 +147,16 @@ def _counter(classes: int) -> Callable:
     return count
 
 
-def count_grams(docs: DataFrame, cls: Column, classes: int, text_col: str = "text") -> DataFrame:
+def count_grams(
+    docs: DataFrame, cls: Column, classes: int, text_col: str = "text", once: bool = False
+) -> DataFrame:
     """Counts of all 5-gram types: ``g``, ``n0`` .. per class, and ``n{classes}``
-    over every row.  ``cls`` is the class number, -1 for none."""
+    over every row.  ``cls`` is the class number, -1 for none.  With ``once`` a text
+    counts a type once, so that repeated lines weigh no more than others."""
     rows = docs.select(text_or_empty(text_col).alias("text"), F.coalesce(cls, F.lit(-1)).cast("int").alias("cls"))
     names = [f"n{k}" for k in range(classes + 1)]
     schema = "g string, " + ", ".join(f"{n} bigint" for n in names)
-    parts = rows.mapInPandas(_counter(classes), schema)
+    parts = rows.mapInPandas(_counter(classes, once), schema)
     return parts.groupBy("g").agg(*[F.sum(n).alias(n) for n in names])
 
 
@@ -221,7 +239,7 @@ def lower_orders(types: DataFrame, counts: DataFrame) -> DataFrame:
     return p
 
 
-def hot_types(table: DataFrame, frequency: str, value: str, most: int = HOT) -> tuple[np.ndarray, np.ndarray]:
+def hot_types(table: DataFrame, frequency: str, values: list[str], most: int = HOT) -> tuple[np.ndarray, np.ndarray]:
     """Keys and values of the most frequent types, at most ``most``.
 
     The least frequency comes from a table of frequencies, so that no
@@ -233,11 +251,11 @@ def hot_types(table: DataFrame, frequency: str, value: str, most: int = HOT) ->
             break
         least, held = r[frequency], held + r["n"]
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    pdf = table.where(F.col(frequency) >= least).select("g", value).toPandas()
-    cps = np.array([[ord(x) for x in g.ljust(ORDER, chr(0x1A))] for g in pdf["g"]], dtype=np.uint32).reshape(-1, ORDER)
-    keys = np.array([gram_keys(row)[0] for row in cps], dtype=np.uint64) if len(cps) else np.zeros(0, np.uint64)
-    return keys, pdf[value].to_numpy(dtype=np.float64)
+        return np.zeros(0, np.uint64), np.zeros((0, len(values)))
+    pdf = table.where(F.col(frequency) >= least).select("g", *values).toPandas()
+    grams = [g.ljust(ORDER, chr(0x1A)) for g in pdf["g"]]
+    cps = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return gram_keys(cps)[::ORDER], pdf[values].to_numpy(dtype=np.float64)
 
 
 def slots(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -245,13 +263,13 @@ def slots(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     the others are looked up through the join like rare types."""
     bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 8))))
     size = 1 << bits
-    slot_key, slot_value = np.zeros(size, np.uint64), np.zeros(size)
+    slot_key, slot_value = np.zeros(size, np.uint64), np.zeros((size, values.shape[1]))
     at = (keys & np.uint64(size - 1)).astype(np.int64)
     slot_key[at], slot_value[at] = keys, values
     return slot_key, slot_value, size - 1
 
 
-def _scorer(table) -> Callable:
+def _scorer(table, once: bool) -> Callable:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         slot_key, slot_value, mask = table.value
         cols = [c.split()[0] for c in SCORED_SCHEMA.split(", ")]
@@ -261,12 +279,16 @@ def _scorer(table) -> Callable:
                 cps, starts = padded(texts[a:b])
                 keys = gram_keys(cps)
                 ok = inside(starts, len(cps))
+                if once:
+                    ok = first_places(keys, ok, starts)
                 at = (keys & np.uint64(mask)).astype(np.int64)
-                hit = slot_key[at] == keys
-                sums = np.add.reduceat(np.where(hit & ok, slot_value[at], 0.0), starts[:-1])
+                hit = (slot_key[at] == keys) & ok
+                sums = np.stack([
+                    np.add.reduceat(np.where(hit, slot_value[at, k], 0.0), starts[:-1]) for k in range(slot_value.shape[1])
+                ], axis=1)
+                size = np.add.reduceat(np.append(ok, np.zeros(ORDER - 1, bool)).astype(np.int64), starts[:-1])
                 ids, ths = batch["_id"].iloc[a:b], batch["_th"].to_numpy()[a:b]
-                size = np.diff(starts) - ORDER + 1
-                done = pd.DataFrame({"_id": ids.astype("Int64"), "_th": ths, "_kind": 0, "_value": sums, "_n": size, "g": None, "_c": 0, "_tag": batch["_tag"].iloc[a:b]})
+                done = pd.DataFrame({"_id": ids.astype("Int64"), "_th": ths, "_kind": 0, "_values": list(sums), "_n": size, "g": None, "_c": 0, "_tag": batch["_tag"].iloc[a:b]})
                 yield done[cols]
                 rare = np.flatnonzero(ok & ~hit)
                 if len(rare):
@@ -276,8 +298,8 @@ def _scorer(table) -> Callable:
                     of = tail["of"].to_numpy()
                     # the first row of a document's tail counts its occurrences
                     lead = np.concatenate([[1], (of[1:] != of[:-1]).astype(int)])
-                    out = pd.DataFrame({"_id": ids.astype("Int64").to_numpy()[of], "_th": ths[of], "_kind": 1, "_value": 0.0, "_n": lead, "g": tail["g"], "_c": tail["_c"], "_tag": None})
-                    out["_id"] = out["_id"].astype("Int64")
+                    out = pd.DataFrame({"_th": ths[of], "_kind": 1, "_values": None, "_n": lead, "g": tail["g"], "_c": tail["_c"], "_tag": None})
+                    out["_id"] = ids.astype("Int64").array[of]
                     for i in range(0, len(out), 100_000):
                         yield out.iloc[i : i + 100_000][cols]
 
@@ -285,32 +307,35 @@ def _scorer(table) -> Callable:
 
 
 def score_documents(
-    docs: DataFrame, table: DataFrame, frequency: str, value: str,
-    id_col: str = "doc_id", text_col: str = "text", tag_col: str | None = None, hot: int = HOT,
+    docs: DataFrame, table: DataFrame, frequency: str, values: list[str],
+    id_col: str = "doc_id", text_col: str = "text", tag_col: str | None = None,
+    once: bool = False, hot: int = HOT,
 ) -> DataFrame:
-    """Sum of ``value`` over the 5-grams of every row's text.
+    """Sums of ``values`` over the 5-grams of every row's text (with ``once`` over the
+    distinct ones).
 
-    ``table`` has ``g``, ``frequency`` and ``value`` for every type of the corpus.
-    Returns ``_id``, ``_th`` (text hash), ``_tag`` (of ``tag_col``), ``total`` and ``n``
-    (5-grams, one more than the characters), a row for each row of ``docs``."""
+    ``table`` has ``g``, ``frequency`` and ``values`` for every type of the corpus.
+    Returns ``_id``, ``_th`` (text hash), ``_tag`` (of ``tag_col``), a sum per value under its
+    name, and ``n`` (5-grams; all: one more than the characters), a row for each row of ``docs``."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(slots(*hot_types(table, frequency, value, hot)))
+    held = spark.sparkContext.broadcast(slots(*hot_types(table, frequency, values, hot)))
     text = text_or_empty(text_col)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("text"),
         (F.col(tag_col).cast("string") if tag_col else F.lit(None).cast("string")).alias("_tag"),
     )
-    scored = shared_table(rows.mapInPandas(_scorer(held), SCORED_SCHEMA), "kn-scored")
-    whole = scored.where("_kind = 0").select("_id", "_th", "_tag", "_value", "_n")
-    key = table.select(F.col("g").alias("_tg"), F.col(value).alias("_tv"))
-    rare = (
-        scored.where("_kind = 1")
-        .join(key, F.col("g") == F.col("_tg"), "left")
-        .groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth"))
-        # rows that repeat (id, text) emit the same tail; each gets one share
-        .agg((F.sum(F.coalesce("_tv", F.lit(0.0)) * F.col("_c")) / F.sum("_n")).alias("_rare"))
-    )
+    scored = shared_table(rows.mapInPandas(_scorer(held, once), SCORED_SCHEMA), "kn-scored")
+    whole = scored.where("_kind = 0").select("_id", "_th", "_tag", "_values", "_n")
+    key = table.select(F.col("g").alias("_tg"), *[F.col(v).alias(f"_t{k}") for k, v in enumerate(values)])
+    share = [
+        (F.sum(F.coalesce(f"_t{k}", F.lit(0.0)) * F.col("_c")) / F.sum("_n")).alias(f"_r{k}") for k in range(len(values))
+    ]
+    # rows that repeat (id, text) emit the same tail; each gets one share
+    rare = scored.where("_kind = 1").join(key, F.col("g") == F.col("_tg"), "left").groupBy(
+        F.col("_id").alias("_rid"), F.col("_th").alias("_rth")
+    ).agg(*share)
     out = whole.join(rare, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left")
     return out.select(
-        "_id", "_th", "_tag", (F.col("_value") + F.coalesce("_rare", F.lit(0.0))).alias("total"), F.col("_n").alias("n")
+        "_id", "_th", "_tag", F.col("_n").alias("n"),
+        *[(F.get("_values", F.lit(k)) + F.coalesce(f"_r{k}", F.lit(0.0))).alias(v) for k, v in enumerate(values)],
     )

@@ -45,8 +45,8 @@ def perplexities(
         counts.select("g", F.col("n1").alias("freq")).join(p, "g").select("g", "freq", F.log("p").alias("lp")),
         "kn-table",
     )
-    scored = charkn.score_documents(rows, table, "freq", "lp", "_id", tag_col="_lang")
-    return scored.select("_id", "_th", "_tag", F.exp(-F.col("total") / F.col("n")).alias("perplexity"))
+    scored = charkn.score_documents(rows, table, "freq", ["lp"], "_id", tag_col="_lang")
+    return scored.select("_id", "_th", "_tag", F.exp(-F.col("lp") / F.col("n")).alias("perplexity"))
 
 
 def classify_quality(

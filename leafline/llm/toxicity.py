@@ -6,9 +6,11 @@ classes together.  A 5-gram that neither class has seen in a context therefore
 backs off to the same estimate in both models, and only the contexts' back-off
 weights can tell the classes apart; rare expressions stay near zero.
 
-The document's value is the difference of the two log-likelihoods, per
-5-gram (length-normalised) and per square root of the length.  A logistic
-curve fitted on labelled rows that the counts left out turns the two into a score.
+A text counts and scores each of its 5-grams once, so repeated lines weigh no
+more than others.  The document's value is the length-normalised difference of the
+two log-likelihoods, and the parts of it that exceed ``EXCESS`` in a 5-gram, which
+do not follow the subject or language of a text as the whole does.  A logistic curve
+fitted on labelled rows that the counts left out turns them into a score.
 
 Only text and labels enter a score.  Labelled rows are dealt by the remainder ``f`` of
 ``crc32(doc_id) mod 5``: 0 is held out, 1 to 3 give counts, 4 the curve.
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from leafline.llm import charkn
 from leafline.llm.common import read_table, shared_table, small_side
 
+#: differences of log-likelihoods beyond which a 5-gram counts apart
+EXCESS = (1.0, 2.0, 3.0)
 #: labelled rows that the curve is fitted on at most (those of smallest hash)
 CURVE_ROWS = 20_000
 
@@ -60,7 +64,11 @@ def ratio_table(counts: DataFrame) -> DataFrame:
         own = counts.select("g", F.col(f"n{k}").alias("c")).where("c > 0")
         p = charkn.interpolate(counts.select("g"), own, lower, charkn.ORDER)
         out = out.join(p.withColumnRenamed("p", f"p{k}"), "g")
-    return out.select("g", "freq", F.log(F.col("p1") / F.col("p0")).alias("llr"))
+    llr = F.log(F.col("p1") / F.col("p0"))
+    return out.select(
+        "g", "freq", llr.alias("llr"),
+        *[F.greatest(llr - x, F.lit(0.0)).alias(f"over{k}") for k, x in enumerate(EXCESS)],
+    )
 
 
 def score_toxicity(
@@ -68,7 +76,7 @@ def score_toxicity(
     curve_rows: int = CURVE_ROWS,
 ) -> DataFrame:
     """Score of every row: ``_id``, ``_th`` (text hash), ``held_out``, ``score``,
-    ``predicted``, ``ratio`` (log-likelihood ratio per 5-gram).
+    ``predicted``, ``ratio`` (difference of log-likelihoods per 5-gram).
 
     ``labels`` has ``doc_id`` and ``toxic`` (0/1); if an id has several
     labels the largest holds.  Defined cases: a null text is scored as empty; rows with a null id have
@@ -84,28 +92,35 @@ def score_toxicity(
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     used = rows.join(small_side(known), F.col("_id") == F.col("_lid"), "left")
     cls = F.when(F.col("_f").between(1, 3), F.col("_y"))
-    counts = shared_table(charkn.count_grams(used, cls, 2), "tox-counts")
+    counts = shared_table(charkn.count_grams(used, cls, 2, once=True), "tox-counts")
     table = shared_table(ratio_table(counts), "tox-ratios")
-    scored = shared_table(charkn.score_documents(rows, table, "freq", "llr", "_id"), "tox-scored")
-
-    f1, f2 = F.col("total") / F.col("n"), F.col("total") / F.sqrt("n")
+    values = ["llr", *[f"over{k}" for k in range(len(EXCESS))]]
+    scored = charkn.score_documents(rows, table, "freq", values, "_id", once=True)
+    features = {"f0": F.col("llr") / F.col("n")}
+    for v in values[1:]:
+        features[f"{v}_mean"] = F.col(v) / F.col("n")
+        features[f"{v}_sum"] = F.log1p(v)
+        features[f"{v}_root"] = F.col(v) / F.sqrt("n")
+    scored = shared_table(scored.select("*", *[f.alias(k) for k, f in features.items()]), "tox-scored")
+
+    names = list(features)
     curve = (
         scored.join(known.where("_f = 4"), F.col("_id") == F.col("_lid"))
-        .select(f1.alias("a"), f2.alias("b"), "_y", F.xxhash64("_id").alias("h"))
-        .orderBy("h", "a").limit(curve_rows).toPandas()
+        .select(*names, "_y", F.xxhash64("_id").alias("h"))
+        .orderBy("h", *names).limit(curve_rows).toPandas()
     )
     if curve["_y"].nunique() == 2:
-        w, mean, spread = fit_curve(curve[["a", "b"]].to_numpy(), curve["_y"].to_numpy(dtype=float))
-        z = (f1 - float(mean[0])) / float(spread[0]) * float(w[0]) + (
-            f2 - float(mean[1])
-        ) / float(spread[1]) * float(w[1]) + float(w[2])
+        w, mean, spread = fit_curve(curve[names].to_numpy(), curve["_y"].to_numpy(dtype=float))
+        z = F.lit(float(w[-1]))
+        for k, name in enumerate(names):
+            z = z + (F.col(name) - float(mean[k])) * (float(w[k]) / float(spread[k]))
     else:
         ones, every = known.agg(F.coalesce(F.sum("_y"), F.lit(0)), F.count(F.lit(1))).first()
-        z = F.col("total") + float(np.log((ones + 0.5) / (every - ones + 0.5)))
+        z = F.col("llr") + float(np.log((ones + 0.5) / (every - ones + 0.5)))
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z))))
     return scored.select(
         "_id", "_th", (fold("_id") == 0).alias("held_out"), score.alias("score"),
-        (score >= 0.5).cast("int").alias("predicted"), f1.alias("ratio"),
+        (score >= 0.5).cast("int").alias("predicted"), F.col("f0").alias("ratio"),
     )
 
 
