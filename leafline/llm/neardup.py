@@ -13,15 +13,18 @@ every corpus size.  The random numbers of a sample come from 16-bit hash
 fields through tables of the distributions' quantiles.
 
 Copies of a text are one node from the start.  In a band's bucket every node
-first meets one leader, the smallest; only nodes that are still in different classes
-meet again: all of them in buckets of up to ``SMALL``, otherwise a few
-further leaders at a time until no pair of different classes is left
-untested.  So a large group of near copies costs a few tests per
-node, and no link between different classes is passed over.
+first meets one leader, the smallest.  After that only nodes of one bucket that
+are in different classes meet: those outside the bucket's largest class with
+all others of similar total weight.  So a large group of near copies costs about a
+test per node, and no link between different classes is passed over.
+
+A pair is tested exactly if at least ``AGREE`` of its samples agree; at the
+threshold a pair has fewer with a probability of about one in ten thousand.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,8 +38,8 @@ from leafline.llm.components import components
 
 BANDS, ROWS, THRESHOLD = 8, 3, 0.8
 DF_BITS = 18
-#: buckets of up to so many nodes test all their pairs; leaders at once in larger ones
-SMALL, LEADERS = 24, 8
+#: samples of a pair that must agree before it is tested exactly
+AGREE = 11
 
 
 def gamma_quantiles() -> tuple[np.ndarray, np.ndarray]:
@@ -117,6 +120,7 @@ def _signer(idf) -> Callable:
                     bands[i] = np.zeros(0, np.int64)
                 yield pd.DataFrame({
                     "_id": batch["_id"].iloc[a:b], "_g": batch["_g"].iloc[a:b], "_weight": total, "_bands": bands,
+                    "_sig": list(s.astype(np.uint32).view(np.int32).T),
                 })
 
     return sign
@@ -174,15 +178,18 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
     spark = rows.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(rows))
     signed = shared_table(
-        rows.mapInPandas(_signer(idf), "_id bigint, _g string, _weight double, _bands array<bigint>"),
+        rows.mapInPandas(_signer(idf), "_id bigint, _g string, _weight double, _bands array<bigint>, _sig array<int>"),
         "near-signed", batch_rows=2000,
     )
-    nodes = signed.groupBy("_g").agg(F.min("_id").alias("_min"), F.first("_weight").alias("_weight"), F.first("_bands").alias("_bands"))
-    banded = nodes.select(F.col("_g"), "_min", "_weight", F.explode("_bands").alias("_key"))
-    sizes = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"), F.min("_g").alias("_lead")).where("_size > 1")
-    sizes = sizes.withColumnRenamed("_key", "_bk")
+    nodes = signed.groupBy("_g").agg(
+        F.min("_id").alias("_min"), *[F.first(c).alias(c) for c in ("_weight", "_bands", "_sig")]
+    )
+    banded = nodes.select("_g", "_min", "_weight", "_sig", F.explode("_bands").alias("_key"))
+    lead = F.min_by(F.struct("_g", "_weight", "_sig"), "_g")
+    sizes = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"), lead.alias("_lead")).where("_size > 1")
+    sizes = sizes.select(F.col("_key").alias("_bk"), "_lead")
     bucket = shared_table(
-        banded.join(sizes, F.col("_key") == F.col("_bk")).select("_key", "_g", "_min", "_weight", "_size", "_lead"),
+        banded.join(sizes, F.col("_key") == F.col("_bk")).select("_key", "_g", "_min", "_weight", "_sig", "_lead"),
         "near-buckets",
     )
     involved = shared_table(bucket.select(F.col("_g").alias("_ig"), F.col("_min").alias("_imin")).distinct(), "near-nodes")
@@ -190,55 +197,48 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
         small_side(involved, 200_000), (F.col("_g") == F.col("_ig")) & F.col("_id").eqNullSafe(F.col("_imin"))
     ).select("_g", "text")
     sets = shared_table(
-        texts.mapInPandas(_packer(idf), "_g string, _set binary, _w binary").dropDuplicates(["_g"]), "near-sets", batch_rows=2000
+        texts.mapInPandas(_packer(idf), "_g string, _set binary, _w binary").dropDuplicates(["_g"]), "near-sets"
     )
 
-    light = F.least("_wa", "_wb") >= threshold * F.greatest("_wa", "_wb") * (1 - 1e-9)
-    weights = bucket.select(F.col("_g").alias("_lg"), F.col("_weight").alias("_wa")).distinct()
-    first = bucket.where(F.col("_g") != F.col("_lead")).select(
-        F.col("_lead").alias("a"), F.col("_g").alias("b"), F.col("_weight").alias("_wb")
-    ).distinct()
-    tested = shared_table(
-        first.join(weights, F.col("a") == F.col("_lg")).where(light).select("a", "b"), "near-pairs"
-    )
+    def likely(weight_a, weight_b, sig_a, sig_b):
+        close = F.least(weight_a, weight_b) >= threshold * F.greatest(weight_a, weight_b) * (1 - 1e-9)
+        agree = F.size(F.filter(F.zip_with(sig_a, sig_b, lambda x, y: x == y), lambda x: x))
+        return close & (agree >= AGREE)
+
+    first = bucket.where(
+        (F.col("_g") != F.col("_lead._g"))
+        & likely(F.col("_weight"), F.col("_lead._weight"), F.col("_sig"), F.col("_lead._sig"))
+    ).select(F.col("_lead._g").alias("a"), F.col("_g").alias("b")).distinct()
+    tested = shared_table(first, "near-pairs")
     links = _verify(tested, sets, threshold)
     classes = components(links)
 
-    turn = 0
-    while True:
-        # members with their present class; buckets of a single class are done
-        of = classes.select(F.col("node").alias("_cn"), "comp")
-        member = bucket.select("_key", "_g", "_weight", "_size").join(of, F.col("_g") == F.col("_cn"), "left")
-        member = member.withColumn("_c", F.coalesce("comp", "_g")).drop("_cn", "comp")
-        mixed = member.groupBy("_key").agg(F.min("_c").alias("_c0"), F.max("_c").alias("_c1")).where("_c0 <> _c1")
-        member = shared_table(
-            member.join(mixed.select(F.col("_key").alias("_mk")), F.col("_key") == F.col("_mk")).drop("_mk"), "near-mixed"
-        )
-        # leaders of this turn: a hashed share of the members of each large bucket
-        places = F.ceil(F.col("_size") / LEADERS)
-        large = member.where((F.col("_size") > SMALL) & (places > turn))
-        start = large.where(F.pmod(F.xxhash64("_g"), places) == turn)
-        if not turn:
-            start = start.unionByName(member.where(F.col("_size") <= SMALL))
-        start = start.select(F.col("_key").alias("_lk"), F.col("_g").alias("_la"), F.col("_weight").alias("_wa"), F.col("_c").alias("_lc"))
-        if not (large if turn else member).limit(1).count():
-            return signed.select("_id", "_g"), links, classes
-        pairs = (
-            member.withColumnRenamed("_weight", "_wb")
-            .join(start, (F.col("_key") == F.col("_lk")) & (F.col("_c") != F.col("_lc")))
-            .where(light)
-            .select(F.least("_la", "_g").alias("a"), F.greatest("_la", "_g").alias("b"))
-            .distinct()
-        )
-        done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = shared_table(pairs.join(done, ["a", "b"], "left_anti"), "near-pairs")
-        if pairs.limit(1).count():
-            more = _verify(pairs, sets, threshold)
-            tested = tested.union(pairs)
-            if more.limit(1).count():
-                links = links.union(more)
-                classes = components(links)
-        turn += 1
+    # what is still apart in a bucket: everything outside its largest class meets all others
+    of = classes.select(F.col("node").alias("_cn"), "comp")
+    step = -math.log(threshold) if threshold < 1 else 1.0
+    member = bucket.select("_key", "_g", "_weight", "_sig").join(of, F.col("_g") == F.col("_cn"), "left").select(
+        "_key", "_g", "_weight", "_sig", F.coalesce("comp", "_g").alias("_c"),
+        F.floor(F.log("_weight") / step).alias("_size"),
+    )
+    shares = member.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n")).groupBy("_key").agg(
+        F.max_by("_c", F.struct("_n", "_c")).alias("_big"), F.count(F.lit(1)).alias("_cs")
+    ).where("_cs > 1").select(F.col("_key").alias("_sk"), "_big")
+    member = shared_table(member.join(shares, F.col("_key") == F.col("_sk")).drop("_sk"), "near-apart")
+    outer = member.where(F.col("_c") != F.col("_big")).select(
+        F.col("_key").alias("_ok"), F.col("_g").alias("_og"), F.col("_weight").alias("_ow"), F.col("_sig").alias("_os"),
+        F.col("_c").alias("_oc"), F.explode(F.array(*[F.col("_size") + d for d in (-1, 0, 1)])).alias("_oz"),
+    )
+    pairs = member.join(
+        outer,
+        (F.col("_key") == F.col("_ok")) & (F.col("_size") == F.col("_oz")) & (F.col("_c") != F.col("_oc"))
+        & likely(F.col("_weight"), F.col("_ow"), F.col("_sig"), F.col("_os")),
+    ).select(F.least("_og", "_g").alias("a"), F.greatest("_og", "_g").alias("b")).distinct()
+    # a leader is the smaller digest of its pairs, so tested pairs are in order
+    pairs = shared_table(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+    if pairs.limit(1).count():
+        links = links.union(_verify(pairs, sets, threshold))
+        classes = components(links)
+    return signed.select("_id", "_g"), links, classes
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
