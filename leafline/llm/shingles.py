@@ -79,10 +79,10 @@ def shingles(texts: list[str], table: np.ndarray, k: int = WORDS) -> tuple[np.nd
     if len(short):
         extra = np.empty(len(short), np.uint64)
         for i, d in enumerate(short):
-            acc = np.uint64(count[d])
-            for x in h[first[d] : last[d]]:
-                acc = mix(np.array([acc * ODD + x], np.uint64))[0]
-            extra[i] = acc
+            acc = np.array([count[d]], np.uint64)
+            for j in range(first[d], last[d]):
+                acc = mix(acc * ODD + h[j : j + 1])
+            extra[i] = acc[0]
         doc, val = np.concatenate([doc, short]), np.concatenate([val, extra])
     if not len(val):
         return doc.astype(np.int64), val, np.zeros(0, np.int64)
