@@ -123,6 +123,15 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, limit: int) -
     return int(cost[k]), int(start[k]), int(diag[k] + m)
 
 
+def exact(item: np.ndarray, text: np.ndarray, diagonals: np.ndarray) -> tuple[int, int, int] | None:
+    """The occurrence without edits on the diagonal of most hits, if there is one."""
+    at, n = np.unique(diagonals, return_counts=True)
+    s = int(at[np.argmax(n)])
+    if s >= 0 and np.array_equal(text[s : s + len(item)], item):
+        return 0, s, s + len(item)
+    return None
+
+
 def search(cps: np.ndarray, index: SimpleNamespace, text_places: np.ndarray, rows: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Verified occurrences in one text: (item number, start, end, edits).
 
@@ -140,25 +149,25 @@ def search(cps: np.ndarray, index: SimpleNamespace, text_places: np.ndarray, row
         e = index.edits[k]
         step = 2 * e + 1
         d = at[a:b] - place[a:b]
-        # each hit counts in the band that starts at its cell and in the one before
         cell = np.floor_divide(d, step)
-        band = np.concatenate([cell, cell - 1])
-        pair = np.unique(np.stack([band, np.concatenate([place[a:b], place[a:b]])]), axis=1)
-        bands, counts = np.unique(pair[0], return_counts=True)
-        last: tuple[int, int] | None = None
+        size = np.bincount(cell - cell.min())
+        if (size[:-1] + size[1:]).max(initial=size.max()) < index.bound[k]:
+            continue
+        # each hit counts in the band that starts at its cell and in the one before
+        key = np.unique(np.concatenate([cell, cell - 1]) * (1 << 32) + np.concatenate([place[a:b], place[a:b]]))
+        bands, counts = np.unique(key >> 32, return_counts=True)
         for c in bands[counts >= index.bound[k]]:
-            low = int(c) * step - e
-            got = align(index.codes[k], cps, low, low + 2 * step + 2 * e, e)
+            low, high = int(c) * step - e, (int(c) + 2) * step + e
+            got = exact(index.codes[k], cps, d[(cell == c) | (cell == c + 1)])
+            got = got or align(index.codes[k], cps, low, high, e)
             if got is None:
                 continue
             edits, s, t = got
-            if last is not None and s < last[1]:  # the same place through the next band
-                if edits < last[0]:
+            if found and found[-1][0] == k and s < found[-1][2]:  # the same place through the next band
+                if edits < found[-1][3]:
                     found[-1] = (k, s, t, edits)
-                    last = (edits, t)
                 continue
             found.append((k, s, t, edits))
-            last = (edits, t)
     return found
 
 
