@@ -28,8 +28,8 @@ from leafline.llm.common import shared_table, text_or_empty
 ORDER = 5
 #: code points put before the first and after the last character of a text
 START, END = 2, 3
-#: types that every task holds (12 bytes each), the same for any corpus
-HOT = 1 << 18
+#: types that every task holds at most (about 50 MB), the same for any corpus
+HOT = 1 << 20
 #: code points worked on at once, and distinct types held before they are sent
 SLICE_CHARS, FLUSH_TYPES = 1_000_000, 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -252,26 +252,40 @@ def hot_types(table: DataFrame, frequency: str, values: list[str], most: int = H
         least, held = r[frequency], held + r["n"]
     if least is None:
         return np.zeros(0, np.uint64), np.zeros((0, len(values)))
-    pdf = table.where(F.col(frequency) >= least).select("g", *values).toPandas()
-    grams = [g.ljust(ORDER, chr(0x1A)) for g in pdf["g"]]
-    cps = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return gram_keys(cps)[::ORDER], pdf[values].to_numpy(dtype=np.float64)
+    rows = table.where(F.col(frequency) >= least).select("g", frequency, *values).toArrow()
+    rows = rows.sort_by([(frequency, "ascending"), ("g", "ascending")])
+    cps = np.frombuffer("".join(rows["g"].to_pylist()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return gram_keys(cps)[::ORDER], np.stack([rows[v].to_numpy().astype(np.float32) for v in values], axis=1)
 
 
-def slots(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """An open table: slot of a key is its low bits; of keys that share a slot one is kept,
-    the others are looked up through the join like rare types."""
-    bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 8))))
-    size = 1 << bits
-    slot_key, slot_value = np.zeros(size, np.uint64), np.zeros((size, values.shape[1]))
-    at = (keys & np.uint64(size - 1)).astype(np.int64)
-    slot_key[at], slot_value[at] = keys, values
-    return slot_key, slot_value, size - 1
+def slots(keys: np.ndarray, values: np.ndarray) -> tuple:
+    """An open table: the slot of a key is its low bits and holds its row.
+
+    Keys come by rising frequency; of those that share a slot the most frequent has it, the others
+    are found in the sorted keys."""
+    bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 2))))
+    row = np.full(1 << bits, -1, np.int32)
+    row[(keys & np.uint64((1 << bits) - 1)).astype(np.int64)] = np.arange(len(keys), dtype=np.int32)
+    order = np.argsort(keys, kind="stable").astype(np.int32)
+    return keys, values, row, order
+
+
+def lookup(held: tuple, keys: np.ndarray) -> np.ndarray:
+    """Row of each key in the table, -1 for keys that it lacks."""
+    known, _, row, order = held
+    if not len(known):
+        return np.full(len(keys), -1, np.int32)
+    got = row[(keys & np.uint64(len(row) - 1)).astype(np.int64)]
+    miss = np.flatnonzero(known[got] != keys)  # row -1 looks at the last key, which also differs
+    at = np.minimum(np.searchsorted(known, keys[miss], sorter=order), len(known) - 1)
+    found = order[at]
+    got[miss] = np.where(known[found] == keys[miss], found, -1)
+    return got
 
 
 def _scorer(table, once: bool) -> Callable:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        slot_key, slot_value, mask = table.value
+        held = table.value
         cols = [c.split()[0] for c in SCORED_SCHEMA.split(", ")]
         for batch in batches:
             texts = batch["text"].tolist()
@@ -281,11 +295,13 @@ def _scorer(table, once: bool) -> Callable:
                 ok = inside(starts, len(cps))
                 if once:
                     ok = first_places(keys, ok, starts)
-                at = (keys & np.uint64(mask)).astype(np.int64)
-                hit = (slot_key[at] == keys) & ok
-                sums = np.stack([
-                    np.add.reduceat(np.where(hit, slot_value[at, k], 0.0), starts[:-1]) for k in range(slot_value.shape[1])
-                ], axis=1)
+                row = np.full(len(keys), -1, np.int32)
+                row[ok] = lookup(held, keys[ok])
+                hit = row >= 0
+                sums = np.zeros((b - a, held[1].shape[1]))
+                if len(held[0]):
+                    for k in range(sums.shape[1]):
+                        sums[:, k] = np.add.reduceat(np.where(hit, held[1][row, k].astype(np.float64), 0.0), starts[:-1])
                 size = np.add.reduceat(np.append(ok, np.zeros(ORDER - 1, bool)).astype(np.int64), starts[:-1])
                 ids, ths = batch["_id"].iloc[a:b], batch["_th"].to_numpy()[a:b]
                 done = pd.DataFrame({"_id": ids.astype("Int64"), "_th": ths, "_kind": 0, "_values": list(sums), "_n": size, "g": None, "_c": 0, "_tag": batch["_tag"].iloc[a:b]})

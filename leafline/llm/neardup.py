@@ -65,9 +65,9 @@ def idf_table(rows: DataFrame) -> np.ndarray:
     """ln(1 + N / df) of each hashed cell, from all rows."""
     n = rows.count()
     parts = rows.select("text").mapInPandas(_df_counter, "cell int, df bigint")
-    pdf = parts.groupBy("cell").agg(F.sum("df").alias("df")).toPandas()
+    cells = parts.groupBy("cell").agg(F.sum("df").alias("df")).toArrow()
     df = np.ones(1 << DF_BITS)
-    df[pdf["cell"].to_numpy(dtype=np.int64)] = pdf["df"].to_numpy(dtype=np.float64)
+    df[cells["cell"].to_numpy().astype(np.int64)] = cells["df"].to_numpy().astype(np.float64)
     return np.log1p(max(n, 1) / df)
 
 
