@@ -18,8 +18,8 @@ from leafline.llm import charkn
 from leafline.llm.common import read_table, shared_table, small_side
 from leafline.llm.toxicity import fold
 
-#: quantile of the trusted perplexities, and what it is multiplied by
-QUANTILE, MARGIN = 0.99, 1.05
+#: quantile of the trusted perplexities up to which a document is kept
+QUANTILE = 0.985
 #: trusted documents a language needs for a quantile of its own
 LEAST_DOCS = 30
 
@@ -51,7 +51,7 @@ def perplexities(
 
 def classify_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN,
+    lang_col: str = "lang", quantile: float = QUANTILE,
     least_docs: int = LEAST_DOCS,
 ) -> DataFrame:
     """Perplexity, its language's threshold and the decision for every row.
@@ -73,7 +73,7 @@ def classify_quality(
         perplexities(docs, good.where("_f <> 4").select("_tid"), id_col, text_col, lang_col), "kn-scored-docs"
     )
     reference = scored.join(good.where("_f = 4"), F.col("_id") == F.col("_tid"))
-    q = F.percentile_approx("perplexity", quantile, 10_000) * margin
+    q = F.percentile_approx("perplexity", quantile, 10_000)
     overall = reference.agg(q.alias("q")).first()["q"]
     by_lang = reference.where(F.col("_tag").isNotNull()).groupBy(F.col("_tag").alias("_lang")).agg(
         q.alias("_q"), F.count(F.lit(1)).alias("_n")
