@@ -335,3 +335,19 @@ def op5_warc_segments(spark, sf_dir: str) -> DataFrame:
         "record_type",
         F.when(F.col("record_type") == "revisit", page(F.col("refers_to"))).alias("refers_to"),
     )
+
+
+ORACLES = {
+    "op5_warc_segments": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, strlen(t) AS payload_bytes, sha1(t) AS h FROM p),
+b AS (SELECT page_id, payload_bytes, array_to_string([
+    substr('{BASE32}', CAST((('0x' || substr(h, CAST(i // 4 AS INTEGER) * 5 + 1, 5))::BIGINT
+      >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1) for i in range(0, 32)], '') AS payload_digest FROM d),
+g AS (SELECT payload_digest, max(page_id) AS top FROM b GROUP BY payload_digest)
+SELECT b.page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, b.payload_digest,
+  CASE WHEN b.page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN b.page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM b JOIN g ON b.payload_digest = g.payload_digest
+"""
+}
