@@ -233,7 +233,12 @@ SCENARIOS = [("orders_plus_5", "n_orders", None, 5.0), ("orders_30", "n_orders",
 
 
 def q_scenario_validate(spark, sf):
-    return R.scenario_validate(spark, SCENARIOS, ["n_orders"])
+    """R12 with the number of entities that have each feature."""
+    have = E.unpivot(_feat(spark, sf), FEATURES).where(F.col("value").isNotNull()).groupBy(
+        F.col("feature").alias("_f")).agg(F.count("*").alias("_n"))
+    v = R.scenario_validate(spark, SCENARIOS, ["n_orders"])
+    return v.join(have, F.col("feature") == F.col("_f"), "left").select(
+        "scenario", "feature", "status", F.coalesce("_n", F.lit(0)).alias("n_entities"))
 
 
 def q_what_if(spark, sf):
@@ -376,11 +381,12 @@ ORACLES = {
         FROM feat WHERE rank BETWEEN {BAND[0]} AND {BAND[1]}""",
     "predict": "WITH " + FEAT_SQL + """, m AS (SELECT regr_slope(spend, n_orders) AS b, regr_intercept(spend, n_orders) AS a FROM feat)
         SELECT c_custkey, round(a + b * n_orders, 2) AS prediction FROM feat, m""",
-    "scenario_validate": """
-        SELECT * FROM (VALUES ('orders_plus_5', 'n_orders', 'kept'), ('orders_30', 'n_orders', 'kept'),
+    "scenario_validate": "WITH " + FEAT_SQL + ", h AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS f, count({c}) AS n FROM feat" for c in FEATURES) + """)
+        SELECT t.*, coalesce(n, 0) AS n_entities FROM (VALUES ('orders_plus_5', 'n_orders', 'kept'), ('orders_30', 'n_orders', 'kept'),
                               ('price_up', 'avg_price', 'unknown_feature'), ('orders_12_and_price', 'n_orders', 'kept'),
                               ('orders_12_and_price', 'avg_price', 'unknown_feature'), ('unknown_only', 'gmat', 'unknown_feature'))
-               t(scenario, feature, status)""",
+               t(scenario, feature, status) LEFT JOIN h ON h.f = t.feature""",
 }
 
 _CORR = "WITH " + FEAT_SQL + ", c AS (" + " UNION ALL ".join(

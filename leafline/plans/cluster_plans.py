@@ -59,8 +59,9 @@ def _assigned(spark, sf, alt=False):
 
 def _focus_ids(a):
     row = a.where(F.col("c_name") == FOCUS).select("cluster_id").first()
-    own = row["cluster_id"] if row else 0
-    return own, max(0, own - 1)
+    if row is None:  # no focus, no cluster: an id that none has
+        return -1, -1
+    return row["cluster_id"], max(0, row["cluster_id"] - 1)
 
 
 def q_kmeans_lloyd(spark, sf):
@@ -338,7 +339,9 @@ def q_peer_ranking(spark, sf):
 def q_columns_by_pattern(spark, sf):
     f = customer_features(spark, sf)
     cols = P.columns_by_pattern(f, "^p[0-9]", "f$")
-    return spark.createDataFrame([(c,) for c in cols], "column_name string")
+    long = E.unpivot(f, cols)
+    return long.groupBy(F.col("feature").alias("column_name")).agg(
+        F.count("value").alias("n_values"), F.round(F.min("value"), 4).alias("least"), F.round(F.max("value"), 4).alias("most"))
 
 
 def q_peer_gap(spark, sf):
@@ -508,7 +511,9 @@ ORACLES = {
         for c in DENSE) + " FROM raw",
     "peer_ranking": BASE + _FOC + """ SELECT c_custkey, spend, round(avg(spend) OVER (), 4) AS peer_mean FROM raw, ids WHERE cluster_id = own""",
     "peer_gap": BASE + _FOC + """ SELECT c_custkey, round(spend - avg(spend) OVER (), 4) AS gap_to_peer_mean FROM raw, ids WHERE cluster_id = own""",
-    "columns_by_pattern": "SELECT * FROM (VALUES ('p1'), ('p12p'), ('p5p')) t(column_name)",
+    "columns_by_pattern": BASE + " SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS n_values, round(min({c}), 4) AS least, round(max({c}), 4) AS most FROM feat"
+        for c in ("p1", "p12p", "p5p")) + ")",
     "distance_contribution": BASE + _FOC + """, pt AS (SELECT * FROM z WHERE c_name = '""" + FOCUS + """'),
         ac AS (SELECT cen.* FROM cen, ids WHERE cen.cluster_id = ids.asp),
         l AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, pt.{c} AS x, ac.{c} AS c FROM pt, ac" for c in CL) + """),
