@@ -10,6 +10,7 @@ partition is bounded by one input row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -117,20 +118,22 @@ def main_container_text(html: Column, min_chars: int = REF_MIN_CHARS) -> Column:
     return out
 
 
-def strip_ads(html: Column) -> Column:
-    """Remove iframes and elements whose id/class carries an ad pattern
-    or that carry an ad marker attribute (non-nested elements)."""
+def strip_ads(html: Column, class_words: Sequence[str] = ()) -> Column:
+    """Remove iframes and elements (of any tag) whose id/class carries an ad
+    pattern, whose class list has one of ``class_words`` as a whole word, or that
+    carry an ad marker attribute; an element ends at its first closing tag."""
     t = F.regexp_replace(html, "(?is)<iframe\\b.*?(</iframe>|/>)", "")
     attr = []
     for p in REF_AD_ID_PATTERNS:
         attr.append(f"\\bid\\s*=\\s*[\"'][^\"']*{p}[^\"']*[\"']")
     for p in REF_AD_CLASS_PATTERNS:
         attr.append(f"\\bclass\\s*=\\s*[\"'][^\"']*{p}[^\"']*[\"']")
+    for w in class_words:
+        attr.append(f"\\bclass\\s*=\\s*[\"'](?:[^\"']*\\s)?{w}(?:\\s[^\"']*)?[\"']")
     for a in REF_AD_ATTRIBUTES:
         attr.append(f"\\b{a}\\b")
     attrs = "|".join(attr)
-    t = F.regexp_replace(t, f"(?is)<(div|span|section|aside|ins)\\b[^>]*(?:{attrs})[^>]*>.*?</\\1>", "")
-    return F.regexp_replace(t, "(?is)<ins\\b[^>]*\\bclass\\s*=\\s*[\"'][^\"']*adsbygoogle[^\"']*[\"'][^>]*>.*?</ins>", "")
+    return F.regexp_replace(t, f"(?is)<([a-z][a-z0-9]*)\\b[^>]*(?:{attrs})[^>]*>.*?</\\1>", "")
 
 
 # ---------------------------------------------------------------- lines

@@ -539,3 +539,8 @@ ORACLES["k_distance"] = "WITH " + FEAT_SQL + _zsql() + """, p AS (SELECT c_custk
     SELECT i AS c_custkey, round(dist, 6) AS k_distance FROM d QUALIFY row_number() OVER (PARTITION BY i ORDER BY dist, j) = 4"""
 ORACLES["centroid_silhouette"] = BASE + _FOC + _SIL + " SELECT c_custkey, cluster_id, round(s, 6) AS silhouette FROM sil"
 ORACLES["centroid_silhouette_score"] = BASE + _FOC + _SIL + " SELECT round(avg(round(s, 6)), 4) AS score FROM sil"
+ORACLES["kmeans_inertia"] = BASE + f""" SELECT round(sum(d), 4) AS inertia FROM (
+    SELECT min({" + ".join(f"(z.{c} - c.{c}) * (z.{c} - c.{c})" for c in CL)}) AS d FROM z, kc{ITERS} c GROUP BY z.c_custkey)"""
+ORACLES["focus_silhouette"] = BASE + _FOC + _SIL + f""", r AS (SELECT c_name, cluster_id, round(s, 6) AS s FROM sil)
+    SELECT max(s) FILTER (WHERE c_name = '{FOCUS}') AS focus, round(avg(s), 4) AS overall,
+           round(avg(s) FILTER (WHERE cluster_id = own), 4) AS focus_cluster_mean FROM r, ids"""

@@ -80,10 +80,15 @@ def q_additional_fields(spark, sf):
 
 
 def q_parse_or_error(spark, sf):
+    """X6 on event properties; every eleventh event is cut short, as a reply
+    that broke off would be."""
     ev = table(spark, sf, "events")
-    v = F.try_parse_json("props")
+    raw = F.when(F.col("event_id") % 11 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    ev = ev.select("event_id", raw.alias("raw"))
+    v = F.try_parse_json("raw")
     return ev.select("event_id", F.try_variant_get(v, "$.k", "bigint").alias("k"),
-                     F.when(v.isNull(), F.lit("invalid_json")).alias("error"))
+                     F.when(v.isNull(), F.lit("invalid_json")).alias("error"),
+                     F.when(v.isNull(), F.col("raw")).alias("raw"))
 
 
 def q_set_source_url(spark, sf):
@@ -227,7 +232,10 @@ ORACLES = {
                            unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)
         SELECT doc_id, 'line_words[' || i || ']' AS path, CAST(len(regexp_extract_all(ln, '[^ \\t\\r]+')) AS VARCHAR) AS value_text FROM lw
         UNION ALL SELECT doc_id, 'text.has_digit', CASE WHEN regexp_matches(text, '[0-9]') THEN 'true' ELSE 'false' END FROM documents""",
-    "parse_or_error": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, NULL::VARCHAR AS error FROM events",
+    "parse_or_error": """
+        SELECT event_id, CASE WHEN json_valid(raw) THEN TRY_CAST(json_extract_string(CASE WHEN json_valid(raw) THEN raw END, '$.k') AS BIGINT) END AS k,
+               CASE WHEN NOT json_valid(raw) THEN 'invalid_json' END AS error, CASE WHEN NOT json_valid(raw) THEN raw END AS raw
+        FROM (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN left(props, length(props) - 1) ELSE props END AS raw FROM events)""",
     "set_source_url": "SELECT page_id, url AS source_url, page_id AS meta_page_id FROM pages",
     "drop_internal_keys": "SELECT doc_id, '_file,doc,label,line_words,text' AS keys_before, 'doc,label,line_words,text' AS keys_after FROM documents",
     "edition_year": """

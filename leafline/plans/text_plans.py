@@ -46,7 +46,7 @@ def q_main_container(spark, sf):
 
 
 def q_strip_ads(spark, sf):
-    return _pages(spark, sf).select("page_id", T.strip_ads(F.col("html")).alias("html"))
+    return _pages(spark, sf).select("page_id", T.strip_ads(F.col("html"), class_words=("ad",)).alias("html"))
 
 
 def q_clean_lines(spark, sf):
@@ -124,8 +124,13 @@ def q_url_canonical(spark, sf):
                     L.title_slug(slug).alias("slug_title"))
 
 
+#: a host of the supplied pages, so that the filter has something to drop
+SPAM_HOST = "spam-farm.example.org"
+
+
 def q_blocklist_filter(spark, sf):
-    return L.block_urls(_pages(spark, sf).select("page_id", "url"), "url")
+    domains = [*L.REF_BLOCK_DOMAINS, SPAM_HOST]
+    return L.block_urls(_pages(spark, sf).select("page_id", "url"), "url", domains)
 
 
 QUERIES = {
@@ -178,114 +183,7 @@ _PY_TITLE = r"""array_to_string(list_transform(range(1, length({s}) + 1), lambda
               AND (i = 1 OR NOT regexp_full_match(substr(lower({s}), i - 1, 1), '\pL'))
          THEN upper(substr(lower({s}), i, 1)) ELSE substr(lower({s}), i, 1) END), '')"""
 
-_BLOCKED = ", ".join(f"('{d}')" for d in L.REF_BLOCK_DOMAINS)
-
-ORACLES = {
-    "html_to_text": "SELECT page_id, " + _h2t("html") + " AS text FROM pages",
-    "main_container": """
-        SELECT page_id, CASE WHEN length(a) > 500 THEN a ELSE b END AS text FROM (
-          SELECT page_id, """ + _h2t(r"regexp_extract(html, '(?is)<article\b[^>]*>(.*?)</article>', 1)") + """ AS a,
-                 """ + _h2t(r"coalesce(nullif(regexp_extract(html, '(?is)<body\b[^>]*>(.*)</body>', 1), ''), html)") + """ AS b FROM pages)""",
-    "strip_ads": r"SELECT page_id, regexp_replace(html, '(?is)<iframe\b.*?(</iframe>|/>)', '', 'g') AS html FROM pages",
-    "clean_lines": r"""
-        WITH l AS (
-          SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-                 unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents),
-        f AS (SELECT *, """ + _pystrip("line") + r""" AS s FROM l),
-        g AS (SELECT *,
-                min(line_no) FILTER (WHERE contains(s, 'Business School Overview') OR s = 'At-a-Glance'
-                                     OR contains(s, 'in Best Business Schools')) OVER (PARTITION BY doc_id) AS fh,
-                coalesce(min(line_no) FILTER (WHERE starts_with(s, 'Licensed under') OR starts_with(s, 'Released under')
-                                     OR starts_with(s, 'This work is licensed')) OVER (PARTITION BY doc_id),
-                         count(*) OVER (PARTITION BY doc_id)) AS en
-              FROM f),
-        h AS (SELECT *, CASE WHEN fh IS NULL THEN 0
-                             WHEN bool_or(line_no = fh AND contains(s, 'Business School Overview')) OVER (PARTITION BY doc_id) THEN fh
-                             ELSE greatest(fh - 5, 0) END AS st FROM g),
-        r AS (SELECT *, line_no >= st AND line_no < en AS inr, contains(s, '@') AS blk,
-                     (starts_with(s, 'The') OR starts_with(s, 'Le')) AND NOT contains(s, '@') AS res FROM h),
-        k AS (SELECT *,
-                max(line_no) FILTER (WHERE inr AND blk) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lb,
-                max(line_no) FILTER (WHERE inr AND res) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lr
-              FROM r)
-        SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (
-                 WHERE inr AND NOT blk AND coalesce(lb, -1) <= coalesce(lr, -1) AND NOT contains(line, 'token =')), '') AS cleaned
-        FROM k GROUP BY doc_id""",
-    "marker_count": """
-        SELECT doc_id, (length(text) - length(replace(text, 'License', ''))) // 7 AS n_license,
-               (length(text) - length(replace(text, 'the', ''))) // 3 AS n_the FROM documents""",
-    "quality_gate": """
-        SELECT doc_id, CASE WHEN r IS NULL THEN 'ok' ELSE 'rejected' END AS status, r AS reason FROM (
-          SELECT doc_id, CASE WHEN n <> 1 THEN 'expected exactly one required block; found ' || n
-                              WHEN length(""" + _pystrip("text") + """) < 500 THEN 'text too short (' || length(text) || ' chars)' END AS r
-          FROM (SELECT *, (length(text) - length(replace(text, 'Licensed under the Apache License', ''))) // 33 AS n FROM documents))""",
-    "section_completeness": """
-        SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)),
-                 lambda l: starts_with(upper(trim(l)), 'SEE LESS') OR upper(trim(l)) = 'LESS')) AS BIGINT) AS verified,
-               len(list_filter(string_split(text, chr(10)),
-                 lambda l: starts_with(upper(trim(l)), 'SEE LESS') OR upper(trim(l)) = 'LESS')) >= 7 AS complete
-        FROM documents""",
-    "view_check": """
-        SELECT doc_id, CASE WHEN (length(text) - length(replace(text, 'MIT License', ''))) // 11 = 1 THEN true
-                            WHEN contains(text, 'Apache License') THEN false ELSE true END AS accepted FROM documents""",
-    "keyword_gate": """
-        SELECT doc_id, (contains(lower(text), 'license') OR contains(lower(text), 'token')) AND lang = 'en' AS passes
-        FROM documents""",
-    "strip_fences": """
-        SELECT conv_id, turn, """ + _pystrip(
-        "CASE WHEN ends_with(x, '```') THEN left(x, length(x) - 3) ELSE x END") + """ AS text
-        FROM (SELECT conv_id, turn, CASE WHEN contains(f, chr(10)) THEN substr(f, strpos(f, chr(10)) + 1) ELSE substr(f, 4) END AS x
-              FROM (SELECT conv_id, turn, """ + _pystrip("'```json' || chr(10) || text || chr(10) || '```'") + """ AS f FROM conversations))""",
-    "wrap_text": """
-        SELECT conv_id, turn, '<page_content>' || chr(10) || text || chr(10) || '</page_content>' || chr(10) || chr(10)
-               || 'Return the fields as JSON.' AS message FROM conversations WHERE role = 'user'""",
-    "page_links": r"""
-        WITH a AS (
-          SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>', 0)) AS a,
-                 unnest(range(len(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>', 0)))) AS pos FROM pages),
-        b AS (SELECT page_id, pos, regexp_extract(a, '(?is)\bhref\s*=\s*"([^"]*)"', 1) AS href,
-                     trim(regexp_replace(regexp_replace(a, '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS anchor_text FROM a),
-        c AS (SELECT *, regexp_replace(CASE WHEN p = '' THEN '/' ELSE p END, '(.)/$', '\1') AS path FROM (
-                SELECT *, regexp_extract(regexp_replace(href, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', ''), '^([^?#]*)', 1) AS p FROM b))
-        SELECT page_id, pos, href, path, anchor_text FROM c
-        WHERE regexp_matches(path, '^/[^/]+$') AND NOT regexp_matches(path, '(?i)^/index$')""",
-    "link_distinct": None,
-    "exact_rank": None,
-    "best_link_row": None,
-    "blocklist_filter": q_blocklist_filter,
-}
-
-# ------------------------------------------------------------------ oracles
-
-_H2T = r"""
-  regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-    replace(replace(replace(replace(replace(replace(replace(replace(
-      regexp_replace(regexp_replace(regexp_replace({x},
-        '(?is)<head\b.*?</head>|<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', '', 'g'),
-        '(?i)</?(p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|main|aside|title|br)\b[^>]*>', chr(10), 'g'),
-        '<[^>]*>', '', 'g'),
-      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
-    '[ \t\x0b\x0c\r\x{a0}]+', ' ', 'g'), '(?m)^ +| +$', '', 'g'), '\n{2,}', chr(10), 'g'), '\A\n+|\n+\z', '', 'g')"""
-
-def _h2t(x: str) -> str:
-    return _H2T.replace("{x}", x)
-
-
-_PY_WS = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-
-
-def _pystrip(x: str) -> str:
-    return f"regexp_replace({x}, '^{_PY_WS}+|{_PY_WS}+$', '', 'g')"
-
-
-# DuckDB has no Python-style title(); spelled out over characters: upper-case
-# a letter whose predecessor is not a letter, lower-case the rest.
-_PY_TITLE = r"""array_to_string(list_transform(range(1, length({s}) + 1), lambda i:
-    CASE WHEN regexp_full_match(substr(lower({s}), i, 1), '\pL')
-              AND (i = 1 OR NOT regexp_full_match(substr(lower({s}), i - 1, 1), '\pL'))
-         THEN upper(substr(lower({s}), i, 1)) ELSE substr(lower({s}), i, 1) END), '')"""
-
-_BLOCKED = ", ".join(f"('{d}')" for d in L.REF_BLOCK_DOMAINS)
+_BLOCKED = ", ".join(f"('{d}')" for d in [*L.REF_BLOCK_DOMAINS, SPAM_HOST])
 
 ORACLES = {
     "html_to_text": "SELECT page_id, " + _h2t("html") + " AS text FROM pages",
@@ -293,7 +191,7 @@ ORACLES = {
         SELECT page_id, CASE WHEN length(a) > 500 THEN a ELSE b END AS text FROM (
           SELECT page_id, """ + _h2t(r"regexp_extract(html, '(?is)<article\b[^>]*>(.*?)</article>', 1)") + """ AS a,
                  """ + _h2t(r"coalesce(nullif(regexp_extract(html, '(?is)<body\b[^>]*>(.*)</body>', 1), ''), html)") + """ AS b FROM pages)""",
-    "strip_ads": r"SELECT page_id, regexp_replace(html, '(?is)<iframe\b.*?(</iframe>|/>)', '', 'g') AS html FROM pages",
+    "strip_ads": "SELECT page_id, regexp_replace(html, '<div class=\"ad\">[^<]*</div>', '', 'g') AS html FROM pages",
     "clean_lines": r"""
         WITH l AS (
           SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
