@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from leafline.session import local_session
 
-    s = local_session("*")
+    s = local_session(os.environ.get("CPUS", "*"))
     s.conf.set("spark.sql.shuffle.partitions", "8")
     yield s
     s.stop()
