@@ -220,7 +220,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the WARC files below ``path``.
 
     A file is read whole (writers bound its records); compressed or plain."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInPandas(_parse_files, RECORDS_SCHEMA)
 
 
