@@ -194,6 +194,15 @@ def q_cv_r2(spark, sf):
     return spark.createDataFrame(res, "alpha double, fold int, r2 double")
 
 
+def q_model_choice(spark, sf):
+    """Ridge only if its mean R² over the folds is strictly better; one
+    standardised predictor, so that SQL can follow."""
+    z, _ = E.standardize(_feat(spark, sf), ["avg_price"])
+    res = R.cv_r2(R.cv_folds(z, "rank", 5), ["avg_price"], TARGET, 5, alphas=(0.0, 50.0))
+    best = R.choose_model(res)
+    return spark.createDataFrame([(a, f, round(r, 6), best) for a, f, r in res], "alpha double, fold bigint, r2 double, chosen double")
+
+
 def _slopes(spark, sf):
     return R.single_slopes(_feat(spark, sf), DENSE[:1] + DENSE[2:], TARGET)
 
@@ -298,6 +307,7 @@ QUERIES = {
     "gap_totals": q_gap_totals,
     "predict": q_predict,
     "scenario_validate": q_scenario_validate,
+    "model_choice": q_model_choice,
     "what_if": q_what_if,
     "nearest_rank": q_nearest_rank,
     "waterfall": q_waterfall,
@@ -456,3 +466,28 @@ ORACLES["recommendations"] = "WITH " + FEAT_SQL + " SELECT * FROM (" + " UNION A
     f"round((SELECT min({c}) FROM feat WHERE rank BETWEEN {BAND[0]} AND {BAND[1]})::DOUBLE, 4) AS band_min, "
     f"CASE WHEN (SELECT max({c}) FROM feat WHERE {_FOCUS}) >= (SELECT avg({c}) FROM feat WHERE rank BETWEEN {BAND[0]} AND {BAND[1]}) "
     f"THEN 'AT/ABOVE' ELSE 'BELOW' END AS status" for c in ["n_orders", "avg_price", "hi"]) + ")"
+
+ORACLES["model_choice"] = "WITH " + FEAT_SQL + """, f AS (
+    SELECT ntile(5) OVER (ORDER BY rank) AS fold, spend AS y,
+           (avg_price - avg(avg_price) OVER ()) / stddev_pop(avg_price) OVER () AS x FROM feat),
+  a AS (SELECT unnest([0.0, 50.0])::DOUBLE AS alpha),
+  t AS (SELECT g.fold, avg(x) AS mx, avg(y) AS my, var_pop(x) * count(*) AS sxx, covar_pop(x, y) * count(*) AS sxy
+        FROM f JOIN (SELECT DISTINCT fold FROM f) g ON f.fold <> g.fold GROUP BY g.fold),
+  b AS (SELECT fold, alpha, mx, my, sxy / (sxx + alpha) AS beta FROM t, a),
+  r AS (SELECT alpha, f.fold, 1 - sum((y - my - beta * (x - mx)) ** 2) / (var_pop(y) * count(*)) AS r2
+        FROM f JOIN b ON f.fold = b.fold GROUP BY alpha, f.fold),
+  m AS (SELECT avg(r2) FILTER (WHERE alpha = 0) AS m0, avg(r2) FILTER (WHERE alpha > 0) AS m1 FROM r)
+  SELECT alpha, fold, round(r2, 6) AS r2, CASE WHEN m1 > m0 THEN 50.0 ELSE 0.0 END::DOUBLE AS chosen FROM r, m"""
+ORACLES["corr_drop_list"] = "WITH RECURSIVE " + _CORR.removeprefix("WITH ") + ", ms AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS miss FROM feat" for c in FEATURES) + """),
+  p AS (SELECT row_number() OVER (ORDER BY abs(r) DESC, feature_i, feature_j) AS i, feature_i AS a, feature_j AS b,
+               CASE WHEN x.miss > y.miss THEN feature_i ELSE feature_j END AS victim
+        FROM c JOIN ms x ON x.feature = feature_i JOIN ms y ON y.feature = feature_j WHERE abs(r) > 0.85),
+  g(i, gone, dropped, kept) AS (
+    SELECT 0::BIGINT, []::VARCHAR[], NULL::VARCHAR, NULL::VARCHAR
+    UNION ALL
+    SELECT p.i, CASE WHEN free THEN list_append(gone, victim) ELSE gone END,
+           CASE WHEN free THEN victim END, CASE WHEN free THEN CASE WHEN victim = a THEN b ELSE a END END
+    FROM (SELECT g.gone, p.*, NOT list_contains(g.gone, p.a) AND NOT list_contains(g.gone, p.b) AS free
+          FROM g JOIN p ON p.i = g.i + 1) p)
+  SELECT dropped, kept FROM g WHERE dropped IS NOT NULL"""

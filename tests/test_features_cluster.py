@@ -106,3 +106,36 @@ def test_dbscan_matches_brute_force(spark, pts):
     got = C.dbscan(df.withColumn("pos", F.col("id")), "id", "pos", ["x", "y"], 0.25, 4)
     got = [r["cluster"] for r in got.orderBy("id").collect()]
     assert got == _brute_dbscan(a, 0.25, 4)
+
+
+def test_correlation_drop_list_rules():
+    rule = E.correlation_drop_list
+    assert rule([("a.x", "a.two_yr_avg_x", 0.9)], {}) == [("a.x", "a.two_yr_avg_x")]
+    assert rule([("p.us_citizens", "p.overall", 0.9)], {}) == [("p.us_citizens", "p.overall")]
+    assert rule([("s.average", "s.low_pay", 0.9)], {}) == [("s.low_pay", "s.average")]
+    # only the last part of the name counts for low, high and average
+    assert rule([("s.low_pay", "two_year_averages.pay", 0.9)], {"two_year_averages.pay": 3.0}) == [("two_year_averages.pay", "s.low_pay")]
+    assert rule([("m", "n", 0.9)], {"m": 2.0, "n": 1.0}) == [("m", "n")]
+    # a tie drops the second; a dropped column decides no further pair
+    assert rule([("m", "n", 0.99), ("n", "o", 0.95), ("m", "o", 0.9)], {}) == [("n", "m"), ("o", "m")]
+
+
+def test_adjusted_rand_of_a_single_row(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert C.adjusted_rand(df, "a", "b").first()["ari"] == 1.0
+
+
+def test_kth_neighbour_loses_no_row(spark):
+    far = spark.createDataFrame([(i, float(i) ** 6, 0.0) for i in range(12)], "id long, x double, y double")
+    got = {r["id"]: r["k_distance"] for r in C.kth_neighbour_distance(far, "id", ["x", "y"], 3, 0.1).collect()}
+    xs = [float(i) ** 6 for i in range(12)]
+    assert got == {i: pytest.approx(sorted(abs(x - v) for v in xs)[2]) for i, x in enumerate(xs)}
+    few = C.kth_neighbour_distance(far.limit(2), "id", ["x", "y"], 3, 0.1).collect()
+    assert len(few) == 2 and all(r["k_distance"] is None for r in few)
+
+
+def test_poisson_weights(spark):
+    n = 20_000
+    w = spark.range(n).select(C.poisson1_weight(F.col("id"), F.lit(1)).alias("w"))
+    mean, var, top = w.agg(F.avg("w"), F.var_pop("w"), F.max("w")).first()
+    assert mean == pytest.approx(1, abs=0.03) and var == pytest.approx(1, abs=0.06) and top >= 6
