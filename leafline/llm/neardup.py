@@ -12,14 +12,15 @@ the table has a fixed size and shares below about one per cell count alike at
 every corpus size.  The random numbers of a sample come from 16-bit hash
 fields through tables of the distributions' quantiles.
 
-Copies of a text are one node from the start.  In a band's bucket every node
-first meets one leader, the smallest.  After that only nodes of one bucket that
-are in different classes meet: those outside the bucket's largest class with
-all others of similar total weight.  So a large group of near copies costs about a
-test per node, and no link between different classes is passed over.
-
-A pair is tested exactly if at least ``AGREE`` of its samples agree; at the
-threshold a pair has fewer with a probability of about one in ten thousand.
+Copies of a text are one node from the start.  Nodes of one bucket meet in
+rounds: all members of other classes meet the node that shares buckets with most others,
+the middle of a group of near copies, and classes are joined.  Once few pairs are
+apart, or a round no longer helps, everything outside a bucket's largest class meets
+all others of similar total weight.  So a large group of near copies costs a few
+tests per node, and no link between different classes is passed over.
+
+A pair is tested exactly if at least ``AGREE`` of its samples agree; a pair at the
+threshold has fewer in about two cases of a thousand, like a pair that shares no band.
 """
 
 from __future__ import annotations
@@ -39,7 +40,9 @@ from leafline.llm.components import components
 BANDS, ROWS, THRESHOLD = 8, 3, 0.8
 DF_BITS = 18
 #: samples of a pair that must agree before it is tested exactly
-AGREE = 11
+AGREE = 13
+#: rounds of leaders end when at most so many pairs per member are still apart
+SPARE = 4
 
 
 def gamma_quantiles() -> tuple[np.ndarray, np.ndarray]:
@@ -169,6 +172,29 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return shared_table(out.where(F.col("similarity") >= threshold - 1e-9), "near-links", batch_rows=500)
 
 
+def _apart(bucket: DataFrame, classes: DataFrame | None, threshold: float) -> tuple[DataFrame, int, int]:
+    """The members of buckets that hold several classes, with class ``_c``, the
+    bucket's largest class ``_big`` and a class of total weight ``_size``; the
+    number of pairs across classes at most, and the number of members."""
+    step = -math.log(threshold) if threshold < 1 else 1.0
+    member = bucket.withColumn("_c", F.col("_g"))
+    if classes is not None:
+        of = classes.select(F.col("node").alias("_cn"), "comp")
+        member = bucket.join(of, F.col("_g") == F.col("_cn"), "left").withColumn("_c", F.coalesce("comp", "_g"))
+    member = member.select(
+        "_key", "_g", "_weight", "_sig", "_pop", "_c", F.floor(F.log("_weight") / step).alias("_size")
+    )
+    shares = member.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n")).groupBy("_key").agg(
+        F.max_by("_c", F.struct("_n", "_c")).alias("_big"), F.max("_n").alias("_most"), F.sum("_n").alias("_all"),
+    ).where("_all > _most").select(F.col("_key").alias("_sk"), "_big", "_most", "_all")
+    shares = shared_table(shares, "near-shares")
+    pairs, rows = shares.agg(
+        F.coalesce(F.sum(F.col("_all") * (F.col("_all") - F.col("_most"))), F.lit(0)), F.coalesce(F.sum("_all"), F.lit(0))
+    ).first()
+    out = member.join(shares.select("_sk", "_big"), F.col("_key") == F.col("_sk")).drop("_sk")
+    return shared_table(out, "near-apart"), pairs, rows
+
+
 def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signed rows, links between different texts, and classes of linked texts.
 
@@ -185,13 +211,13 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
         F.min("_id").alias("_min"), *[F.first(c).alias(c) for c in ("_weight", "_bands", "_sig")]
     )
     banded = nodes.select("_g", "_min", "_weight", "_sig", F.explode("_bands").alias("_key"))
-    lead = F.min_by(F.struct("_g", "_weight", "_sig"), "_g")
-    sizes = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"), lead.alias("_lead")).where("_size > 1")
-    sizes = sizes.select(F.col("_key").alias("_bk"), "_lead")
-    bucket = shared_table(
-        banded.join(sizes, F.col("_key") == F.col("_bk")).select("_key", "_g", "_min", "_weight", "_sig", "_lead"),
-        "near-buckets",
+    sizes = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("_key").alias("_bk"), "_n")
+    shared = shared_table(
+        banded.join(sizes, F.col("_key") == F.col("_bk")).drop("_bk"), "near-shared"
     )
+    # a text in the middle of its near copies shares buckets with most of them
+    middle = shared.groupBy(F.col("_g").alias("_pg")).agg(F.sum("_n").alias("_pop"))
+    bucket = shared_table(shared.join(middle, F.col("_g") == F.col("_pg")).drop("_pg", "_n"), "near-buckets")
     involved = shared_table(bucket.select(F.col("_g").alias("_ig"), F.col("_min").alias("_imin")).distinct(), "near-nodes")
     texts = rows.join(
         small_side(involved, 200_000), (F.col("_g") == F.col("_ig")) & F.col("_id").eqNullSafe(F.col("_imin"))
@@ -205,25 +231,31 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
         agree = F.size(F.filter(F.zip_with(sig_a, sig_b, lambda x, y: x == y), lambda x: x))
         return close & (agree >= AGREE)
 
-    first = bucket.where(
-        (F.col("_g") != F.col("_lead._g"))
-        & likely(F.col("_weight"), F.col("_lead._weight"), F.col("_sig"), F.col("_lead._sig"))
-    ).select(F.col("_lead._g").alias("a"), F.col("_g").alias("b")).distinct()
-    tested = shared_table(first, "near-pairs")
-    links = _verify(tested, sets, threshold)
-    classes = components(links)
+    tested = links = classes = None
+    before = None
+    while True:
+        member, apart, rows_apart = _apart(bucket, classes, threshold)
+        if tested is not None and (apart <= SPARE * rows_apart or apart > 0.7 * before):
+            break
+        # a round: each bucket's leader, the most shared node outside its largest class, meets the others
+        before = apart
+        best = F.max_by(F.struct("_g", "_weight", "_sig", "_c"), F.struct("_pop", "_g"))
+        outside = member if tested is None else member.where(F.col("_c") != F.col("_big"))
+        leads = outside.groupBy("_key").agg(best.alias("_lead")).select(F.col("_key").alias("_lk"), "_lead")
+        pairs = member.join(
+            leads,
+            (F.col("_key") == F.col("_lk")) & (F.col("_c") != F.col("_lead._c"))
+            & likely(F.col("_weight"), F.col("_lead._weight"), F.col("_sig"), F.col("_lead._sig")),
+        ).select(F.least("_lead._g", "_g").alias("a"), F.greatest("_lead._g", "_g").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = shared_table(pairs, "near-pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        found = _verify(pairs, sets, threshold)
+        links = found if links is None else links.union(found)
+        classes = components(links)
 
     # what is still apart in a bucket: everything outside its largest class meets all others
-    of = classes.select(F.col("node").alias("_cn"), "comp")
-    step = -math.log(threshold) if threshold < 1 else 1.0
-    member = bucket.select("_key", "_g", "_weight", "_sig").join(of, F.col("_g") == F.col("_cn"), "left").select(
-        "_key", "_g", "_weight", "_sig", F.coalesce("comp", "_g").alias("_c"),
-        F.floor(F.log("_weight") / step).alias("_size"),
-    )
-    shares = member.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n")).groupBy("_key").agg(
-        F.max_by("_c", F.struct("_n", "_c")).alias("_big"), F.count(F.lit(1)).alias("_cs")
-    ).where("_cs > 1").select(F.col("_key").alias("_sk"), "_big")
-    member = shared_table(member.join(shares, F.col("_key") == F.col("_sk")).drop("_sk"), "near-apart")
     outer = member.where(F.col("_c") != F.col("_big")).select(
         F.col("_key").alias("_ok"), F.col("_g").alias("_og"), F.col("_weight").alias("_ow"), F.col("_sig").alias("_os"),
         F.col("_c").alias("_oc"), F.explode(F.array(*[F.col("_size") + d for d in (-1, 0, 1)])).alias("_oz"),
@@ -233,7 +265,6 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
         (F.col("_key") == F.col("_ok")) & (F.col("_size") == F.col("_oz")) & (F.col("_c") != F.col("_oc"))
         & likely(F.col("_weight"), F.col("_ow"), F.col("_sig"), F.col("_os")),
     ).select(F.least("_og", "_g").alias("a"), F.greatest("_og", "_g").alias("b")).distinct()
-    # a leader is the smaller digest of its pairs, so tested pairs are in order
     pairs = shared_table(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
     if pairs.limit(1).count():
         links = links.union(_verify(pairs, sets, threshold))
