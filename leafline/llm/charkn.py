@@ -179,8 +179,8 @@ def discounts(counts: DataFrame) -> list[float]:
     return [d if 0 < d < k else z for d, k, z in zip(found, (1, 2, 3), default, strict=True)]
 
 
-def discounted(d: list[float]) -> Column:
-    c = F.col("c")
+def discounted(d: list[float], c: Column | None = None) -> Column:
+    c = F.col("c") if c is None else c
     cut = F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
     return F.greatest(c - cut, F.lit(0.0))
 
@@ -212,6 +212,27 @@ def interpolate(types: DataFrame, counts: DataFrame, lower: DataFrame, k: int) -
     return out.select("g", (own + F.coalesce("gamma", F.lit(1.0)) * F.col("_lp")).alias("p"))
 
 
+def top_order(counts: DataFrame, classes: list[str], lower: DataFrame) -> DataFrame:
+    """P_5 of every row of ``counts`` (``g`` and a count per class), as ``p_<class>``.
+
+    The classes share ``lower``, P_4 of the suffixes; contexts and discounts are each
+    class's own.  Contexts of all classes come from one aggregate."""
+    cut, terms = {}, []
+    for c in classes:
+        n = F.col(c)
+        d = cut[c] = discounts(counts.select(n.alias("c")).where("c > 0"))
+        free = sum(x * F.count(F.when(cond, 1)) for x, cond in zip(d, (n == 1, n == 2, n >= 3), strict=True))
+        terms += [F.sum(n).alias(f"_total_{c}"), (free / F.nullif(F.sum(n), F.lit(0))).alias(f"_gamma_{c}")]
+    ctx = counts.groupBy(F.substring("g", 1, ORDER - 1).alias("_h")).agg(*terms)
+    low = lower.select(F.col("g").alias("_lg"), F.col("p").alias("_lp"))
+    out = counts.join(ctx, F.substring("g", 1, ORDER - 1) == F.col("_h")).join(low, suffix("g", ORDER - 1) == F.col("_lg"))
+    own = {c: F.coalesce(discounted(cut[c], F.col(c)) / F.nullif(F.col(f"_total_{c}"), F.lit(0)), F.lit(0.0)) for c in classes}
+    return out.select(
+        *counts.columns,
+        *[(own[c] + F.coalesce(f"_gamma_{c}", F.lit(1.0)) * F.col("_lp")).alias(f"p_{c}") for c in classes],
+    )
+
+
 def lower_orders(types: DataFrame, counts: DataFrame) -> DataFrame:
     """P_4 of the last four characters of every 5-gram type.
 
@@ -239,7 +260,7 @@ def lower_orders(types: DataFrame, counts: DataFrame) -> DataFrame:
     return p
 
 
-def hot_types(table: DataFrame, frequency: str, values: list[str], most: int = HOT) -> tuple[np.ndarray, np.ndarray]:
+def hot_types(table: DataFrame, frequency: str, value: str, most: int = HOT) -> tuple[np.ndarray, np.ndarray]:
     """Keys and values of the most frequent types, at most ``most``.
 
     The least frequency comes from a table of frequencies, so that no
@@ -251,11 +272,11 @@ def hot_types(table: DataFrame, frequency: str, values: list[str], most: int = H
             break
         least, held = r[frequency], held + r["n"]
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros((0, len(values)))
-    rows = table.where(F.col(frequency) >= least).select("g", frequency, *values).toArrow()
+        return np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    rows = table.where(F.col(frequency) >= least).select("g", frequency, value).toArrow()
     rows = rows.sort_by([(frequency, "ascending"), ("g", "ascending")])
     cps = np.frombuffer("".join(rows["g"].to_pylist()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return gram_keys(cps)[::ORDER], np.stack([rows[v].to_numpy().astype(np.float32) for v in values], axis=1)
+    return gram_keys(cps)[::ORDER], rows[value].to_numpy().astype(np.float32)
 
 
 def slots(keys: np.ndarray, values: np.ndarray) -> tuple:
@@ -283,9 +304,9 @@ def lookup(held: tuple, keys: np.ndarray) -> np.ndarray:
     return got
 
 
-def _scorer(table, once: bool) -> Callable:
+def _scorer(table, once: bool, excess: tuple[float, ...]) -> Callable:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = table.value
+        held = slots(*table.value)
         cols = [c.split()[0] for c in SCORED_SCHEMA.split(", ")]
         for batch in batches:
             texts = batch["text"].tolist()
@@ -298,10 +319,12 @@ def _scorer(table, once: bool) -> Callable:
                 row = np.full(len(keys), -1, np.int32)
                 row[ok] = lookup(held, keys[ok])
                 hit = row >= 0
-                sums = np.zeros((b - a, held[1].shape[1]))
+                sums = np.zeros((b - a, 1 + len(excess)))
                 if len(held[0]):
-                    for k in range(sums.shape[1]):
-                        sums[:, k] = np.add.reduceat(np.where(hit, held[1][row, k].astype(np.float64), 0.0), starts[:-1])
+                    value = np.where(hit, held[1][row].astype(np.float64), 0.0)
+                    sums[:, 0] = np.add.reduceat(value, starts[:-1])
+                    for k, x in enumerate(excess):
+                        sums[:, k + 1] = np.add.reduceat(np.maximum(value - x, 0.0), starts[:-1])
                 size = np.add.reduceat(np.append(ok, np.zeros(ORDER - 1, bool)).astype(np.int64), starts[:-1])
                 ids, ths = batch["_id"].iloc[a:b], batch["_th"].to_numpy()[a:b]
                 done = pd.DataFrame({"_id": ids.astype("Int64"), "_th": ths, "_kind": 0, "_values": list(sums), "_n": size, "g": None, "_c": 0, "_tag": batch["_tag"].iloc[a:b]})
@@ -323,35 +346,36 @@ def _scorer(table, once: bool) -> Callable:
 
 
 def score_documents(
-    docs: DataFrame, table: DataFrame, frequency: str, values: list[str],
+    docs: DataFrame, table: DataFrame, frequency: str, value: str,
     id_col: str = "doc_id", text_col: str = "text", tag_col: str | None = None,
-    once: bool = False, hot: int = HOT,
+    once: bool = False, excess: tuple[float, ...] = (), hot: int = HOT,
 ) -> DataFrame:
-    """Sums of ``values`` over the 5-grams of every row's text (with ``once`` over the
-    distinct ones).
+    """Sum of ``value`` over the 5-grams of every row's text (with ``once`` over the
+    distinct ones), and of what exceeds each of ``excess`` in a 5-gram.
 
-    ``table`` has ``g``, ``frequency`` and ``values`` for every type of the corpus.
-    Returns ``_id``, ``_th`` (text hash), ``_tag`` (of ``tag_col``), a sum per value under its
-    name, and ``n`` (5-grams; all: one more than the characters), a row for each row of ``docs``."""
+    ``table`` has ``g``, ``frequency`` and ``value`` for every type of the corpus.
+    Returns ``_id``, ``_th`` (text hash), ``_tag`` (of ``tag_col``), the sums under the name of
+    the value and ``over0``, ``over1``, ..., and ``n`` (5-grams; all: one more than the
+    characters), a row for each row of ``docs``."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(slots(*hot_types(table, frequency, values, hot)))
+    held = spark.sparkContext.broadcast(hot_types(table, frequency, value, hot))
     text = text_or_empty(text_col)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("text"),
         (F.col(tag_col).cast("string") if tag_col else F.lit(None).cast("string")).alias("_tag"),
     )
-    scored = shared_table(rows.mapInPandas(_scorer(held, once), SCORED_SCHEMA), "kn-scored")
+    scored = shared_table(rows.mapInPandas(_scorer(held, once, excess), SCORED_SCHEMA), "kn-scored")
+    held.destroy()
     whole = scored.where("_kind = 0").select("_id", "_th", "_tag", "_values", "_n")
-    key = table.select(F.col("g").alias("_tg"), *[F.col(v).alias(f"_t{k}") for k, v in enumerate(values)])
-    share = [
-        (F.sum(F.coalesce(f"_t{k}", F.lit(0.0)) * F.col("_c")) / F.sum("_n")).alias(f"_r{k}") for k in range(len(values))
-    ]
+    key = table.select(F.col("g").alias("_tg"), F.coalesce(value, F.lit(0.0)).alias("_tv"))
+    parts = [F.col("_tv"), *[F.greatest(F.col("_tv") - x, F.lit(0.0)) for x in excess]]
     # rows that repeat (id, text) emit the same tail; each gets one share
     rare = scored.where("_kind = 1").join(key, F.col("g") == F.col("_tg"), "left").groupBy(
         F.col("_id").alias("_rid"), F.col("_th").alias("_rth")
-    ).agg(*share)
+    ).agg(*[(F.sum(F.coalesce(v, F.lit(0.0)) * F.col("_c")) / F.sum("_n")).alias(f"_r{k}") for k, v in enumerate(parts)])
     out = whole.join(rare, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left")
+    names = [value, *[f"over{k}" for k in range(len(excess))]]
     return out.select(
         "_id", "_th", "_tag", F.col("_n").alias("n"),
-        *[(F.get("_values", F.lit(k)) + F.coalesce(f"_r{k}", F.lit(0.0))).alias(v) for k, v in enumerate(values)],
+        *[(F.get("_values", F.lit(k)) + F.coalesce(f"_r{k}", F.lit(0.0))).alias(v) for k, v in enumerate(names)],
     )

@@ -19,8 +19,9 @@ apart, or a round no longer helps, everything outside a bucket's largest class m
 all others of similar total weight.  So a large group of near copies costs a few
 tests per node, and no link between different classes is passed over.
 
-A pair is tested exactly if at least ``AGREE`` of its samples agree; a pair at the
-threshold has fewer in about two cases of a thousand, like a pair that shares no band.
+Nodes that share a bucket get ``SKETCH`` further samples, kept to four bits each. A pair
+is tested exactly if they agree as often as those of a pair at the threshold do in all but
+one of about a thousand cases; a pair that shares no band is rather more likely.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ from leafline.llm.components import components
 
 BANDS, ROWS, THRESHOLD = 8, 3, 0.8
 DF_BITS = 18
-#: samples of a pair that must agree before it is tested exactly
-AGREE = 13
+#: further samples, of four bits each, that tell which candidates are tested exactly
+SKETCH = 256
 #: rounds of leaders end when at most so many pairs per member are still apart
 SPARE = 4
 
@@ -123,7 +124,6 @@ def _signer(idf) -> Callable:
                     bands[i] = np.zeros(0, np.int64)
                 yield pd.DataFrame({
                     "_id": batch["_id"].iloc[a:b], "_g": batch["_g"].iloc[a:b], "_weight": total, "_bands": bands,
-                    "_sig": list(s.astype(np.uint32).view(np.int32).T),
                 })
 
     return sign
@@ -131,15 +131,19 @@ def _signer(idf) -> Callable:
 
 def _packer(idf) -> Callable:
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = sh.word_table()
+        table, quantiles = sh.word_table(), gamma_quantiles()
+        shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in sh.slices(texts):
                 doc, val, tf = sh.shingles(texts[a:b], table)
                 w = weigh(val, tf, idf.value)
+                bits = (_samples(doc, val, w, b - a, quantiles, SKETCH) & np.uint64(15)).T.reshape(b - a, SKETCH // 16, 16)
+                sig = (bits << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
                 cut = np.searchsorted(doc, np.arange(b - a + 1))
                 yield pd.DataFrame({
                     "_g": batch["_g"].iloc[a:b],
+                    "_sig": list(sig),
                     "_set": [val[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)],
                     "_w": [w[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)],
                 })
@@ -204,33 +208,46 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
     spark = rows.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(rows))
     signed = shared_table(
-        rows.mapInPandas(_signer(idf), "_id bigint, _g string, _weight double, _bands array<bigint>, _sig array<int>"),
+        rows.mapInPandas(_signer(idf), "_id bigint, _g string, _weight double, _bands array<bigint>"),
         "near-signed", batch_rows=2000,
     )
     nodes = signed.groupBy("_g").agg(
-        F.min("_id").alias("_min"), *[F.first(c).alias(c) for c in ("_weight", "_bands", "_sig")]
+        F.min("_id").alias("_min"), *[F.first(c).alias(c) for c in ("_weight", "_bands")]
     )
-    banded = nodes.select("_g", "_min", "_weight", "_sig", F.explode("_bands").alias("_key"))
+    banded = nodes.select("_g", "_min", "_weight", F.explode("_bands").alias("_key"))
     sizes = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("_key").alias("_bk"), "_n")
     shared = shared_table(
         banded.join(sizes, F.col("_key") == F.col("_bk")).drop("_bk"), "near-shared"
     )
     # a text in the middle of its near copies shares buckets with most of them
     middle = shared.groupBy(F.col("_g").alias("_pg")).agg(F.sum("_n").alias("_pop"))
-    bucket = shared_table(shared.join(middle, F.col("_g") == F.col("_pg")).drop("_pg", "_n"), "near-buckets")
-    involved = shared_table(bucket.select(F.col("_g").alias("_ig"), F.col("_min").alias("_imin")).distinct(), "near-nodes")
+    involved = shared_table(shared.select(F.col("_g").alias("_ig"), F.col("_min").alias("_imin")).distinct(), "near-nodes")
     texts = rows.join(
         small_side(involved, 200_000), (F.col("_g") == F.col("_ig")) & F.col("_id").eqNullSafe(F.col("_imin"))
     ).select("_g", "text")
     sets = shared_table(
-        texts.mapInPandas(_packer(idf), "_g string, _set binary, _w binary").dropDuplicates(["_g"]), "near-sets"
+        texts.mapInPandas(_packer(idf), "_g string, _sig array<bigint>, _set binary, _w binary").dropDuplicates(["_g"]), "near-sets"
+    )
+
+    known = sets.select(F.col("_g").alias("_kg"), "_sig")
+    bucket = shared_table(
+        shared.join(middle, F.col("_g") == F.col("_pg")).join(known, F.col("_g") == F.col("_kg")).drop("_pg", "_kg", "_n"),
+        "near-buckets",
     )
 
     def likely(weight_a, weight_b, sig_a, sig_b):
         close = F.least(weight_a, weight_b) >= threshold * F.greatest(weight_a, weight_b) * (1 - 1e-9)
-        agree = F.size(F.filter(F.zip_with(sig_a, sig_b, lambda x, y: x == y), lambda x: x))
-        return close & (agree >= AGREE)
-
+        agree = F.lit(0)
+        for k in range(SKETCH // 16):  # equal groups of four bits
+            x = F.get(sig_a, F.lit(k)).bitwiseXOR(F.get(sig_b, F.lit(k)))
+            x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+            x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+            agree = agree + F.bit_count(F.bitwise_not(x).bitwiseAND(F.lit(0x1111111111111111)))
+        return close & (agree >= least)
+
+    # agreeing samples of a pair at the threshold, less 3.2 standard deviations
+    even = threshold + (1 - threshold) / 16
+    least = math.floor(SKETCH * even - 3.2 * math.sqrt(SKETCH * even * (1 - even)))
     tested = links = classes = None
     before = None
     while True:

@@ -40,12 +40,9 @@ def perplexities(
     counts = shared_table(charkn.count_grams(used, cls, 1), "kn-counts")
     own = counts.select("g", F.col("n0").alias("c")).where("c > 0")
     lower = charkn.lower_orders(counts, own)
-    p = charkn.interpolate(counts.select("g"), own, lower, charkn.ORDER)
-    table = shared_table(
-        counts.select("g", F.col("n1").alias("freq")).join(p, "g").select("g", "freq", F.log("p").alias("lp")),
-        "kn-table",
-    )
-    scored = charkn.score_documents(rows, table, "freq", ["lp"], "_id", tag_col="_lang")
+    p = charkn.top_order(counts, ["n0"], lower)
+    table = shared_table(p.select("g", F.col("n1").alias("freq"), F.log("p_n0").alias("lp")), "kn-table")
+    scored = charkn.score_documents(rows, table, "freq", "lp", "_id", tag_col="_lang")
     return scored.select("_id", "_th", "_tag", F.exp(-F.col("lp") / F.col("n")).alias("perplexity"))
 
 

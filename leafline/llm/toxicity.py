@@ -59,16 +59,8 @@ def ratio_table(counts: DataFrame) -> DataFrame:
     ``counts`` has ``g``, ``n0`` (ordinary), ``n1`` (toxic) and ``n2`` (all rows)."""
     pooled = counts.select("g", (F.col("n0") + F.col("n1")).alias("c"))
     lower = charkn.lower_orders(counts, pooled)
-    out = counts.select("g", F.col("n2").alias("freq"))
-    for k in (0, 1):
-        own = counts.select("g", F.col(f"n{k}").alias("c")).where("c > 0")
-        p = charkn.interpolate(counts.select("g"), own, lower, charkn.ORDER)
-        out = out.join(p.withColumnRenamed("p", f"p{k}"), "g")
-    llr = F.log(F.col("p1") / F.col("p0"))
-    return out.select(
-        "g", "freq", llr.alias("llr"),
-        *[F.greatest(llr - x, F.lit(0.0)).alias(f"over{k}") for k, x in enumerate(EXCESS)],
-    )
+    p = charkn.top_order(counts, ["n0", "n1"], lower)
+    return p.select("g", F.col("n2").alias("freq"), F.log(F.col("p_n1") / F.col("p_n0")).alias("llr"))
 
 
 def score_toxicity(
@@ -95,7 +87,7 @@ def score_toxicity(
     counts = shared_table(charkn.count_grams(used, cls, 2, once=True), "tox-counts")
     table = shared_table(ratio_table(counts), "tox-ratios")
     values = ["llr", *[f"over{k}" for k in range(len(EXCESS))]]
-    scored = charkn.score_documents(rows, table, "freq", values, "_id", once=True)
+    scored = charkn.score_documents(rows, table, "freq", "llr", "_id", once=True, excess=EXCESS)
     features = {"f0": F.col("llr") / F.col("n")}
     for v in values[1:]:
         features[f"{v}_mean"] = F.col(v) / F.col("n")

@@ -34,7 +34,7 @@ class Model:
     def __init__(self, top, shared, types):
         self.counts = {5: top}
         for k in range(4, 0, -1):
-            source = shared if k == 4 else self.counts[k + 1]
+            source = shared if k == 4 else self.counts[k + 1]  # classes may share the lower orders
             self.counts[k] = Counter(g[1:] for g, c in source.items() if c > 0)
         self.d = {k: discounts(c) for k, c in self.counts.items()}
         self.chars = len({g[-1] for g in types}) + 1
@@ -86,7 +86,14 @@ def test_probabilities_against_plain_python(counted):
     rows = counts.collect()
     top = Counter({r["g"]: r["n0"] for r in rows if r["n0"]})
     own = counts.select("g", F.col("n0").alias("c")).where("c > 0")
-    p = charkn.interpolate(counts.select("g"), own, charkn.lower_orders(counts, own), 5)
+    lower = charkn.lower_orders(counts, own).cache()
+    p = charkn.interpolate(counts.select("g"), own, lower, 5)
+    both = charkn.top_order(counts, ["n0", "n1"], lower).select("g", "p_n0", "p_n1")
+    second = Counter({r["g"]: r["n1"] for r in rows if r["n1"]})
+    other = Model(second, top, [r["g"] for r in rows])
+    for r in both.collect():
+        assert r["p_n1"] == pytest.approx(other.p(r["g"]), rel=1e-9)
+    assert {r["g"]: pytest.approx(r["p_n0"]) for r in both.collect()} == {r["g"]: r["p"] for r in p.collect()}
     model = Model(top, top, [r["g"] for r in rows])
     got = {r["g"]: r["p"] for r in p.collect()}
     assert len(got) == len(rows)
@@ -98,15 +105,16 @@ def test_probabilities_against_plain_python(counted):
 @pytest.mark.parametrize("once", [False, True])
 def test_scores_do_not_depend_on_what_is_hot(spark, counted, hot, once):
     docs, counts = counted
-    table = counts[once].select("g", F.col("n2").alias("freq"), (F.xxhash64("g") % 1000 / 7.0).alias("a"), F.lit(1.0).alias("b"))
+    table = counts[once].select("g", F.col("n2").alias("freq"), (F.xxhash64("g") % 1000 / 7.0).alias("a"))
     value = {r["g"]: r["a"] for r in table.collect()}
     both = docs.unionByName(docs.where("doc_id in (3, 9)"))
-    got = charkn.score_documents(both, table, "freq", ["a", "b"], once=once, hot=hot).collect()
+    got = charkn.score_documents(both, table, "freq", "a", once=once, excess=(10.0,), hot=hot).collect()
     assert len(got) == len(TEXTS) + 2
     for r in got:
         want = set(grams(TEXTS[r["_id"]])) if once else grams(TEXTS[r["_id"]])
-        assert r["n"] == len(want) and r["b"] == pytest.approx(len(want))
-        assert r["a"] == pytest.approx(sum(value[g] for g in want))
+        assert r["n"] == len(want)
+        assert r["a"] == pytest.approx(sum(value[g] for g in want), rel=1e-5, abs=1e-4)
+        assert r["over0"] == pytest.approx(sum(max(value[g] - 10, 0) for g in want), rel=1e-5, abs=1e-4)
 
 
 def test_curve():
