@@ -19,7 +19,7 @@ apart, or a round no longer helps, everything outside a bucket's largest class m
 all others of similar total weight.  So a large group of near copies costs a few
 tests per node, and no link between different classes is passed over.
 
-Nodes that share a bucket get ``SKETCH`` further samples, kept to four bits each. A pair
+Nodes that share a bucket get ``SKETCH`` further samples, kept to one bit each. A pair
 is tested exactly if they agree as often as those of a pair at the threshold do in all but
 one of about a thousand cases; a pair that shares no band is rather more likely.
 """
@@ -40,8 +40,8 @@ from leafline.llm.components import components
 
 BANDS, ROWS, THRESHOLD = 8, 3, 0.8
 DF_BITS = 18
-#: further samples, of four bits each, that tell which candidates are tested exactly
-SKETCH = 256
+#: further samples, of one bit each, that tell which candidates are tested exactly
+SKETCH = 512
 #: rounds of leaders end when at most so many pairs per member are still apart
 SPARE = 4
 
@@ -132,13 +132,13 @@ def _signer(idf) -> Callable:
 def _packer(idf) -> Callable:
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, quantiles = sh.word_table(), gamma_quantiles()
-        shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
+        shift = np.arange(64, dtype=np.uint64)
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in sh.slices(texts):
                 doc, val, tf = sh.shingles(texts[a:b], table)
                 w = weigh(val, tf, idf.value)
-                bits = (_samples(doc, val, w, b - a, quantiles, SKETCH) & np.uint64(15)).T.reshape(b - a, SKETCH // 16, 16)
+                bits = (_samples(doc, val, w, b - a, quantiles, SKETCH) & np.uint64(1)).T.reshape(b - a, SKETCH // 64, 64)
                 sig = (bits << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
                 cut = np.searchsorted(doc, np.arange(b - a + 1))
                 yield pd.DataFrame({
@@ -237,17 +237,12 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
 
     def likely(weight_a, weight_b, sig_a, sig_b):
         close = F.least(weight_a, weight_b) >= threshold * F.greatest(weight_a, weight_b) * (1 - 1e-9)
-        agree = F.lit(0)
-        for k in range(SKETCH // 16):  # equal groups of four bits
-            x = F.get(sig_a, F.lit(k)).bitwiseXOR(F.get(sig_b, F.lit(k)))
-            x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-            x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-            agree = agree + F.bit_count(F.bitwise_not(x).bitwiseAND(F.lit(0x1111111111111111)))
-        return close & (agree >= least)
-
-    # agreeing samples of a pair at the threshold, less 3.2 standard deviations
-    even = threshold + (1 - threshold) / 16
-    least = math.floor(SKETCH * even - 3.2 * math.sqrt(SKETCH * even * (1 - even)))
+        differ = sum(F.bit_count(F.get(sig_a, F.lit(k)).bitwiseXOR(F.get(sig_b, F.lit(k)))) for k in range(SKETCH // 64))
+        return close & (differ <= most)
+
+    # differing bits of a pair at the threshold, and 3.2 standard deviations
+    odd = (1 - threshold) / 2
+    most = math.ceil(SKETCH * odd + 3.2 * math.sqrt(SKETCH * odd * (1 - odd)))
     tested = links = classes = None
     before = None
     while True:
