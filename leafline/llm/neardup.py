@@ -16,8 +16,10 @@ Copies of a text are one node from the start.  Nodes of one bucket meet in
 rounds: all members of other classes meet the node that shares buckets with most others,
 the middle of a group of near copies, and classes are joined.  Once few pairs are
 apart, or a round no longer helps, everything outside a bucket's largest class meets
-all others of similar total weight.  So a large group of near copies costs a few
-tests per node, and no link between different classes is passed over.
+all others of similar total weight.  A large group of near copies that are links of
+its middle costs a few tests per node; where a group's members are alike just below the
+threshold, the last pass compares sketches of all its pairs and tests those that are near.
+Pairs already in one class are not tested, so links inside a class are not all listed.
 
 Nodes that share a bucket get ``SKETCH`` further samples, kept to one bit each. A pair
 is tested exactly if they agree as often as those of a pair at the threshold do in all but
@@ -289,7 +291,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``class_id`` is the smallest id of the class, ``kept_g`` the digest of the text
     of the document to keep (smallest digest among rows of that id), ``n_links`` the
-    number of other texts that the row's text is linked with.
+    number of links found to other texts (pairs already in one class are not tested).
 
     Defined cases: null texts are empty; texts without words are only classed with equal texts;
     null ids are larger than any id; repeated rows share a class; an empty table gives
