@@ -16,19 +16,18 @@ Copies of a text are one node from the start.  Nodes of one bucket meet in
 rounds: all members of other classes meet the node that shares buckets with most others,
 the middle of a group of near copies, and classes are joined.  Once few pairs are
 apart, or a round no longer helps, everything outside a bucket's largest class meets
-all others of similar total weight.  A large group of near copies that are links of
+all others of the bucket.  A large group of near copies that are links of
 its middle costs a few tests per node; where a group's members are alike just below the
-threshold, the last pass compares sketches of all its pairs and tests those that are near.
-Pairs already in one class are not tested, so links inside a class are not all listed.
+threshold, all its pairs are tested.
 
-Nodes that share a bucket get ``SKETCH`` further samples, kept to one bit each. A pair
-is tested exactly if they agree as often as those of a pair at the threshold do in all but
-one of about a thousand cases; a pair that shares no band is rather more likely.
+Every candidate pair of two classes is tested exactly; only a pair whose total weights alone
+rule a link out is left.  The last pass deals each bucket to chunks of ``CHUNK_BYTES`` and takes the
+overlap of one text with all others of two chunks from one inverted index, so its pairs are never
+rows.  Pairs already in one class are not tested, so the links are those that join classes.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,8 +41,8 @@ from leafline.llm.components import components
 
 BANDS, ROWS, THRESHOLD = 8, 3, 0.8
 DF_BITS = 18
-#: further samples, of one bit each, that tell which candidates are tested exactly
-SKETCH = 512
+#: bytes of sets in a chunk of a bucket; two chunks are in memory at a time
+CHUNK_BYTES = 8_000_000
 #: rounds of leaders end when at most so many pairs per member are still apart
 SPARE = 4
 
@@ -133,19 +132,16 @@ def _signer(idf) -> Callable:
 
 def _packer(idf) -> Callable:
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, quantiles = sh.word_table(), gamma_quantiles()
-        shift = np.arange(64, dtype=np.uint64)
+        table = sh.word_table()
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in sh.slices(texts):
                 doc, val, tf = sh.shingles(texts[a:b], table)
                 w = weigh(val, tf, idf.value)
-                bits = (_samples(doc, val, w, b - a, quantiles, SKETCH) & np.uint64(1)).T.reshape(b - a, SKETCH // 64, 64)
-                sig = (bits << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
                 cut = np.searchsorted(doc, np.arange(b - a + 1))
                 yield pd.DataFrame({
                     "_g": batch["_g"].iloc[a:b],
-                    "_sig": list(sig),
+                    "_len": np.diff(cut),
                     "_set": [val[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)],
                     "_w": [w[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)],
                 })
@@ -166,6 +162,83 @@ def _verifier(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "similarity": out})
 
 
+def _joins(left, right, same, sets, weights, total, comp, threshold) -> list[tuple[int, int]]:
+    """Links of texts ``left`` with texts ``right`` that join two classes; ``comp`` is updated.
+
+    If ``same``, ``right`` begins with ``left`` and each pair is met once."""
+    out: list[tuple[int, int]] = []
+    if not len(left) or not len(right):
+        return out
+    doc = np.repeat(np.arange(len(right)), [len(sets[r]) for r in right])
+    val = np.concatenate([sets[r] for r in right])
+    order = np.argsort(val, kind="stable")
+    doc, weight = doc[order], np.concatenate([weights[r] for r in right])[order]
+    known, start = np.unique(val[order], return_index=True)
+    stop = np.append(start[1:], len(val))
+    for x in left:
+        at, mine = np.searchsorted(known, sets[x]), weights[x]
+        if same:
+            start[at] += 1  # its own entries are the first of those that are left
+        else:
+            at = np.minimum(at, len(known) - 1)
+            there = known[at] == sets[x]
+            at, mine = at[there], mine[there]
+        if (comp[right] == comp[x]).all():
+            continue
+        span = stop[at] - start[at]
+        entry = np.repeat(start[at] - np.cumsum(span) + span, span) + np.arange(span.sum())
+        both = np.bincount(doc[entry], np.minimum(weight[entry], np.repeat(mine, span)), len(right))
+        for y in right[both >= (threshold - 1e-9) * (total[x] + total[right] - both)]:
+            if comp[y] != comp[x]:
+                comp[comp == comp[y]] = comp[x]
+                out.append((x, y))
+    return out
+
+
+def _block(rows: pd.DataFrame, threshold: float) -> list[tuple[str, str]]:
+    """Links within one chunk of a bucket, or between two, that join classes."""
+    sets = [np.frombuffer(x, np.uint64) for x in rows["_set"]]
+    weights = [np.frombuffer(x) for x in rows["_w"]]
+    total = np.array([w.sum() for w in weights])
+    comp, _ = pd.factorize(rows["_c"])
+    outer = (rows["_c"] != rows["_big"]).to_numpy()
+    lo, hi = rows["_lo"].iloc[0], rows["_hi"].iloc[0]
+    held = sets, weights, total, comp, threshold
+    if lo == hi:
+        left, rest = np.flatnonzero(outer), np.flatnonzero(~outer)
+        found = _joins(left, np.concatenate([left, rest]), True, *held)
+    else:
+        here = (rows["_own"] == lo).to_numpy()
+        found = _joins(np.flatnonzero(here & outer), np.flatnonzero(~here), False, *held)
+        found += _joins(np.flatnonzero(here & ~outer), np.flatnonzero(~here & outer), False, *held)
+    g = rows["_g"].tolist()
+    return [(min(g[x], g[y]), max(g[x], g[y])) for x, y in found]
+
+
+def _blocks(threshold: float) -> Callable:
+    """Links of blocks, whose rows follow each other."""
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        at = None
+        for batch in batches:
+            keys = batch[["_key", "_lo", "_hi"]].to_numpy(np.int64)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
+            out = []
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if i == j:
+                    continue
+                if held and at != tuple(keys[i]):
+                    out += _block(pd.concat(held), threshold)
+                    held = []
+                at = tuple(keys[i])
+                held.append(batch.iloc[i:j])
+            yield pd.DataFrame(out, columns=["a", "b"])
+        if held:
+            yield pd.DataFrame(_block(pd.concat(held), threshold), columns=["a", "b"])
+
+    return link
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (``a``, ``b``) whose exact weighted Jaccard reaches the threshold."""
     def side(s):
@@ -175,29 +248,27 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     out = full.select("a", "b", "_set_a", "_w_a", "_set_b", "_w_b").mapInPandas(
         _verifier, "a string, b string, similarity double"
     )
-    return shared_table(out.where(F.col("similarity") >= threshold - 1e-9), "near-links", batch_rows=500)
+    return shared_table(out.where(F.col("similarity") >= threshold - 1e-9).select("a", "b"), "near-links", batch_rows=500)
 
 
-def _apart(bucket: DataFrame, classes: DataFrame | None, threshold: float) -> tuple[DataFrame, int, int]:
+def _apart(bucket: DataFrame, classes: DataFrame | None) -> tuple[DataFrame, int, int]:
     """The members of buckets that hold several classes, with class ``_c``, the
-    bucket's largest class ``_big`` and a class of total weight ``_size``; the
+    bucket's largest class ``_big`` and number of chunks ``_chunks``; the
     number of pairs across classes at most, and the number of members."""
-    step = -math.log(threshold) if threshold < 1 else 1.0
     member = bucket.withColumn("_c", F.col("_g"))
     if classes is not None:
         of = classes.select(F.col("node").alias("_cn"), "comp")
         member = bucket.join(of, F.col("_g") == F.col("_cn"), "left").withColumn("_c", F.coalesce("comp", "_g"))
-    member = member.select(
-        "_key", "_g", "_weight", "_sig", "_pop", "_c", F.floor(F.log("_weight") / step).alias("_size")
-    )
-    shares = member.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n")).groupBy("_key").agg(
+    member = member.select("_key", "_g", "_weight", "_len", "_pop", "_c")
+    shares = member.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n"), F.sum("_len").alias("_l")).groupBy("_key").agg(
         F.max_by("_c", F.struct("_n", "_c")).alias("_big"), F.max("_n").alias("_most"), F.sum("_n").alias("_all"),
-    ).where("_all > _most").select(F.col("_key").alias("_sk"), "_big", "_most", "_all")
+        F.ceil(F.sum("_l") * 16 / CHUNK_BYTES).cast("int").alias("_chunks"),
+    ).where("_all > _most").select(F.col("_key").alias("_sk"), "_big", "_most", "_all", "_chunks")
     shares = shared_table(shares, "near-shares")
     pairs, rows = shares.agg(
         F.coalesce(F.sum(F.col("_all") * (F.col("_all") - F.col("_most"))), F.lit(0)), F.coalesce(F.sum("_all"), F.lit(0))
     ).first()
-    out = member.join(shares.select("_sk", "_big"), F.col("_key") == F.col("_sk")).drop("_sk")
+    out = member.join(shares.select("_sk", "_big", "_chunks"), F.col("_key") == F.col("_sk")).drop("_sk")
     return shared_table(out, "near-apart"), pairs, rows
 
 
@@ -205,7 +276,7 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
     """Signed rows, links between different texts, and classes of linked texts.
 
     ``rows`` has ``_id``, ``_g`` (text digest) and ``text``.  Returns ``signed``
-    (``_id``, ``_g``), ``links`` (``a``, ``b``, ``similarity``) and ``classes``
+    (``_id``, ``_g``), ``links`` that join classes (``a``, ``b``) and ``classes``
     (``node``, ``comp``) over text digests."""
     spark = rows.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(rows))
@@ -228,38 +299,33 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
         small_side(involved, 200_000), (F.col("_g") == F.col("_ig")) & F.col("_id").eqNullSafe(F.col("_imin"))
     ).select("_g", "text")
     sets = shared_table(
-        texts.mapInPandas(_packer(idf), "_g string, _sig array<bigint>, _set binary, _w binary").dropDuplicates(["_g"]), "near-sets"
+        texts.mapInPandas(_packer(idf), "_g string, _len bigint, _set binary, _w binary").dropDuplicates(["_g"]), "near-sets"
     )
 
-    known = sets.select(F.col("_g").alias("_kg"), "_sig")
+    known = sets.select(F.col("_g").alias("_kg"), "_len")
     bucket = shared_table(
         shared.join(middle, F.col("_g") == F.col("_pg")).join(known, F.col("_g") == F.col("_kg")).drop("_pg", "_kg", "_n"),
         "near-buckets",
     )
 
-    def likely(weight_a, weight_b, sig_a, sig_b):
-        close = F.least(weight_a, weight_b) >= threshold * F.greatest(weight_a, weight_b) * (1 - 1e-9)
-        differ = sum(F.bit_count(F.get(sig_a, F.lit(k)).bitwiseXOR(F.get(sig_b, F.lit(k)))) for k in range(SKETCH // 64))
-        return close & (differ <= most)
+    def likely(weight_a, weight_b):
+        return F.least(weight_a, weight_b) >= threshold * F.greatest(weight_a, weight_b) * (1 - 1e-9)
 
-    # differing bits of a pair at the threshold, and 3.2 standard deviations
-    odd = (1 - threshold) / 2
-    most = math.ceil(SKETCH * odd + 3.2 * math.sqrt(SKETCH * odd * (1 - odd)))
     tested = links = classes = None
     before = None
     while True:
-        member, apart, rows_apart = _apart(bucket, classes, threshold)
+        member, apart, rows_apart = _apart(bucket, classes)
         if tested is not None and (apart <= SPARE * rows_apart or apart > 0.7 * before):
             break
         # a round: each bucket's leader, the most shared node outside its largest class, meets the others
         before = apart
-        best = F.max_by(F.struct("_g", "_weight", "_sig", "_c"), F.struct("_pop", "_g"))
+        best = F.max_by(F.struct("_g", "_weight", "_c"), F.struct("_pop", "_g"))
         outside = member if tested is None else member.where(F.col("_c") != F.col("_big"))
         leads = outside.groupBy("_key").agg(best.alias("_lead")).select(F.col("_key").alias("_lk"), "_lead")
         pairs = member.join(
             leads,
             (F.col("_key") == F.col("_lk")) & (F.col("_c") != F.col("_lead._c"))
-            & likely(F.col("_weight"), F.col("_lead._weight"), F.col("_sig"), F.col("_lead._sig")),
+            & likely(F.col("_weight"), F.col("_lead._weight")),
         ).select(F.least("_lead._g", "_g").alias("a"), F.greatest("_lead._g", "_g").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -270,28 +336,24 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
         classes = components(links)
 
     # what is still apart in a bucket: everything outside its largest class meets all others
-    outer = member.where(F.col("_c") != F.col("_big")).select(
-        F.col("_key").alias("_ok"), F.col("_g").alias("_og"), F.col("_weight").alias("_ow"), F.col("_sig").alias("_os"),
-        F.col("_c").alias("_oc"), F.explode(F.array(*[F.col("_size") + d for d in (-1, 0, 1)])).alias("_oz"),
-    )
-    pairs = member.join(
-        outer,
-        (F.col("_key") == F.col("_ok")) & (F.col("_size") == F.col("_oz")) & (F.col("_c") != F.col("_oc"))
-        & likely(F.col("_weight"), F.col("_ow"), F.col("_sig"), F.col("_os")),
-    ).select(F.least("_og", "_g").alias("a"), F.greatest("_og", "_g").alias("b")).distinct()
-    pairs = shared_table(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-    if pairs.limit(1).count():
-        links = links.union(_verify(pairs, sets, threshold))
+    if apart:
+        own = F.pmod(F.xxhash64("_g"), F.col("_chunks")).cast("int")
+        dealt = member.select("_key", "_g", "_c", "_big", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_to"))
+        dealt = dealt.select("_key", "_g", "_c", "_big", "_own", F.least("_own", "_to").alias("_lo"), F.greatest("_own", "_to").alias("_hi"))
+        side = sets.select(F.col("_g").alias("_sg"), "_set", "_w")
+        whole = dealt.join(side, F.col("_g") == F.col("_sg")).drop("_sg")
+        whole = whole.repartition("_key", "_lo", "_hi").sortWithinPartitions("_key", "_lo", "_hi")
+        found = shared_table(whole.mapInPandas(_blocks(threshold), "a string, b string"), "near-links", batch_rows=500)
+        links = links.union(found)
         classes = components(links)
     return signed.select("_id", "_g"), links, classes
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Class of every row: ``_id``, ``_g`` (text digest), ``class_id``, ``kept_g``, ``n_links``.
+    """Class of every row: ``_id``, ``_g`` (text digest), ``class_id``, ``kept_g``.
 
     ``class_id`` is the smallest id of the class, ``kept_g`` the digest of the text
-    of the document to keep (smallest digest among rows of that id), ``n_links`` the
-    number of links found to other texts (pairs already in one class are not tested).
+    of the document to keep (smallest digest among rows of that id).
 
     Defined cases: null texts are empty; texts without words are only classed with equal texts;
     null ids are larger than any id; repeated rows share a class; an empty table gives
@@ -301,17 +363,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.md5(text_or_empty(text_col).cast("binary")).alias("_g"),
         text_or_empty(text_col).alias("text"),
     )
-    signed, links, classes = near_links(rows, threshold)
-    degree = links.select(F.col("a").alias("_dn")).union(links.select("b")).groupBy("_dn").agg(F.count(F.lit(1)).alias("_deg"))
+    signed, _, classes = near_links(rows, threshold)
     nodes = signed.groupBy("_g").agg(F.min("_id").alias("_min"))
     nodes = nodes.join(classes, F.col("_g") == F.col("node"), "left").withColumn("_c", F.coalesce("comp", "_g"))
     order = F.struct(F.col("_min").isNull(), F.col("_min"), F.col("_g"))
     kept = nodes.groupBy("_c").agg(F.min(order).alias("_k")).select(
         F.col("_c").alias("_kc"), F.col("_k._min").alias("class_id"), F.col("_k._g").alias("kept_g")
     )
-    nodes = nodes.join(kept, F.col("_c") == F.col("_kc")).join(degree, F.col("_g") == F.col("_dn"), "left").select(
-        F.col("_g").alias("_ng"), "class_id", "kept_g", F.coalesce("_deg", F.lit(0)).alias("n_links")
-    )
+    nodes = nodes.join(kept, F.col("_c") == F.col("_kc")).select(F.col("_g").alias("_ng"), "class_id", "kept_g")
     return signed.join(nodes, F.col("_g") == F.col("_ng")).drop("_ng")
 
 
@@ -319,6 +378,6 @@ def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate class of all ``documents``; ``keep`` marks the one that stays."""
     out = near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select(
-        F.col("_id").alias("doc_id"), "class_id", "n_links",
+        F.col("_id").alias("doc_id"), "class_id",
         F.coalesce(F.col("_id") == F.col("class_id"), F.col("class_id").isNull()).alias("keep"),
     )

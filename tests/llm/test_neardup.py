@@ -1,7 +1,9 @@
+import random
 import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from leafline.llm import neardup as nd
@@ -112,3 +114,55 @@ def test_odd_rows(spark, odd, none):
     assert sorted((c for i, c in got if i == 6)) == [6, 6] and dict(got)[7] == 6
     assert dict(got)[1] == 1 and dict(got)[2] == 1 and dict(got)[5] == 5 and dict(got)[None] is None
     assert nd.near_duplicates(none).count() == 0
+
+
+def near_threshold(seed):
+    """Two texts of weighted Jaccard similarity 0.8027 as a corpus of their own."""
+    rng = random.Random(seed)
+    a = [f"w{rng.randrange(10**6)}" for _ in range(143)]
+    b = list(a)
+    for k in (40, 100):
+        b[k] = f"v{rng.randrange(10**6)}"
+    return " ".join(a), " ".join(b)
+
+
+def test_link_whose_one_bit_sketches_differ_much(spark):
+    # 76 of the 512 bits of the former sketch differ, more than it let through
+    out = nd.near_duplicates(make_docs(spark, list(enumerate(near_threshold(0)))))
+    assert [r["class_id"] for r in out.collect()] == [0, 0] and "n_links" not in out.columns
+
+
+def test_blocks_against_brute_force():
+    rng = np.random.default_rng(5)
+    sets, weights = [], []
+    for _ in range(40):
+        v = np.sort(rng.choice(30, 24, replace=False)).astype(np.uint64)
+        sets.append(v)
+        weights.append(rng.choice([1.0, 1.5], len(v)))
+    rows = pd.DataFrame({
+        "_g": [f"g{i:02}" for i in range(40)], "_c": [f"c{min(i, 35)}" for i in range(40)], "_big": "c35",
+        "_own": [i % 2 for i in range(40)], "_set": [s.tobytes() for s in sets], "_w": [w.tobytes() for w in weights],
+    })
+
+    def classes(links):
+        comp = list(range(40))
+        comp[35:] = [35] * 5
+        for a, b in links:
+            x, y = comp[a], comp[b]
+            comp = [min(x, y) if c in (x, y) else c for c in comp]
+        return comp
+
+    want = []
+    for a in range(40):
+        for b in range(a):
+            wa, wb = (dict(zip(sets[i].tolist(), weights[i].tolist(), strict=True)) for i in (a, b))
+            both = sum(min(w, wb.get(s, 0)) for s, w in wa.items())
+            if both >= 0.7 * (sum(wa.values()) + sum(wb.values()) - both):
+                want.append((a, b))
+    whole = nd._block(rows.assign(_lo=0, _hi=0), 0.7)
+    parts = [rows[rows["_own"] == 0].assign(_lo=0, _hi=0), rows[rows["_own"] == 1].assign(_lo=1, _hi=1), rows.assign(_lo=0, _hi=1)]
+    dealt = [x for p in parts for x in nd._block(p, 0.7)]
+    for found in (whole, dealt):
+        found = [(int(a[1:]), int(b[1:])) for a, b in found]
+        assert {(max(p), min(p)) for p in found} <= set(want) and classes(found) == classes(want)
+    assert 1 < len(set(classes(want))) < 30
