@@ -1,5 +1,7 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
+A word is a run of letters and digits; each character of a script without blanks
+(Han, kana, Thai, Lao, Khmer, Burmese) is a word of its own, in every text.
 Words are hashed, every run of ``k`` words gets a hash, and of each window of
 ``w`` consecutive k-grams the smallest hash is kept, the rightmost on ties,
 with its position.  Any run of ``w + k - 1`` words that two texts share
@@ -25,8 +27,8 @@ K, W = 5, 8
 POS = (1 << 31) - 1
 #: what stands between words
 GAP = r"[^\p{L}\p{N}]+"
-#: a text with more bytes a word than this (scripts without blanks) is taken by characters
-WORD_BYTES = 60
+#: a letter or digit of a script without blanks
+LONE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&[\p{L}\p{N}]]"
 #: buckets of neighbouring ids, and rows that one holds on average
 MAX_BUCKETS, BUCKET_ROWS = 65_536, 2_000
 
@@ -42,9 +44,10 @@ def add_fingerprint(
     if w < 1 or w & (w - 1):
         raise ValueError("w must be a power of two")
     text = text_or_empty(text_col)
-    df = df.withColumn("_s", F.split(F.lower(text), GAP))
-    by_char = F.octet_length(text) > F.size("_s") * WORD_BYTES
-    df = df.withColumn("_s", F.when(by_char, F.filter(F.split(F.lower(text), ""), lambda x: x.rlike(r"[\p{L}\p{N}]"))).otherwise(F.array_remove("_s", "")))
+    low = F.lower(text)
+    # a text of plain ASCII has none of them
+    spaced = F.when(F.octet_length(low) == F.char_length(low), low).otherwise(F.regexp_replace(low, LONE, " $0 "))
+    df = df.withColumn("_s", F.array_remove(F.split(spaced, GAP), ""))
     df = df.withColumn("_w", F.transform("_s", lambda x: F.xxhash64(x))).drop("_s")
     n = F.size("_w")
 

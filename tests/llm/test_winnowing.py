@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import struct
 
@@ -73,3 +74,28 @@ def test_query_values(spark):
     row = spark.range(1).select(wn.likeness(a, b).alias("x"), wn.likeness(F.array(), F.array()).alias("y")).first()
     assert row["x"] == pytest.approx(1 / 3) and row["y"] == 1.0
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def clauses(seed, n, mark="\uff0c"):
+    """Punctuated text of Han, kana or Thai letters, eight to fifteen a clause."""
+    rng = random.Random(seed)
+    low, high = rng.choice([(0x4E00, 0x9FA5), (0x3042, 0x3093), (0x0E01, 0x0E2E)])
+    return mark.join("".join(chr(rng.randint(low, high)) for _ in range(rng.randint(8, 15))) for _ in range(n))
+
+
+def test_scripts_without_blanks(spark):
+    texts = [clauses(i, 3 + i) for i in range(8)]
+    texts += [f"{prose(1, 30)} {clauses(9, 2)}{prose(2, 20)}", f"v2{clauses(10, 1, '')}x {clauses(11, 4, ' ')}", clauses(12, 1)]
+    docs = make_docs(spark, list(enumerate(texts)))
+    got = {r["doc_id"]: r["f"] for r in wn.add_fingerprint(docs, "text").select("doc_id", wn.digest("fp").alias("f")).collect()}
+    assert got == {i: brute(re.sub(r"([\u4e00-\u9fa5\u3042-\u3093\u0e01-\u0e2e])", r" \1 ", t)) for i, t in enumerate(texts)}
+
+
+def test_match_guarantee_without_blanks(spark):
+    for seed in range(20, 26):
+        shared = clauses(seed, 4).replace("\uff0c", "")[: wn.K + wn.W - 1]
+        docs = make_docs(spark, [
+            (1, f"{clauses(seed + 10, 9)}{shared}{clauses(seed + 20, 5)}"), (2, f"{prose(seed, 200)} {shared} {prose(seed + 1, 90)}"),
+        ])
+        a, b = [set(r["h"]) for r in wn.add_fingerprint(docs, "text").select(wn.hashes("fp").alias("h")).collect()]
+        assert a & b
