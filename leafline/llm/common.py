@@ -19,6 +19,8 @@ from leafline.session import checkpoint_dir
 
 #: Rows of fixed width that may be broadcast after they have been counted.
 BROADCAST_ROWS = 1_000_000
+#: Bytes that may be broadcast after they have been measured.
+BROADCAST_BYTES = 16 << 20
 
 
 def new_folder(spark: SparkSession, tag: str) -> str:
@@ -67,3 +69,16 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     by shuffle.  Callers pass fixed-width columns only."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def measured_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a frame for broadcast if its rows take at most ``max_bytes``: strings
+    by their bytes, other columns as 16 bytes.
+
+    The frame is read once to measure it; a larger one is returned unmarked
+    and joins by shuffle, where adaptive execution splits hot keys."""
+    width = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        width = width + (F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 16 if kind == "string" else F.lit(16))
+    size = df.select(width.alias("_w")).agg(F.sum("_w")).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

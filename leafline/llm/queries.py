@@ -16,6 +16,7 @@ OPERATORS = {
     "op8_mixing": "mixing",
     "op9_winnowing": "winnowing",
     "op10_quality_kn": "quality",
+    "op13_source_divergence": "divergence",
 }
 
 
