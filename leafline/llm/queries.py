@@ -16,6 +16,8 @@ OPERATORS = {
     "op8_mixing": "mixing",
     "op9_winnowing": "winnowing",
     "op10_quality_kn": "quality",
+    "op11_url_filter": "url_filter",
+    "op12_hard_negatives": "hard_negatives",
     "op13_source_divergence": "divergence",
 }
 
