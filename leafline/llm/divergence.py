@@ -47,7 +47,8 @@ def collapse_texts(docs: DataFrame) -> DataFrame:
 def count_terms(docs: DataFrame) -> DataFrame:
     """``(lang, source, term, n, docs)``: occurrences and documents of each term of a source."""
     each = collapse_texts(docs).select("lang", F.col("text").cast("binary").alias("text"), "holders")
-    counted = each.mapInArrow(term_counter(), COUNTED)
+    # tasks have summed their rows; dealt by term, sources and languages are summed without moving again
+    counted = each.mapInArrow(term_counter(), COUNTED).repartition("lang", "term")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
