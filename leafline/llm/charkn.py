@@ -23,15 +23,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafline.llm.common import shared_table, text_or_empty
+from leafline.llm.common import give_back, shared_table, text_or_empty
 
 ORDER = 5
 #: code points put before the first and after the last character of a text
 START, END = 2, 3
 #: types that every task holds at most (about 50 MB), the same for any corpus
 HOT = 1 << 20
-#: code points worked on at once, and distinct types held before they are sent
-SLICE_CHARS, FLUSH_TYPES = 1_000_000, 1_000_000
+#: code points worked on at once, and types held before they are merged; more than half of that is sent
+SLICE_CHARS, FLUSH_TYPES = 500_000, 500_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 SCORED_SCHEMA = "_id bigint, _th bigint, _kind int, _values array<double>, _n bigint, g string, _c bigint, _tag string"
@@ -77,6 +77,29 @@ def inside(starts: np.ndarray, total: int) -> np.ndarray:
     return ok
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each distinct value, rising, and the number of every value among them.
+
+    Places are written into an open table, the first of a slot last, and read back: a value
+    meets its own first place or another value's; only the latter go another round, with another hash."""
+    n = len(values)
+    bits = max(8, int(2 * n).bit_length())
+    first = np.empty(n, np.int32)
+    table, left, salt = np.empty(1 << bits, np.int32), np.arange(n, dtype=np.int32), 0x9E3779B97F4A7C15
+    while len(left):
+        v = values[left]
+        slot = ((v * np.uint64(salt)) >> np.uint64(64 - bits)).astype(np.intp)
+        table[slot[::-1]] = left[::-1]
+        found = table[slot]
+        same = values[found] == v
+        first[left[same]] = found[same]
+        left, salt = left[~same], salt * 0xD1342543DE82EF95 % (1 << 64)
+    at = np.flatnonzero(first == np.arange(n, dtype=np.int32))
+    number = np.empty(n, np.int32)
+    number[at] = np.arange(len(at), dtype=np.int32)
+    return at, number[first]
+
+
 def first_places(keys: np.ndarray, ok: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Of the places in ``ok`` those where a text has its 5-gram for the first time."""
     of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[: len(keys)]
@@ -85,7 +108,7 @@ def first_places(keys: np.ndarray, ok: np.ndarray, starts: np.ndarray) -> np.nda
     both ^= both >> np.uint64(30)
     both *= np.uint64(0xBF58476D1CE4E5B9)
     once = np.zeros(len(keys), bool)
-    once[at[np.unique(both, return_index=True)[1]]] = True
+    once[at[distinct(both)[0]]] = True
     return once
 
 
@@ -103,13 +126,15 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 def _counter(classes: int, once: bool) -> Callable:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, np.ndarray] | None = None
+        held: list[tuple] = []
+        waiting = 0
 
-        def merge(keys, grams, counts):
+        def merged():
+            keys, grams, counts = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(keys, kind="stable")
-            keys, grams, counts = keys[order], grams[order], counts[order]
+            keys = keys[order]
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            return keys[first], grams[first], np.add.reduceat(counts, first, axis=0)
+            return keys[first], grams[order[first]], np.add.reduceat(counts[order], first, axis=0)
 
         def frame(h):
             out = {"g": h[1].astype(object)}
@@ -126,23 +151,24 @@ def _counter(classes: int, once: bool) -> Callable:
                     ok = first_places(keys, ok, starts)
                 at = np.flatnonzero(ok)
                 keys = keys[at]
-                uniq, where, place = np.unique(keys, return_index=True, return_inverse=True)
-                counts = np.zeros((len(uniq), classes + 1), dtype=np.int64)
-                counts[:, classes] = np.bincount(place, minlength=len(uniq))
+                where, place = distinct(keys)
+                counts = np.zeros((len(where), classes + 1), dtype=np.int64)
+                counts[:, classes] = np.bincount(place, minlength=len(where))
                 of = np.repeat(cls[a:b], np.diff(starts))[at]
                 for k in range(classes):
                     if (of == k).any():
-                        counts[:, k] = np.bincount(place[of == k], minlength=len(uniq))
-                part = (uniq, gram_strings(cps, at[where]), counts)
-                if held is None:
-                    held = part
-                else:
-                    held = merge(*[np.concatenate(x) for x in zip(held, part, strict=True)])
-                if len(held[0]) > FLUSH_TYPES:
-                    yield frame(held)
-                    held = None
-        if held is not None:
-            yield frame(held)
+                        counts[:, k] = np.bincount(place[of == k], minlength=len(where))
+                held.append((keys[where], gram_strings(cps, at[where]), counts))
+                waiting += len(where)
+                if waiting > FLUSH_TYPES:
+                    held = [merged()]
+                    waiting = len(held[0][0])
+                    if waiting > FLUSH_TYPES // 2:
+                        yield frame(held[0])
+                        held, waiting = [], 0
+        if held:
+            yield frame(merged())
+        give_back()
 
     return count
 
@@ -272,11 +298,11 @@ def hot_types(table: DataFrame, frequency: str, value: str, most: int = HOT) ->
             break
         least, held = r[frequency], held + r["n"]
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        return np.zeros(0, np.uint64), np.zeros(0)
     rows = table.where(F.col(frequency) >= least).select("g", frequency, value).toArrow()
     rows = rows.sort_by([(frequency, "ascending"), ("g", "ascending")])
     cps = np.frombuffer("".join(rows["g"].to_pylist()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return gram_keys(cps)[::ORDER], rows[value].to_numpy().astype(np.float32)
+    return gram_keys(cps)[::ORDER], rows[value].to_numpy().astype(np.float64)
 
 
 def slots(keys: np.ndarray, values: np.ndarray) -> tuple:
@@ -321,7 +347,7 @@ def _scorer(table, once: bool, excess: tuple[float, ...]) -> Callable:
                 hit = row >= 0
                 sums = np.zeros((b - a, 1 + len(excess)))
                 if len(held[0]):
-                    value = np.where(hit, held[1][row].astype(np.float64), 0.0)
+                    value = np.where(hit, held[1][row], 0.0)
                     sums[:, 0] = np.add.reduceat(value, starts[:-1])
                     for k, x in enumerate(excess):
                         sums[:, k + 1] = np.add.reduceat(np.maximum(value - x, 0.0), starts[:-1])
@@ -341,6 +367,8 @@ def _scorer(table, once: bool, excess: tuple[float, ...]) -> Callable:
                     out["_id"] = ids.astype("Int64").array[of]
                     for i in range(0, len(out), 100_000):
                         yield out.iloc[i : i + 100_000][cols]
+        del held
+        give_back()
 
     return score
 

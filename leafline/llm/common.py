@@ -10,8 +10,10 @@ Intermediate tables go to the folder that ``spark.checkpoint.dir`` names
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +84,14 @@ def measured_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
         width = width + (F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) + 16 if kind == "string" else F.lit(16))
     size = df.select(width.alias("_w")).agg(F.sum("_w")).first()[0] or 0
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def give_back() -> None:
+    """Return freed memory of a Python worker to the machine.
+
+    Workers are used again by later stages and would otherwise keep their greatest size."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not a glibc system
+        pass

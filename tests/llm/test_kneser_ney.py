@@ -167,3 +167,16 @@ def test_empty(none, spark):
     table = spark.createDataFrame([(1, 1, 1)], LABELS)
     assert score_toxicity(none, table).count() == 0
     assert classify_quality(none, table).count() == 0
+
+
+def test_distinct_is_unique():
+    import numpy as np
+
+    from leafline.llm.charkn import distinct
+
+    rng = np.random.default_rng(4)
+    for values in (rng.integers(0, 50, 1000), rng.integers(0, 1 << 62, 5000), np.zeros(300), np.arange(0), np.arange(700) << 40):
+        values = values.astype(np.uint64)
+        at, number = distinct(values)
+        assert (np.sort(values[at]) == np.unique(values)).all() and (values[at][number] == values).all()
+        assert all(values[:k].tolist().count(values[k]) == 0 for k in at[:200])
