@@ -203,9 +203,10 @@ def _searcher(held) -> Callable:
                     out += [(ids[begin + k], ths[begin + k], index.ids[i], s, t, e) for i, s, t, e in hits]
                 for k, text in enumerate(group):
                     for i, t in index.short:
-                        if t in text:
-                            s = text.index(t)
+                        s = text.find(t)
+                        while s >= 0:
                             out.append((ids[begin + k], ths[begin + k], i, s, s + len(t), 0))
+                            s = text.find(t, s + 1)
                 begin = stop
             df = pd.DataFrame(out, columns=names)
             df["_id"] = df["_id"].astype("Int64")
@@ -238,6 +239,7 @@ def contaminated_spans(
     def flush():
         held = spark.sparkContext.broadcast(build_index(part, Q, rate))
         found.append(shared_table(rows.mapInPandas(_searcher(held), HITS_SCHEMA), "leaks"))
+        held.destroy()
 
     for r in items.orderBy("item_id", "text").toLocalIterator():
         t = normalise(r["text"])

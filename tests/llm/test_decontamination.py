@@ -85,3 +85,9 @@ def test_odd_rows(spark, odd, none):
     assert contaminated_spans(none, bench).count() == 0
     assert contaminated_spans(odd, items(spark, [])).count() == 0
     assert len(odd_rows()) == odd.count() and np.iinfo(np.int64).max > 0
+
+
+def test_every_place_of_a_short_item(spark):
+    items = spark.createDataFrame([(1, "xyz12"), (2, "aa")], "item_id long, text string")
+    got = contaminated_spans(make_docs(spark, [(7, "xyz12 and xyz12 aaa")]), items).collect()
+    assert sorted((r["item_id"], r["start"], r["end"]) for r in got) == [(1, 0, 5), (1, 10, 15), (2, 16, 18), (2, 17, 19)]
