@@ -6,10 +6,9 @@ by an expression over literal centroid arrays (no join, nothing paired),
 then ``groupBy(run, cluster)`` sums give the new centroids.  Many restarts
 (the reference runs thousands) share that one pass per iteration.
 
-DBSCAN: the eps-neighbour join is a grid join (cells of side eps, each
-point meets the 3^d neighbouring cells), so only pairs closer than a cell
-diagonal are ever formed; components are found by min-label propagation
-with ``checkpoint()`` to cut lineage.
+DBSCAN: the eps-neighbour pairs come from the pivot search of
+``operators.pivots`` over any number of columns; components are found by
+min-label propagation over tables written to the shared folder.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafline.operators.pivots import pairs_within
 from leafline.session import materialise
 
 # Fixed values (must equal the reference's): names of clusters by rank order.
@@ -338,25 +338,6 @@ def poisson1_weight(key: Column, run: Column, seed: int = 42) -> Column:
 
 # ------------------------------------------------------------------ DBSCAN
 
-def eps_pairs(df: DataFrame, key: str, feats: Sequence[str], eps: float) -> DataFrame:
-    """All pairs (i, j), i != j, with distance <= eps, via a grid of cell side
-    eps: each point is joined only with points of its own and adjacent
-    cells.  Output-sensitive: far pairs are never formed."""
-    cell = [F.floor(F.col(c) / F.lit(eps)).cast("bigint").alias(f"_g{i}") for i, c in enumerate(feats)]
-    pts = df.select(F.col(key).alias("i"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(feats)], *cell)
-    offsets = [[]]
-    for _ in feats:
-        offsets = [o + [d] for o in offsets for d in (-1, 0, 1)]
-    shifted = pts.select(
-        F.col("i").alias("j"), *[F.col(f"x{i}").alias(f"y{i}") for i in range(len(feats))],
-        F.inline(F.array(*[F.struct(*[(F.col(f"_g{i}") + F.lit(o[i])).alias(f"_g{i}") for i in range(len(feats))])
-                           for o in offsets])))
-    keys = [f"_g{i}" for i in range(len(feats))]
-    j = pts.join(shifted, keys)
-    d2 = sum(((F.col(f"x{i}") - F.col(f"y{i}")) ** 2 for i in range(len(feats))), F.lit(0.0))
-    return j.where((F.col("i") != F.col("j")) & (d2 <= F.lit(eps * eps))).select("i", "j", F.sqrt(d2).alias("dist"))
-
-
 def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float | Sequence[float],
            min_samples: int) -> DataFrame:
     """Labels 0..c−1 (clusters ordered by their first core point in
@@ -364,15 +345,15 @@ def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float
 
     Core: at least ``min_samples`` points within eps, itself included.  A
     border point joins the cluster with the smallest first-core position
-    among its core neighbours.  Several eps share one grid join (at the
-    largest eps) and one label-propagation loop keyed by (eps, point).  The
+    among its core neighbours.  Several eps share one search for pairs (at
+    the largest eps) and one label-propagation loop keyed by (eps, point).  The
     pairs, the core points and each round's labels are written once; the
     loop ends when no label changes."""
     from leafline.operators.features import global_row_number
 
     eps_list = [float(e) for e in (eps if isinstance(eps, (list, tuple)) else [eps])]
     pts = df.select(F.col(key).alias("i"), F.col(order).alias("pos"))
-    pairs0 = eps_pairs(df, key, feats, max(eps_list))
+    pairs0 = pairs_within(df, key, feats, max(eps_list))
     pairs = materialise(pairs0.select("i", "j", "dist", F.explode(F.array(*[F.lit(e) for e in eps_list])).alias("eps")).where(
         F.col("dist") <= F.col("eps")).drop("dist"), "dbscan-pairs")
     grid = pts.select("i", "pos", F.explode(F.array(*[F.lit(e) for e in eps_list])).alias("eps"))
@@ -428,47 +409,3 @@ def centroid_silhouette(assigned: DataFrame, feats: Sequence[str], centres: Sequ
     # one row per cluster, as many as ``centres``
     sizes = assigned.groupBy(F.col(cluster_col).alias("_sc")).agg(F.count(F.lit(1)).alias("_size"))
     return assigned.join(F.broadcast(sizes), F.col(cluster_col) == F.col("_sc")).withColumn("silhouette", s).drop("_sc", "_size")
-
-
-# ------------------------------------------------------------------ k-distance
-
-def kth_neighbour_distance(df: DataFrame, key: str, feats: Sequence[str], m: int, h0: float) -> DataFrame:
-    """Distance to the m-th nearest neighbour counting the point itself
-    (so the (m−1)-th other point), exact; NULL for every point of a table
-    with fewer than ``m`` points.
-
-    Grid join at radius h (cells of side h, 3^d neighbour cells hold every
-    point within h); a point with at least m−1 others within h has its
-    answer among them.  The rest retry with h doubled until none is left,
-    so only sparse points ever look far.  Pairs beyond h are never formed."""
-    if df.limit(m).count() < m:
-        return df.select(key, F.lit(None).cast("double").alias("k_distance"))
-    todo = materialise(df.select(key, *feats), "kth-todo")
-    done = None
-    h = h0
-    while True:
-        pairs = eps_pairs_between(todo, df, key, feats, h)
-        w = Window.partitionBy("i").orderBy("dist", "j")
-        kth = materialise(pairs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == m - 1).select(
-            F.col("i").alias(key), F.col("dist").alias("k_distance")), "kth-found")
-        done = kth if done is None else done.unionByName(kth)
-        todo = materialise(todo.join(kth.select(key), key, "left_anti"), "kth-todo")
-        if todo.limit(1).count() == 0:
-            return done
-        h *= 2
-
-
-def eps_pairs_between(left: DataFrame, right: DataFrame, key: str, feats: Sequence[str], eps: float) -> DataFrame:
-    """Pairs (i from left, j from right, i != j) within ``eps`` via the grid."""
-    cell = lambda: [F.floor(F.col(c) / F.lit(eps)).cast("bigint").alias(f"_g{i}") for i, c in enumerate(feats)]
-    a = left.select(F.col(key).alias("i"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(feats)], *cell())
-    offsets = [[]]
-    for _ in feats:
-        offsets = [o + [d] for o in offsets for d in (-1, 0, 1)]
-    b = right.select(F.col(key).alias("j"), *[F.col(c).alias(f"y{i}") for i, c in enumerate(feats)], *cell())
-    b = b.select("j", *[f"y{i}" for i in range(len(feats))],
-                 F.inline(F.array(*[F.struct(*[(F.col(f"_g{i}") + F.lit(o[i])).alias(f"_g{i}") for i in range(len(feats))])
-                                    for o in offsets])))
-    j = a.join(b, [f"_g{i}" for i in range(len(feats))])
-    d2 = sum(((F.col(f"x{i}") - F.col(f"y{i}")) ** 2 for i in range(len(feats))), F.lit(0.0))
-    return j.where((F.col("i") != F.col("j")) & (d2 <= F.lit(eps * eps))).select("i", "j", F.sqrt(d2).alias("dist"))

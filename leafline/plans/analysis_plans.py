@@ -9,6 +9,7 @@ from leafline.functions.stats import exact_avg
 from leafline.operators import features as E
 from leafline.operators import linalg
 from leafline.operators import strategy as R
+from leafline.operators.pivots import knn_impute
 from leafline.sources.bindings import FEATURES, customer_features
 from leafline.sources.tables import table
 
@@ -101,6 +102,12 @@ def q_median_filled(spark, sf):
     return E.median_fill(_feat(spark, sf), SPARSE).select(KEY, *SPARSE)
 
 
+def q_knn_impute(spark, sf):
+    """E11 over the whole feature matrix, five neighbours."""
+    out = knn_impute(_feat(spark, sf).select(KEY, *FEATURES), KEY, FEATURES, 5)
+    return out.select(KEY, *[F.round(c, 4).alias(c) for c in SPARSE])
+
+
 def q_corr_matrix(spark, sf):
     c = E.correlation_long(_feat(spark, sf), FEATURES)
     return c.select("feature_i", "feature_j", "n", F.round("r", 6).alias("r"))
@@ -288,6 +295,7 @@ QUERIES = {
     "regr_one": q_regr_one,
     "median_fill": q_median_fill,
     "median_filled": q_median_filled,
+    "knn_impute": q_knn_impute,
     "corr_matrix": q_corr_matrix,
     "corr_pairs": q_corr_pairs,
     "corr_drop_list": q_corr_drop_list,
@@ -349,6 +357,22 @@ def _band_stats(cols):
     return ", ".join(f"avg({c}) AS {c}" for c in cols)
 
 
+def _knn_sql(k: int = 5) -> str:
+    """E11 by brute force: every pair of rows per column that the one lacks and the other has."""
+    sq = " + ".join(f"coalesce((r.{c} - d.{c}) * (r.{c} - d.{c}), 0.0)" for c in FEATURES)
+    shared = " + ".join(f"CASE WHEN r.{c} - d.{c} IS NULL THEN 0 ELSE 1 END" for c in FEATURES)
+    parts = ", ".join(
+        f"""{c}_n AS (SELECT r.c_custkey, d.{c} AS v, sqrt(({sq}) * {len(FEATURES)} / ({shared})) AS dist FROM f r JOIN f d
+            ON r.{c} IS NULL AND d.{c} IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY r.c_custkey ORDER BY dist, d.c_custkey) <= {k}),
+        {c}_f AS (SELECT c_custkey, coalesce(avg(v) FILTER (WHERE dist = 0),
+            sum(v / nullif(dist, 0)) / sum(1 / nullif(dist, 0))) AS v FROM {c}_n GROUP BY c_custkey)""" for c in SPARSE)
+    cols = ", ".join(f"round(coalesce(f.{c}, {c}_f.v, (SELECT avg({c}) FROM f)), 4) AS {c}" for c in SPARSE)
+    joins = " ".join(f"LEFT JOIN {c}_f ON {c}_f.c_custkey = f.c_custkey" for c in SPARSE)
+    doubles = ", ".join(f"{c}::DOUBLE AS {c}" for c in FEATURES)
+    return f"WITH {FEAT_SQL}, f AS (SELECT c_custkey, {doubles} FROM feat), {parts} SELECT f.c_custkey, {cols} FROM f {joins}"
+
+
 ORACLES = {
     "feature_projection": "WITH " + FEAT_SQL + f" SELECT c_custkey, c_name, c_mktsegment, rank, {_F} FROM feat",
     "focus_lookup": f"SELECT c_custkey, c_name, coalesce(contains(lower(c_name), lower('{FOCUS}')), false) AS focus FROM customer",
@@ -371,6 +395,7 @@ ORACLES = {
         f"SELECT '{c}' AS feature, median({c})::DOUBLE AS median FROM feat" for c in FEATURES) + ")",
     "median_filled": "WITH " + FEAT_SQL + " SELECT c_custkey, " + ", ".join(
         f"coalesce({c}, (SELECT median({c}) FROM feat)) AS {c}" for c in SPARSE) + " FROM feat",
+    "knn_impute": _knn_sql(),
     "cross_fill": "WITH " + FEAT_SQL + " SELECT c_custkey, coalesce(p1, p1f) AS p1, coalesce(p1f, p1) AS p1f FROM feat",
     "derived_features": "WITH " + FEAT_SQL + """
         SELECT c_custkey, contains(lower(c_mktsegment), 'build') AS is_private, hi - lo AS price_spread,

@@ -16,14 +16,16 @@ from leafline.operators import features as E
 from leafline.operators import profile as P
 from leafline.operators import strategy as R
 from leafline.plans.analysis_plans import DENSE, FEAT_SQL, FOCUS
-from leafline.session import checkpoint_dir
+from leafline.operators.pivots import kth_distance
+from leafline.session import checkpoint_dir, materialise
 from leafline.sources.bindings import customer_features
 
 KEY = "c_custkey"
 CL = ["n_orders", "avg_price", "lo", "hi", "c_acctbal"]
 K = 5
 ITERS = 8
-EPS, MIN_SAMPLES = 0.2, 5
+EPS, MIN_SAMPLES = 0.8, 5
+SWEEP = [0.6, 0.8, 1.1]
 
 
 def _z(spark, sf):
@@ -146,25 +148,25 @@ def q_disagreements(spark, sf):
     return _two_labelings(spark, sf).where(F.col("a") != F.col("b")).orderBy("rank").select(KEY, "rank", "a", "b")
 
 
-def _plane(spark, sf):
-    z = _z(spark, sf)
-    return z.select(KEY, "rank", F.col("n_orders").alias("x0"), F.col("avg_price").alias("x1"))
-
-
 def q_dbscan_labels(spark, sf):
-    return C.dbscan(_plane(spark, sf), KEY, "rank", ["x0", "x1"], EPS, MIN_SAMPLES)
+    """C20 over the whole standardised matrix."""
+    return C.dbscan(_z(spark, sf).select(KEY, "rank", *CL), KEY, "rank", CL, EPS, MIN_SAMPLES)
 
 
 def q_dbscan_sweep(spark, sf):
-    """Clusters and outliers for several eps from one eps-join and one
+    """Clusters and outliers for several eps from one search for pairs and one
     propagation loop; outlier keys listed when there are 1 to 10."""
-    lab = C.dbscan(_plane(spark, sf), KEY, "rank", ["x0", "x1"], [0.15, 0.2, 0.3], MIN_SAMPLES)
-    return lab.groupBy("eps").agg(
+    lab = C.dbscan(_z(spark, sf).select(KEY, "rank", *CL), KEY, "rank", CL, SWEEP, MIN_SAMPLES)
+    lab = materialise(lab, "dbscan-sweep")
+    sizes = lab.groupBy("eps").agg(
         F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"),
         F.count_if(F.col("cluster") == -1).alias("n_outliers"),
-        F.array_sort(F.collect_list(F.when(F.col("cluster") == -1, F.col(KEY)))).alias("_out"),
-    ).select("eps", "n_clusters", "n_outliers",
-             F.when(F.col("n_outliers").between(1, 10), F.array_join(F.col("_out").cast("array<string>"), ",")).alias("outliers"))
+    )
+    few = sizes.where(F.col("n_outliers").between(1, 10)).select("eps")
+    named = lab.where("cluster = -1").join(F.broadcast(few), "eps").groupBy("eps").agg(
+        F.array_join(F.array_sort(F.collect_list(KEY)).cast("array<string>"), ",").alias("outliers")
+    )
+    return sizes.join(named, "eps", "left").select("eps", "n_clusters", "n_outliers", "outliers")
 
 
 def q_bootstrap_stability(spark, sf):
@@ -249,10 +251,9 @@ def q_candidate_k(spark, sf):
 
 
 def q_k_distance(spark, sf):
-    """C19 on the 2-D standardised plane: m = min(2p + 1, 10) = 5 for p = 2,
-    the point itself counted; sorted descending."""
-    pl = _plane(spark, sf)
-    kd = C.kth_neighbour_distance(pl, KEY, ["x0", "x1"], 5, 0.1)
+    """C19 over the whole standardised matrix: m = min(2p + 1, 10), the point itself
+    counted; sorted descending."""
+    kd = kth_distance(_z(spark, sf).select(KEY, *CL), KEY, CL, min(2 * len(CL) + 1, 10))
     return kd.select(KEY, F.round("k_distance", 6).alias("k_distance")).orderBy(F.desc("k_distance"), KEY)
 
 
@@ -456,8 +457,13 @@ raw AS (SELECT l.c_custkey, l.rank, l.c_name, l.cluster_id, f.n_orders, f.spend,
         FROM klab l JOIN feat f ON f.c_custkey = l.c_custkey),
 cen AS (SELECT l.cluster_id, """ + ", ".join(f"avg(z.{c}) AS {c}" for c in CL) + """ FROM klab l JOIN z ON z.c_custkey = l.c_custkey GROUP BY l.cluster_id)"""
 
-_DB = f""", p AS (SELECT c_custkey AS i, rank AS pos, n_orders AS x0, avg_price AS x1 FROM z),
-pr AS (SELECT a.i, b.i AS j FROM p a JOIN p b ON a.i <> b.i AND (a.x0 - b.x0) * (a.x0 - b.x0) + (a.x1 - b.x1) * (a.x1 - b.x1) <= {EPS * EPS}),
+_D2 = "+".join(f" (a.{c} - b.{c}) * (a.{c} - b.{c}) " for c in CL)
+
+
+def _dbscan_sql(eps: float) -> str:
+    """CTEs ``p``, ``core`` and ``ids`` .. of one eps over ``z``, and the labels."""
+    return f""", p AS (SELECT c_custkey AS i, rank AS pos, {", ".join(CL)} FROM z),
+pr AS (SELECT a.i, b.i AS j FROM p a JOIN p b ON a.i <> b.i AND {_D2} <= {eps * eps}),
 deg AS (SELECT i, count(*) AS nb FROM pr GROUP BY i),
 core AS (SELECT p.i, p.pos FROM p LEFT JOIN deg ON deg.i = p.i WHERE coalesce(nb, 0) + 1 >= {MIN_SAMPLES}),
 ce AS (SELECT pr.i, pr.j FROM pr JOIN core c1 ON c1.i = pr.i JOIN core c2 ON c2.i = pr.j),
@@ -465,9 +471,21 @@ reach(i, j) AS (SELECT i, i FROM core UNION SELECT r.i, ce.j FROM reach r JOIN c
 comp AS (SELECT r.i, min(c.pos) AS lab FROM reach r JOIN core c ON c.i = r.j GROUP BY r.i),
 border AS (SELECT pr.i, min(comp.lab) AS lab FROM pr JOIN comp ON comp.i = pr.j WHERE pr.i NOT IN (SELECT i FROM core) GROUP BY pr.i),
 lab AS (SELECT * FROM comp UNION ALL SELECT * FROM border),
-ids AS (SELECT lab, row_number() OVER (ORDER BY lab) - 1 AS cluster FROM (SELECT DISTINCT lab FROM lab))
-SELECT p.i AS c_custkey, coalesce(ids.cluster, -1) AS cluster, p.i IN (SELECT i FROM core) AS core
-FROM p LEFT JOIN lab ON lab.i = p.i LEFT JOIN ids ON ids.lab = lab.lab"""
+ids AS (SELECT lab, row_number() OVER (ORDER BY lab) - 1 AS cluster FROM (SELECT DISTINCT lab FROM lab)),
+labelled AS (SELECT p.i AS c_custkey, coalesce(ids.cluster, -1) AS cluster, p.i IN (SELECT i FROM core) AS core
+FROM p LEFT JOIN lab ON lab.i = p.i LEFT JOIN ids ON ids.lab = lab.lab)"""
+
+
+def _sweep_sql() -> str:
+    one = [
+        f"""SELECT * FROM (WITH RECURSIVE {FEAT_SQL}{_zsql()}{_dbscan_sql(e)}
+  SELECT {e}::DOUBLE AS eps, count(DISTINCT cluster) FILTER (WHERE cluster >= 0) AS n_clusters, count(*) FILTER (WHERE cluster = -1) AS n_outliers,
+    CASE WHEN count(*) FILTER (WHERE cluster = -1) BETWEEN 1 AND 10
+      THEN string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) FILTER (WHERE cluster = -1) END AS outliers FROM labelled)"""
+        for e in SWEEP
+    ]
+    return " UNION ALL ".join(one)
+
 
 ORACLES = {
     "kmeans_lloyd": BASE + " SELECT c_custkey, rank, cluster_id FROM klab",
@@ -481,7 +499,8 @@ ORACLES = {
     + _ARI.format(a="cluster_id", b="c_mktsegment", src="seg"),
     "match_rate": TWO + " SELECT round(avg(CASE WHEN a = b THEN 1.0 ELSE 0.0 END), 6) AS match_rate FROM two",
     "disagreements": TWO + " SELECT c_custkey, rank, a, b FROM two WHERE a <> b",
-    "dbscan_labels": "WITH RECURSIVE " + FEAT_SQL + _zsql() + _DB,
+    "dbscan_labels": "WITH RECURSIVE " + FEAT_SQL + _zsql() + _dbscan_sql(EPS) + " SELECT * FROM labelled",
+    "dbscan_sweep": _sweep_sql(),
     "aspiration_cluster": BASE + f""" SELECT c_custkey, cluster_id, greatest(0, cluster_id - 1) AS aspiration FROM klab
         WHERE c_name = '{FOCUS}'""",
     "cluster_profile": BASE + _FOC + """ SELECT cluster_id, count(*) AS n, printf('%d-%d', min(rank), max(rank)) AS rank_range,
@@ -533,10 +552,10 @@ ab AS (SELECT c_custkey, c_name, cluster_id, max(d) FILTER (WHERE other = cluste
 sz AS (SELECT cluster_id, count(*) AS n FROM zc GROUP BY cluster_id),
 sil AS (SELECT ab.c_custkey, ab.c_name, ab.cluster_id, CASE WHEN sz.n <= 1 OR greatest(a, b) = 0 THEN 0.0
                ELSE (b - a) / greatest(a, b) END AS s FROM ab JOIN sz ON sz.cluster_id = ab.cluster_id)"""
-ORACLES["k_distance"] = "WITH " + FEAT_SQL + _zsql() + """, p AS (SELECT c_custkey AS i, n_orders AS x0, avg_price AS x1 FROM z),
-    d AS (SELECT a.i, sqrt((a.x0 - b.x0) * (a.x0 - b.x0) + (a.x1 - b.x1) * (a.x1 - b.x1)) AS dist, b.i AS j
-          FROM p a JOIN p b ON a.i <> b.i)
-    SELECT i AS c_custkey, round(dist, 6) AS k_distance FROM d QUALIFY row_number() OVER (PARTITION BY i ORDER BY dist, j) = 4"""
+ORACLES["k_distance"] = "WITH " + FEAT_SQL + _zsql() + f""", d AS (SELECT a.c_custkey, sqrt({_D2}) AS dist, b.c_custkey AS j
+          FROM z a JOIN z b ON a.c_custkey <> b.c_custkey)
+    SELECT c_custkey, round(dist, 6) AS k_distance FROM d
+    QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY dist, j) = {min(2 * len(CL) + 1, 10) - 1}"""
 ORACLES["centroid_silhouette"] = BASE + _FOC + _SIL + " SELECT c_custkey, cluster_id, round(s, 6) AS silhouette FROM sil"
 ORACLES["centroid_silhouette_score"] = BASE + _FOC + _SIL + " SELECT round(avg(round(s, 6)), 4) AS score FROM sil"
 ORACLES["kmeans_inertia"] = BASE + f""" SELECT round(sum(d), 4) AS inertia FROM (

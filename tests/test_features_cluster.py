@@ -126,11 +126,13 @@ def test_adjusted_rand_of_a_single_row(spark):
 
 
 def test_kth_neighbour_loses_no_row(spark):
+    from leafline.operators.pivots import kth_distance
+
     far = spark.createDataFrame([(i, float(i) ** 6, 0.0) for i in range(12)], "id long, x double, y double")
-    got = {r["id"]: r["k_distance"] for r in C.kth_neighbour_distance(far, "id", ["x", "y"], 3, 0.1).collect()}
+    got = {r["id"]: r["k_distance"] for r in kth_distance(far, "id", ["x", "y"], 3).collect()}
     xs = [float(i) ** 6 for i in range(12)]
     assert got == {i: pytest.approx(sorted(abs(x - v) for v in xs)[2]) for i, x in enumerate(xs)}
-    few = C.kth_neighbour_distance(far.limit(2), "id", ["x", "y"], 3, 0.1).collect()
+    few = kth_distance(far.limit(2), "id", ["x", "y"], 3).collect()
     assert len(few) == 2 and all(r["k_distance"] is None for r in few)
 
 
