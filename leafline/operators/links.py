@@ -32,13 +32,16 @@ REF_PATH_PATTERN = "(?i)/best-graduate-schools/top-business-schools/[^/]+-\\d+$"
 REF_INDEX_PATTERN = "(?i)/mba-rankings$"
 RANGE_RANK = "#\\d+-\\d+\\b"
 EXACT_RANK = "#(\\d+)\\b"
+#: the href of an opening tag: in double quotes, in single quotes or bare
+HREF = "(?is)^<a\\s(?:[^>]*?\\s)?href\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"
 
 
 def extract_links(pages: DataFrame, key: str = "page_id", html_col: str = "html") -> DataFrame:
-    """L1 (first half): every anchor as ``(key, pos, href, anchor_text)``."""
+    """L1 (first half): every anchor as ``(key, pos, href, anchor_text)``; ``href`` is that of
+    the opening tag, quoted either way or bare, empty without one."""
     pairs = F.regexp_extract_all(F.col(html_col), F.lit("(?is)<a\\b[^>]*>.*?</a>"), 0)
     ex = pages.select(key, F.posexplode(pairs).alias("pos", "a"))
-    href = F.regexp_extract("a", "(?is)\\bhref\\s*=\\s*\"([^\"]*)\"", 1)
+    href = F.concat(*[F.regexp_extract("a", HREF, k) for k in (1, 2, 3)])  # one group at most has matched
     text = F.trim(F.regexp_replace(F.regexp_replace("a", "<[^>]*>", ""), "\\s+", " "))
     return ex.select(key, F.col("pos").cast("bigint").alias("pos"), href.alias("href"), text.alias("anchor_text"))
 

@@ -70,6 +70,17 @@ def peer_comparison(assigned: DataFrame, cluster_col: str, focus: Column, own: i
                             "vs_aspiration": F.col("focus") - F.col("aspiration_mean")})
 
 
+def metric_set_tables(comparison: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The comparison's features arranged by a metric dictionary.
+
+    ``metrics`` has ``metric_set``, ``place``, ``metric`` (the shown name) and ``feature``; a feature may be in
+    several sets, features the comparison lacks leave no row."""
+    named = metrics.select("metric_set", "place", "metric", "feature")
+    return named.join(comparison, "feature").select(
+        "metric_set", "place", "metric", *[c for c in comparison.columns]
+    )
+
+
 def radar_normalized(df: DataFrame, feats: Sequence[str], inverted: Sequence[str] = (), scale: float = 1.0) -> DataFrame:
     """Min-max to 0..1 over the whole table (a zero range gives 1);
     ``100 − x`` (on the ``scale``) first for lower-is-better metrics."""

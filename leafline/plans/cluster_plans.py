@@ -314,6 +314,24 @@ def q_peer_comparison(spark, sf):
     return pc.select("feature", *[F.round(c, 4).alias(c) for c in ("focus", "peer_mean", "aspiration_mean", "vs_peer", "vs_aspiration")])
 
 
+#: metric dictionary: set, shown name, feature; the last set names a feature the table lacks
+METRICS = [
+    ("volume", "Orders (count)", "n_orders"),
+    ("volume", "Spend (total)", "spend"),
+    ("price", "Mean price", "avg_price"),
+    ("price", "Lowest price", "lo"),
+    ("price", "Highest price", "hi"),
+    ("balance", "Spend (total)", "spend"),
+    ("balance", "Credit limit", "credit_limit"),
+]
+
+
+def q_metric_set_tables(spark, sf):
+    rows = [(s, i, m, f) for i, (s, m, f) in enumerate(METRICS)]
+    metrics = spark.createDataFrame(rows, "metric_set string, place bigint, metric string, feature string")
+    return P.metric_set_tables(q_peer_comparison(spark, sf), metrics)
+
+
 def q_position_label(spark, sf):
     _, a, raw = _assigned(spark, sf)
     own, asp = _focus_ids(a)
@@ -401,6 +419,7 @@ QUERIES = {
     "peer_list": q_peer_list,
     "centroid_distance": q_centroid_distance,
     "peer_comparison": q_peer_comparison,
+    "metric_set_tables": q_metric_set_tables,
     "position_label": q_position_label,
     "radar_normalized": q_radar_normalized,
     "peer_ranking": q_peer_ranking,
@@ -563,3 +582,6 @@ ORACLES["kmeans_inertia"] = BASE + f""" SELECT round(sum(d), 4) AS inertia FROM
 ORACLES["focus_silhouette"] = BASE + _FOC + _SIL + f""", r AS (SELECT c_name, cluster_id, round(s, 6) AS s FROM sil)
     SELECT max(s) FILTER (WHERE c_name = '{FOCUS}') AS focus, round(avg(s), 4) AS overall,
            round(avg(s) FILTER (WHERE cluster_id = own), 4) AS focus_cluster_mean FROM r, ids"""
+ORACLES["metric_set_tables"] = f"""SELECT m.metric_set, m.place::BIGINT AS place, m.metric, c.* FROM ({ORACLES["peer_comparison"]}) c
+    JOIN (VALUES {", ".join(f"('{s}', {i}, '{m}', '{f}')" for i, (s, m, f) in enumerate(METRICS))}) m(metric_set, place, metric, feature)
+    ON m.feature = c.feature"""

@@ -248,7 +248,9 @@ ORACLES = {
         WITH a AS (
           SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>', 0)) AS a,
                  unnest(range(len(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>', 0)))) AS pos FROM pages),
-        b AS (SELECT page_id, pos, regexp_extract(a, '(?is)\bhref\s*=\s*"([^"]*)"', 1) AS href,
+        b AS (SELECT page_id, pos, concat(regexp_extract(a, '(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*"([^"]*)"', 1),
+                     regexp_extract(a, '(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*''([^'']*)''', 1),
+                     regexp_extract(a, '(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*([^\s"''>]+)', 1)) AS href,
                      trim(regexp_replace(regexp_replace(a, '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS anchor_text FROM a),
         c AS (SELECT *, regexp_replace(CASE WHEN p = '' THEN '/' ELSE p END, '(.)/$', '\1') AS path FROM (
                 SELECT *, regexp_extract(regexp_replace(href, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', ''), '^([^?#]*)', 1) AS p FROM b))

@@ -128,3 +128,23 @@ def test_links(spark):
 def test_block_urls(spark):
     df = spark.createDataFrame([("https://ads.doubleclick.net/x",), ("https://ok.example.com",)], "url string")
     assert [r[0] for r in L.block_urls(df, "url").collect()] == ["https://ok.example.com"]
+
+
+def test_hrefs_in_any_quoting(spark):
+    tags = [
+        ('<a href="/x/a">1</a>', "/x/a"), ("<a href='/x/b'>2</a>", "/x/b"), ("<A class=c HREF=/x/c>3</A>", "/x/c"),
+        ("<a title='say \"hi\"' href = \"/x/d\" >4</a>", "/x/d"), ('<a data-href="/no" href=\'/x/"e"\'>5</a>', '/x/"e"'),
+        ("<a name=n>href=\"/no\"</a>", ""), ('<a data-href="/no">7</a>', ""), ("<a href=''>8</a>", ""), ("<a\nhref=/x/f/>9</a>", "/x/f/"),
+    ]
+    df = spark.createDataFrame([(1, "<p>" + " ".join(t for t, _ in tags))], "page_id int, html string")
+    got = {r["pos"]: r["href"] for r in L.extract_links(df).collect()}
+    assert got == {i: h for i, (_, h) in enumerate(tags)}
+
+
+def test_metric_sets_keep_existing_features(spark):
+    from leafline.operators.profile import metric_set_tables
+
+    c = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", None)], "feature string, focus double")
+    m = spark.createDataFrame([("s", 0, "A", "a"), ("s", 1, "X", "x"), ("t", 0, "AA", "a"), ("t", 1, "C", "c")], "metric_set string, place int, metric string, feature string")
+    got = sorted(tuple(r) for r in metric_set_tables(c, m).select("metric_set", "place", "metric", "feature", "focus").collect())
+    assert got == [("s", 0, "A", "a", 1.0), ("t", 0, "AA", "a", 1.0), ("t", 1, "C", "c", None)]
