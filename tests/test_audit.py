@@ -1,142 +1,133 @@
-"""Audit (A2-A8) against a small pure-Python model of the rules."""
+"""Audit (A2-A8): verdicts written by hand, the bounded match as a property, and the report."""
 
 import json
-import re
-import unicodedata
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from leafline.functions.text import bounded_search
 from leafline.operators import audit as A
 
-MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-
-
-def _compact(s):
-    s = unicodedata.normalize("NFKC", s).lower()
-    return re.sub(r"[^a-z0-9]+", "", s)
-
-
-def _strip0(s):
-    return s.rstrip("0").rstrip(".") if "." in s else s
-
-
-def _uniq(cands):
-    seen, out = set(), []
-    for t, k in cands:
-        t = t.strip()
-        if t and t not in seen:
-            seen.add(t)
-            out.append((t, k))
-    return out
-
-
-def model_candidates(v):
-    if isinstance(v, bool):
-        return [(str(v).lower(), "exact")]
-    if isinstance(v, int):
-        return [(str(v), "exact"), (f"{v:,}", "formatted"), (f"${v:,}", "currency"), (f"#{v}", "rank")]
-    if isinstance(v, float):
-        c = [(_strip0(repr(v)), "exact")]
-        if 0 <= v <= 1:
-            for n in range(4):
-                f = _strip0(f"{v * 100:.{n}f}")
-                if f:
-                    c += [(f + "%", "percent"), (f, "percent_plain")]
-        return _uniq(c)
-    s = v.strip()
-    if not s:
-        return []
-    c = [(s.lower(), "exact")]
-    comp = _compact(s)
-    if comp:
-        c.append((comp, "compact"))
-    if s == "NA":
-        c += [(t, "na_token") for t in ("n/a", "a/v", "na", "not available")]
-    d = re.sub(r"\D+", "", s)
-    if len(d) >= 7:
-        c.append((d, "digits"))
-    m = re.fullmatch(r"([A-Za-z]{3})\.?\s+(\d{1,2})", s)
-    if m and m.group(1).lower() in MONTHS:
-        mon, day = MONTHS.index(m.group(1).lower()) + 1, int(m.group(2))
-        c += [(f"{mon:02d}/{day:02d}", "date_variant"), (f"{mon}/{day}", "date_variant"),
-              (f"{m.group(1).lower()} {day:02d}", "date_variant")]
-    m = re.fullmatch(r"(\d{1,2})/(\d{1,2})", s)
-    if m and 1 <= int(m.group(1)) <= 12:
-        mn, day = MONTHS[int(m.group(1)) - 1], int(m.group(2))
-        c += [(f"{mn}. {day:02d}", "date_variant"), (f"{mn}. {day}", "date_variant"), (f"{mn} {day:02d}", "date_variant")]
-    return _uniq(c)
-
-
-def model_verdict(v, text):
-    if v is None or isinstance(v, (list, dict)):
-        return ("unsupported_type", None)
-    low, comp, dig = text.lower(), _compact(text), re.sub(r"\D+", "", text)
-    for t, k in model_candidates(v):
-        if k == "compact":
-            if t in comp:
-                return (k, t)
-            continue
-        if k == "digits":
-            if t in dig:
-                return (k, t)
-            continue
-        if t[0].isalnum() and t[-1].isalnum():
-            if re.search(rf"(?<![A-Za-z0-9]){re.escape(t)}(?![A-Za-z0-9])", low):
-                return (k, t)
-        elif t in low:
-            return (k, t)
-    return ("unsupported", None)
-
-
-RECORD = {
-    "n": {"a": 0.2, "b": 0.1, "c": 1.0, "d": 1, "e": 0.0, "f": 0.205, "g": 1234, "h": 46, "i": 234,
-          "k": True, "l": 1e-5, "z": 0.4565},
-    "s": {"pct": "73%", "m": "NA", "no": "No", "pri": "Private", "ph": "(555) 123-4567", "rng": "10-20",
-          "d1": "May. 13", "d2": "05/13", "d3": "13/05", "e": "", "sp": "   ", "lig": "ﬁle", "fw": "ＡBC"},
-    "arr": [1, "x", None, [2, 3]],
-}
-TEXT = ("Rank #460 of 2,000. Total 1,234 units; share 173% and 20% ok, 46.5 and 45.7%. "
-        "Values n/a here. Opened may 13 and 5/13. Call 5551234567. The file abc. No private 1020 x.")
-
-
-def _leaves(obj, prefix=""):
-    if isinstance(obj, dict):
-        for k, v in obj.items():
-            yield from _leaves(v, f"{prefix}.{k}" if prefix else k)
-    elif isinstance(obj, list):
-        for i, v in enumerate(obj):
-            yield from _leaves(v, f"{prefix}[{i}]")
-    else:
-        yield prefix, obj
-
-
-def test_leaf_verdicts_match_model(spark):
-    recs = spark.createDataFrame([(1, json.dumps(RECORD))], "id long, json string")
-    texts = spark.createDataFrame([(1, TEXT)], "id long, text string")
-    got = {r["path"]: (r["match_type"], r["matched_candidate"])
-           for r in A.audit_leaves(A.audit_records(recs, texts, "id"), "id").collect()}
-    want = {p: model_verdict(v, TEXT) for p, v in _leaves(RECORD)}
-    assert got == want
+NO = ("unsupported", None)
+
+#: (value as JSON, page text, verdict: kind and the candidate that was found)
+CASES = [
+    # whole numbers: as they are, grouped, as money, as a rank; never inside a longer run of letters or digits
+    ("46", "46 students", ("exact", "46")),
+    ("46", "no 460", NO),
+    ("46", "rank #460", ("rank", "#46")),  # begins in no letter or digit, so it may be part of a run
+    ("46", "a46", NO),
+    ("46", "46.5 points", ("exact", "46")),
+    ("234", "in all 1,234", ("exact", "234")),
+    ("1234", "in all 1,234", ("formatted", "1,234")),
+    ("1234", "in all 1234", ("exact", "1234")),
+    ("1234", "for $1,234 a year", ("formatted", "1,234")),
+    ("12", "no. 112 or 121", NO),
+    ("12", "place #12", ("exact", "12")),
+    ("123456789012345678901234567890", "123456789012345678901234567890", ("exact", "123456789012345678901234567890")),
+    ("1", "1.0", ("exact", "1")),
+    # fractions: without trailing zeros; from 0 to 1 as a percentage of up to three decimals
+    ("1.0", "level 1 only", ("exact", "1")),
+    ("0.2", "20% of them", ("percent", "20%")),
+    ("0.2", "20 of them", ("percent_plain", "20")),
+    ("0.2", "2% of them", NO),
+    ("0.1", "exactly 0.1", ("exact", "0.1")),
+    ("0.0", "0% left", ("exact", "0")),
+    ("0.205", "20.5%", ("percent_plain", "20")),  # no decimals come first, and a point ends a run
+    ("0.205", "the 20.5%", ("percent_plain", "20")),
+    ("0.215", "21.5%", ("percent", "21.5%")),  # 22 without decimals
+    ("0.4565", "45.65 %", ("percent_plain", "45.65")),
+    ("2.5", "250%", NO),
+    ("-0.5", "-50%", NO),
+    # truth values
+    ("true", "This is TRUE.", ("exact", "true")),
+    ("false", "untrue or falsehood", NO),
+    # strings: whole, run together, digits only, stand-ins of NA, dates the other way round
+    ('"73%"', "share 173%", ("exact", "73%")),
+    ('"Private"', "a private school", ("exact", "private")),
+    ('"No"', "none known", NO),
+    ('"No"', "NO!", ("exact", "no")),
+    ('"New York"', "in NewYork", ("compact", "newyork")),
+    ('"10-20"', "from 1020", ("compact", "1020")),
+    ('"(555) 123-4567"', "Call 555.123.4567", ("compact", "5551234567")),
+    ('"tel (555) 123-4567"', "555 123 4567", ("digits", "5551234567")),
+    ('"no. 12-34"', "1234", NO),
+    ('"NA"', "value n/a", ("na_token", "n/a")),
+    ('"NA"', "Not available yet", ("na_token", "not available")),
+    ('"NA"', "NA", ("exact", "na")),
+    ('"n/a"', "value NA", ("compact", "na")),
+    ('"May. 13"', "opens 05/13", ("date_variant", "05/13")),
+    ('"May 3"', "opens 5/3", ("date_variant", "5/3")),
+    ('"May. 3"', "opens May 03", ("date_variant", "may 03")),
+    ('"05/13"', "opens May. 13", ("date_variant", "may. 13")),
+    ('"5/3"', "opens may 03", ("date_variant", "may 03")),
+    ('"13/05"', "opens May. 13", NO),
+    ('"Mar 40"', "3/40", ("date_variant", "3/40")),
+    ('""', "anything", NO),
+    ('"   "', "anything", NO),
+    ('" tidy "', "all tidy", ("exact", "tidy")),
+    ('"ﬁle"', "the file", ("compact", "file")),
+    ('"ＡBC"', "the abc", ("compact", "abc")),
+    ("null", "null", ("unsupported_type", None)),
+]
+
+
+def verdicts(spark, cases, **options):
+    recs = spark.createDataFrame([(i, '{"v": %s}' % v) for i, (v, _, _) in enumerate(cases)], "id long, json string")
+    texts = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(cases)], "id long, text string")
+    rows = A.audit_leaves(A.audit_records(recs, texts, "id", **options), "id").collect()
+    return {r["id"]: (r["match_type"], r["matched_candidate"]) for r in rows}
+
+
+def test_hand_written_verdicts(spark):
+    got = verdicts(spark, CASES)
+    wrong = [(v, t, want, got.get(i)) for i, (v, t, want) in enumerate(CASES) if got.get(i) != want]
+    assert not wrong
+
+
+def plain(c):
+    return c.isascii() and c.isalnum()
+
+
+def stands_alone(needle, text):
+    """Whether ``needle`` occurs; if it begins and ends in a letter or digit, not as part of a longer run."""
+    for at in range(len(text) - len(needle) + 1):
+        if all(text[at + k] == needle[k] for k in range(len(needle))):
+            before = at > 0 and plain(text[at - 1])
+            after = at + len(needle) < len(text) and plain(text[at + len(needle)])
+            if not (needle[0].isalnum() and needle[-1].isalnum()) or not (before or after):
+                return True
+    return False
+
+
+def test_bounded_match_equals_a_character_loop(spark):
+    rng = random.Random(11)
+    rows = []
+    for _ in range(600):
+        text = "".join(rng.choice("ab1%.,# $*(é") for _ in range(rng.randint(0, 14)))
+        needle = "".join(rng.choice("ab1%.*(") for _ in range(rng.randint(1, 3)))
+        rows.append((needle, text))
+    df = spark.createDataFrame(rows, "n string, t string").select("n", "t", bounded_search(F.col("n"), F.col("t")).alias("hit"))
+    assert [(r["n"], r["t"]) for r in df.collect() if r["hit"] != stands_alone(r["n"], r["t"])] == []
 
 
 def test_report_and_summary(spark):
-    recs = spark.createDataFrame([(1, json.dumps(RECORD)), (2, '{"a": 1}'), (3, "{bad")], "id long, json string")
-    texts = spark.createDataFrame([(1, TEXT), (3, "x")], "id long, text string")
+    record = {"a": {"x": 46, "y": "Private"}, "list": [1, "gone", None, [2, 3]], "z": 0.5}
+    text = "A private school of 46; 1, 2 and 50%."
+    # x, y, list[0], list[3][0] and z stand in the text; "gone", null and 3 don't
+    recs = spark.createDataFrame([(1, json.dumps(record)), (2, '{"a": 1}'), (3, "{bad")], "id long, json string")
+    texts = spark.createDataFrame([(1, text), (3, "x")], "id long, text string")
     rep = A.audit_entity(A.audit_records(recs, texts, "id"), "id")
-    r1 = rep.where("id = 1").first()
-    n = len(list(_leaves(RECORD)))
-    sup = sum(1 for _, v in _leaves(RECORD) if model_verdict(v, TEXT)[0] not in ("unsupported", "unsupported_type"))
-    assert r1["total_fields"] == n and r1["supported_fields"] == sup
-    assert r1["support_rate"] == round(sup / n, 4)
+    one = rep.where("id = 1").first()
+    assert (one["total_fields"], one["supported_fields"], one["support_rate"]) == (8, 5, pytest.approx(0.625))
+    assert one["match_types"]["exact"] == 4 and one["match_types"]["percent"] == 1 and one["match_types"]["unsupported_type"] == 1
     assert rep.where("id = 3").first()["match_types"] == {"invalid_json": 1}
     s = A.audit_summary(rep, recs, "id").first()
     assert s["missing_text"] == 1 and s["entities_audited"] == 2
 
 
 def test_legacy_zero_strip(spark):
-    recs = spark.createDataFrame([(1, '{"v": 0.2}')], "id long, json string")
-    texts = spark.createDataFrame([(1, "only 2% here")], "id long, text string")
-    fixed = A.audit_leaves(A.audit_records(recs, texts, "id"), "id").first()
-    legacy = A.audit_leaves(A.audit_records(recs, texts, "id", legacy_zero_strip=True), "id").first()
-    assert fixed["supported"] is False
-    assert legacy["supported"] is True and legacy["matched_candidate"] == "2%"
+    case = [("0.2", "only 2% here", None)]
+    assert verdicts(spark, case) == {0: NO}
+    assert verdicts(spark, case, legacy_zero_strip=True) == {0: ("percent", "2%")}
