@@ -585,3 +585,7 @@ ORACLES["focus_silhouette"] = BASE + _FOC + _SIL + f""", r AS (SELECT c_name, cl
 ORACLES["metric_set_tables"] = f"""SELECT m.metric_set, m.place::BIGINT AS place, m.metric, c.* FROM ({ORACLES["peer_comparison"]}) c
     JOIN (VALUES {", ".join(f"('{s}', {i}, '{m}', '{f}')" for i, (s, m, f) in enumerate(METRICS))}) m(metric_set, place, metric, feature)
     ON m.feature = c.feature"""
+ORACLES["profile_transposed"] = BASE + _FOC + " SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{'orders' if c == 'n_orders' else c}' AS feature, "
+    + ", ".join(f'round(avg({c}) FILTER (WHERE cluster_id = {k}), 4)::DOUBLE AS "{k}"' for k in range(K)) + " FROM raw"
+    for c in DENSE) + ")"
