@@ -1,8 +1,10 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host come from one template.  A reference page per host is
-aligned with every page of the host by simple tree matching (STM); each aligned pair of
-nodes tells whether the two texts agree.  Over all pages of the host, a node
+Pages of one host come from one or several layouts.  A page's layout is the set of its
+structural elements (tag and class).  Each layout of enough distinct pages has a reference page of
+typical length; pages of rarer layouts go with the host's most frequent layout.  The
+reference is aligned with every page of its layout by simple tree matching (STM); each aligned pair of
+nodes tells whether the two texts agree.  Over all these pages, a node
 of the reference whose text is the same on nearly all distinct pages is template;
 other nodes are slots that hold content.
 
@@ -12,7 +14,7 @@ header, footer, sidebar, notice, advert, form, script, style or comment
 are left out, and so are blocks that the alignment showed to be template.
 
 Evidence is summed over all pages with partial aggregation, so a host may hold any share
-of the pages; the reference pages join by host, sent to all tasks only if
+of the pages; the reference pages join by host and layout, sent to all tasks only if
 their measured size is small.
 """
 
@@ -71,9 +73,13 @@ LAYOUT_NAMES = frozenset(
 #: how an element is left out: by a layout name, or for certain
 BY_LAYOUT, FOR_CERTAIN = 1, 2
 
-#: child lists longer than this are aligned within a diagonal band
-BAND = 64
-#: share of a host's distinct pages on which a template text is the same, and least pages
+#: tables of two child lists up to so many cells are kept whole, larger ones halved
+TABLE_CELLS = 1 << 18
+#: scores of pairs of shapes kept from page to page
+KEPT_SCORES = 1 << 17
+#: elements whose tags and classes make a layout
+LAYOUT_TAG = r"<(?:body|main|article|section|header|nav|aside|footer|div)\b[^<>]*"
+#: share of a layout's distinct pages on which a template text is the same, and least pages
 TEMPLATE_SHARE, LEAST_PAGES = 0.9, 12
 #: reference pages are sent to all tasks up to so many bytes
 BROADCAST_BYTES = 8_000_000
@@ -271,60 +277,138 @@ def _runs(kids: list[Node]) -> list[list[Node]]:
     return out
 
 
-def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    """Pairs of nodes matched by simple tree matching.
+class Shapes:
+    """Trees up to their texts: equal shapes have one number, so the score of
+    two shapes is computed once however often they occur."""
 
-    Roots must have one label.  Children are aligned in order by dynamic
-    programming that maximises the number of matched nodes; neighbours of one
-    label are one run whose members pair up from the left, which keeps
-    repeated records together."""
-    memo: dict[tuple[int, int], int] = {}
-
-    def band(i, m, n):
-        mid = i * n // m
-        return (max(1, mid - BAND), min(n, mid + BAND)) if m * n > BAND * BAND else (1, n)
-
-    def need(p, q):
-        """Pairs whose score the table of two lists of runs reads."""
-        for i, r in enumerate(p, 1):
-            lo, hi = band(i, len(p), len(q))
-            for s in q[lo - 1 : hi]:
-                if r[0].label == s[0].label:
-                    yield from ((x, y) for x, y in zip(r, s, strict=False) if (id(x), id(y)) not in memo)
-
-    def fill(p, q):
-        """Scores of all pairs that the table reads, children first."""
-        stack = list(need(p, q))
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.labels: list[str] = []
+        self.runs: list[tuple[tuple[int, ...], ...]] = []
+        self.scores: dict[tuple[int, int], int] = {}
+
+    def of(self, tree: Node) -> dict[int, int]:
+        """Shape of every node under ``tree``, by ``id``."""
+        out: dict[int, int] = {}
+        stack = [(tree, False)]
+        while stack:
+            x, ready = stack.pop()
+            kids = _children(x)
+            if kids and not ready:
+                stack.append((x, True))
+                stack.extend((k, False) for k in kids)
+                continue
+            key = (x.label, tuple(tuple(out[id(k)] for k in run) for run in _runs(kids)))
+            if key not in self.numbers:
+                self.numbers[key] = len(self.labels)
+                self.labels.append(x.label)
+                self.runs.append(key[1])
+            out[id(x)] = self.numbers[key]
+        return out
+
+    def _weight(self, r, s) -> int:
+        """Matched nodes of two runs, paired from the left."""
+        if self.labels[r[0]] != self.labels[s[0]]:
+            return 0
+        return sum(self.scores[x, y] for x, y in zip(r, s, strict=False))
+
+    def _open(self, p, q) -> list[tuple[int, int]]:
+        """Pairs of shapes whose scores two lists of runs need and lack."""
+        by_label: dict[str, list] = {}
+        for s in set(q):
+            by_label.setdefault(self.labels[s[0]], []).append(s)
+        return [
+            pair for r in set(p) for s in by_label.get(self.labels[r[0]], ())
+            for pair in zip(r, s, strict=False) if pair not in self.scores
+        ]
+
+    def fill(self, p, q) -> None:
+        """Scores of all pairs of two lists of runs, children first."""
+        stack = self._open(p, q)
         while stack:
             x, y = stack[-1]
-            if (id(x), id(y)) in memo:
+            if (x, y) in self.scores:
                 stack.pop()
                 continue
-            u, v = _runs(_children(x)), _runs(_children(y))
-            more = list(need(u, v)) if u and v else []
+            u, v = self.runs[x], self.runs[y]
+            more = self._open(u, v) if u and v else []
             if more:
                 stack.extend(more)
                 continue
-            memo[id(x), id(y)] = 1 + int(table(u, v)[-1, -1]) if u and v else 1
+            self.scores[x, y] = 1 + int(Chain(self, u, v).last(0, len(u), 0, len(v))[-1]) if u and v else 1
             stack.pop()
 
-    def pair(r, s):
-        return sum(memo[id(x), id(y)] for x, y in zip(r, s, strict=False))
-
-    def table(p, q):
-        m, n = len(p), len(q)
-        t = np.zeros((m + 1, n + 1), np.int64)
-        for i in range(1, m + 1):
-            lo, hi = band(i, m, n)
-            t[i, :lo] = t[i - 1, :lo]
-            for j in range(lo, hi + 1):
-                best = max(t[i - 1, j], t[i, j - 1])
-                if p[i - 1][0].label == q[j - 1][0].label:
-                    best = max(best, t[i - 1, j - 1] + pair(p[i - 1], q[j - 1]))
-                t[i, j] = best
-            t[i, hi + 1 :] = np.maximum(t[i - 1, hi + 1 :], t[i, hi])
-        return t
 
+class Chain:
+    """Best alignment in order of two lists of runs; scores are there."""
+
+    def __init__(self, shapes: Shapes, p, q):
+        self.shapes, self.p = shapes, p
+        self.kinds: dict[tuple, int] = {}
+        self.codes = np.array([self.kinds.setdefault(s, len(self.kinds)) for s in q], np.int64)
+        self.rows: dict[tuple, np.ndarray] = {}
+
+    def weights(self, i: int) -> np.ndarray:
+        r = self.p[i]
+        if r not in self.rows:
+            if len(self.rows) * len(self.kinds) > TABLE_CELLS:
+                self.rows.clear()
+            self.rows[r] = np.array([self.shapes._weight(r, s) for s in self.kinds], np.int64)
+        return self.rows[r][self.codes]
+
+    def last(self, i0: int, i1: int, j0: int, j1: int, back: bool = False) -> np.ndarray:
+        """Best scores of ``p[i0:i1]`` with each prefix (``back``: suffix) of ``q[j0:j1]``."""
+        row = np.zeros(j1 - j0 + 1, np.int64)
+        for i in reversed(range(i0, i1)) if back else range(i0, i1):
+            w = self.weights(i)[j0:j1]
+            row = self._next(row, w[::-1] if back else w)
+        return row[::-1] if back else row
+
+    @staticmethod
+    def _next(row, w):
+        out = np.zeros_like(row)
+        np.maximum.accumulate(np.maximum(row[1:], row[:-1] + w), out=out[1:])
+        return out
+
+    def path(self) -> list[tuple[int, int]]:
+        """Aligned positions; a table too large to keep is split where the best
+        alignment crosses its middle row, so memory stays linear."""
+        out, stack = [], [(0, len(self.p), 0, len(self.codes))]
+        while stack:
+            i0, i1, j0, j1 = stack.pop()
+            if i0 == i1 or j0 == j1:
+                continue
+            if i1 - i0 > 1 and (i1 - i0) * (j1 - j0) > TABLE_CELLS:
+                mid = (i0 + i1) // 2
+                cut = j0 + int(np.argmax(self.last(i0, mid, j0, j1) + self.last(mid, i1, j0, j1, back=True)))
+                stack += [(i0, mid, j0, cut), (mid, i1, cut, j1)]
+                continue
+            table = [np.zeros(j1 - j0 + 1, np.int64)]
+            for i in range(i0, i1):
+                table.append(self._next(table[-1], self.weights(i)[j0:j1]))
+            i, j = i1 - i0, j1 - j0
+            while i and j:
+                if table[i][j] == table[i - 1][j]:
+                    i -= 1
+                elif table[i][j] == table[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    out.append((i0 + i, j0 + j))
+        return out
+
+
+def align(a: Node, b: Node, shapes: Shapes | None = None, known: dict[int, int] | None = None) -> list[tuple[Node, Node]]:
+    """Pairs of nodes matched by simple tree matching.
+
+    Roots must have one label.  Children are aligned in order by dynamic
+    programming that maximises the number of matched nodes, over lists of any length; neighbours of one
+    label are one run whose members pair up from the left, which keeps
+    repeated records together.  ``shapes`` may hold the scores of earlier calls, ``known``
+    the shapes in it of the nodes under ``a``."""
+    shapes = shapes or Shapes()
+    left = known or shapes.of(a)
+    right = shapes.of(b)
     out: list[tuple[Node, Node]] = []
     stack = [(a, b)]
     while stack:
@@ -332,24 +416,18 @@ def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
         if x.label != y.label:
             continue
         out.append((x, y))
-        p, q = _runs(_children(x)), _runs(_children(y))
+        sx, sy = left[id(x)], right[id(y)]
+        p, q = shapes.runs[sx], shapes.runs[sy]
         if not p or not q:
             continue
-        if len(p) == len(q) and all(r[0].label == s[0].label for r, s in zip(p, q, strict=True)):
-            for r, s in zip(p, q, strict=True):  # the same shape: the diagonal is optimal
-                stack.extend(zip(r, s, strict=False))
+        u, v = _runs(_children(x)), _runs(_children(y))
+        if sx == sy:  # the same shape: every node matches
+            for r, s in zip(u, v, strict=True):
+                stack.extend(zip(r, s, strict=True))
             continue
-        fill(p, q)
-        t = table(p, q)
-        i, j = len(p), len(q)
-        while i and j:
-            if t[i, j] == t[i - 1, j]:
-                i -= 1
-            elif t[i, j] == t[i, j - 1]:
-                j -= 1
-            else:
-                stack.extend(zip(p[i - 1], q[j - 1], strict=False))
-                i, j = i - 1, j - 1
+        shapes.fill(p, q)
+        for i, j in Chain(shapes, p, q).path():
+            stack.extend(zip(u[i], v[j], strict=False))
     return out
 
 
@@ -373,37 +451,53 @@ def digest(*parts: str) -> int:
     return int.from_bytes(h.digest(), "big", signed=True)
 
 
-EVIDENCE_SCHEMA = "host string, node int, text bigint, page bigint"
+EVIDENCE_SCHEMA = "host string, layout bigint, node int, text bigint, page bigint"
+
+
+class Reference:
+    """A parsed reference page: its nodes' numbers and shapes."""
+
+    def __init__(self, page: str):
+        self.tree = parse(page)
+        self.number: dict[int, int] = {}
+        stack = [self.tree]
+        while stack:
+            x = stack.pop()
+            self.number[id(x)] = len(self.number)
+            stack.extend(reversed(_children(x)))
+        self.renew()
+
+    def renew(self) -> None:
+        self.shapes = Shapes()
+        self.known = self.shapes.of(self.tree)
+
+    def align(self, page: Node) -> list[tuple[Node, Node]]:
+        if len(self.shapes.scores) + len(self.shapes.labels) > KEPT_SCORES:
+            self.renew()
+        return align(self.tree, page, self.shapes, self.known)
 
 
 def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each page: reference nodes with text that align, and the page's text there.
 
     ``page`` is a digest of the page's whole content, so copies count once."""
-    cached: dict[str, tuple[Node, dict[int, int]]] = {}
+    cached: dict[tuple[str, int], Reference] = {}
     for batch in batches:
         out = []
-        for host, ref, page in zip(batch["host"], batch["ref"], batch["html"], strict=True):
-            if host not in cached:
-                if len(cached) > 64:
+        for host, layout, ref, page in zip(batch["host"], batch["layout"], batch["ref"], batch["html"], strict=True):
+            key = (host, int(layout))
+            if key not in cached:
+                if len(cached) > 16:
                     cached.clear()
-                tree = parse(ref)
-                number: dict[int, int] = {}
-                stack = [tree]
-                while stack:
-                    x = stack.pop()
-                    number[id(x)] = len(number)
-                    stack.extend(reversed(_children(x)))
-                cached[host] = (tree, number)
-            tree, number = cached[host]
+                cached[key] = Reference(ref)
             mine = parse(page)
             whole = digest(*[t for _, t in blocks(mine)])
-            for x, y in align(tree, mine):
+            for x, y in cached[key].align(mine):
                 if y.tag in BLOCKS and not y.dropped:
                     text = own_text(y)
                     if text:
-                        out.append((host, number[id(x)], digest(text), whole))
-        yield pd.DataFrame(out, columns=["host", "node", "text", "page"])
+                        out.append((*key, cached[key].number[id(x)], digest(text), whole))
+        yield pd.DataFrame(out, columns=["host", "layout", "node", "text", "page"])
 
 
 def with_host(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -413,35 +507,86 @@ def with_host(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Dat
     )
 
 
+def layout_of(html_col: str):
+    """Digest of the set of a page's structural elements, each tag with its class, numbers alike."""
+    named = F.transform(
+        F.regexp_extract_all(F.lower(F.col(html_col)), F.lit(LAYOUT_TAG), F.lit(0)),
+        lambda m: F.concat_ws(
+            ".", F.regexp_extract(m, r"^<([a-z]+)", 1),
+            F.regexp_replace(F.regexp_extract(m, r"\bclass\s*=\s*[\"']?([^\"']*)", 1), "[0-9]+", "0"),
+        ),
+    )
+    return F.xxhash64(F.array_sort(F.array_distinct(named)))
+
+
+def reference_pages(pages: DataFrame, least_pages: int = LEAST_PAGES) -> tuple[DataFrame, DataFrame]:
+    """``(refs, own)``: a reference for each layout of ``least_pages`` or more distinct pages, and for
+    each host of so many its main one (``layout`` 0: the most frequent layout's); ``own`` names the (host, layout)
+    pairs with a reference of their own.  Blank pages are none.
+
+    A reference is the page nearest to its layout's geometric mean length, ties by digest."""
+    size = F.floor(F.log2(F.octet_length("html").cast("double")) * 256)
+    distinct = shared_table(
+        pages.where(F.trim("html") != "").select("host", "layout", F.xxhash64("html").alias("_d"), size.alias("_s"))
+        .groupBy("host", "layout", "_d").agg(F.min("_s").alias("_s")),
+        "html-layouts",
+    )
+    layouts = distinct.groupBy("host", "layout").agg(
+        F.count(F.lit(1)).alias("_n"), (F.sum("_s") / F.count(F.lit(1))).alias("_mean")
+    )
+    mains = layouts.groupBy("host").agg(
+        F.max_by("layout", F.struct("_n", "layout")).alias("_main"), F.sum("_n").alias("_all")
+    ).where(F.col("_all") >= least_pages).withColumnRenamed("host", "_mh")
+    chosen = layouts.join(mains, F.col("host") == F.col("_mh")).where(
+        (F.col("layout") == F.col("_main")) | (F.col("_n") >= least_pages)
+    ).select(
+        F.col("host").alias("_ch"), F.col("layout").alias("_cl"), "_mean",
+        F.when(F.col("layout") == F.col("_main"), F.lit(0)).otherwise(F.col("layout")).cast("bigint").alias("_key"),
+    )
+    typical = distinct.join(chosen, (F.col("host") == F.col("_ch")) & (F.col("layout") == F.col("_cl"))).groupBy(
+        F.col("host").alias("_fh"), F.col("layout").alias("_fl"), F.col("_key")
+    ).agg(F.min_by("_d", F.struct(F.abs(F.col("_s") - F.col("_mean")), F.col("_d"))).alias("_fd"))
+    typical = shared_table(typical, "html-typical")
+    refs = pages.withColumn("_d", F.xxhash64("html")).join(
+        small_side(typical, 100_000),
+        (F.col("host") == F.col("_fh")) & (F.col("layout") == F.col("_fl")) & (F.col("_d") == F.col("_fd")),
+    ).select(F.col("host").alias("_rh"), F.col("_key").alias("_rl"), F.col("html").alias("ref")).dropDuplicates(["_rh", "_rl"])
+    own = typical.where("_key != 0").select(F.col("_fh").alias("_oh"), F.col("_fl").alias("_ol"))
+    return shared_table(refs, "html-refs"), own
+
+
 def induce_templates(
     pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: int = LEAST_PAGES
 ) -> DataFrame:
     """Template texts per host: ``host``, ``texts`` (sorted digests).
 
-    ``pages`` has ``host`` and ``html``.  The reference is the host's page of
-    smallest digest.  A text is template if it stands at one reference node on at least
-    ``share`` of the host's distinct pages, of which there are ``least_pages`` or more."""
-    keyed = pages.withColumn("_d", F.xxhash64("html"))
-    first = keyed.groupBy("host").agg(F.min("_d").alias("_fd"), F.count(F.lit(1)).alias("_n")).where(
-        F.col("_n") >= least_pages
-    ).select(F.col("host").alias("_fh"), "_fd")
-    refs = keyed.join(small_side(first, 100_000), (F.col("host") == F.col("_fh")) & (F.col("_d") == F.col("_fd"))).select(
-        F.col("host").alias("_rh"), F.col("html").alias("ref")
-    ).dropDuplicates(["_rh"])
-    refs = shared_table(refs, "html-refs")
+    ``pages`` has ``host`` and ``html``.  Every page is aligned with its layout's reference, or
+    the host's main one where its layout is rare.  A text is template if it stands at one reference node on at least
+    ``share`` of the distinct pages that align there, of which there are ``least_pages`` or more."""
+    pages = pages.select("host", "html", layout_of("html").alias("layout"))
+    refs, own = reference_pages(pages, least_pages)
     size = refs.agg(F.coalesce(F.sum(F.octet_length("ref") + 64), F.lit(0))).first()[0]
-    joined = pages.join(F.broadcast(refs) if size <= BROADCAST_BYTES else refs, F.col("host") == F.col("_rh"))
-    seen = joined.select("host", "ref", "html").mapInPandas(_evidence, EVIDENCE_SCHEMA)
-    texts = seen.groupBy("host", "node", "text", "page").agg(F.lit(1).alias("_o")).groupBy("host", "node", "text").agg(
+    keyed = pages.join(
+        small_side(own, 100_000), (F.col("host") == F.col("_oh")) & (F.col("layout") == F.col("_ol")), "left"
+    ).select("host", F.coalesce("_ol", F.lit(0)).alias("layout"), "html")
+    joined = keyed.join(
+        F.broadcast(refs) if size <= BROADCAST_BYTES else refs,
+        (F.col("host") == F.col("_rh")) & (F.col("layout") == F.col("_rl")),
+    )
+    seen = joined.select("host", "layout", "ref", "html").mapInPandas(_evidence, EVIDENCE_SCHEMA)
+    node = ["host", "layout", "node"]
+    texts = seen.groupBy(*node, "text", "page").agg(F.lit(1).alias("_o")).groupBy(*node, "text").agg(
         F.count(F.lit(1)).alias("_k")
     )
     texts = shared_table(texts, "html-evidence")
-    nodes = texts.groupBy("host", "node").agg(F.sum("_k").alias("_all"), F.max("_k").alias("_top"))
+    nodes = texts.groupBy(*node).agg(F.sum("_k").alias("_all"), F.max("_k").alias("_top"))
     nodes = nodes.where((F.col("_all") >= least_pages) & (F.col("_top") >= share * F.col("_all"))).select(
-        F.col("host").alias("_nh"), F.col("node").alias("_nn"), F.col("_top").alias("_nk")
+        F.col("host").alias("_nh"), F.col("layout").alias("_nl"), F.col("node").alias("_nn"), F.col("_top").alias("_nk")
     )
     fixed = texts.join(
-        nodes, (F.col("host") == F.col("_nh")) & (F.col("node") == F.col("_nn")) & (F.col("_k") == F.col("_nk"))
+        nodes,
+        (F.col("host") == F.col("_nh")) & (F.col("layout") == F.col("_nl")) & (F.col("node") == F.col("_nn"))
+        & (F.col("_k") == F.col("_nk")),
     )
     return fixed.groupBy("host").agg(F.sort_array(F.collect_set("text")).alias("texts"))
 

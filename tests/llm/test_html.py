@@ -121,3 +121,61 @@ def test_deep_pages_align():
     a, b = parse("<i></i>" + page("<h2>t</h2>", "one")), parse(page("", "two"))
     pairs = align(a, b)
     assert len(pairs) == 1 + 2000 + 5 and all(x.label == y.label for x, y in pairs)
+
+
+def test_long_lists_align_whole(monkeypatch):
+    def page(front, n=150):
+        return "<p>a</p><b>x</b>" * front + "".join(f"<{t}>t</{t}>" for t in ["h2", "p", "h3", "ul"] * (n // 4))
+
+    a, b = parse(page(0)), parse(page(90))
+    assert len(align(a, b)) == naive_leaves(a, b)
+    monkeypatch.setattr("leafline.llm.html_extract.TABLE_CELLS", 64)  # split tables give as much
+    assert len(align(a, b)) == naive_leaves(a, b)
+
+
+def naive_leaves(a, b):
+    """The plain table where the root's children are leaves without neighbours of one label."""
+    p, q = ([k.label for k in x.kids] for x in (a, b))
+    row = [0] * (len(q) + 1)
+    for x in p:
+        new = [0]
+        for j, y in enumerate(q):
+            new.append(max(row[j + 1], new[j], row[j] + (x == y)))
+        row = new
+    return 1 + row[-1]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_split_tables_match_as_many_nodes(seed, monkeypatch):
+    monkeypatch.setattr("leafline.llm.html_extract.TABLE_CELLS", 1)
+    rng = random.Random(100 + seed)
+    a, b = parse(tree(rng)), parse(tree(rng))
+    assert len(align(a, b)) == naive_stm(a, b)
+
+
+def listing(i, host="h.org"):
+    items = "".join(f"<div class=item><p>{prose(i * 50 + j, 12)}</p></div>" for j in range(4))
+    return (1000 + i, f"http://{host}/list/{i}", f"<body><section class=list><h2>All our stories</h2>{items}<p>More every day</p></section></body>")
+
+
+def test_each_layout_has_a_reference(spark):
+    rows = site(40) + [listing(i) for i in range(40)]
+    got = {r["_id"]: r["text"] for r in extract_main_text(pages(spark, rows)).collect()}
+    assert all(got[i] == prose(i, 4) + " " + prose(i + 900, 30) for i in range(40))
+    assert all(got[1000 + i] == " ".join(prose(i * 50 + j, 12) for j in range(4)) for i in range(40))
+
+
+@pytest.mark.parametrize("odd", [
+    ["<html><body><h1>Error 500</h1></body></html>"], ["   "], ["", None, "<br>"],
+    [f"<div class=e{chr(97 + k)}><p>failed</p></div>" for k in range(11)],
+])
+def test_odd_pages_are_no_reference(spark, odd):
+    rows = site(40) + [(500 + k, f"http://h.org/odd{k}", page) for k, page in enumerate(odd)]
+    got = {r["_id"]: r["text"] for r in extract_main_text(pages(spark, rows)).collect()}
+    assert all(got[i] == prose(i, 4) + " " + prose(i + 900, 30) for i in range(40))
+
+
+def test_rare_layouts_go_with_the_main_one(spark):
+    rows = [(i, u, h.replace("<div>", f"<div class=v{chr(97 + i % 6)}>")) for i, u, h in site(24)]
+    got = {r["_id"]: r["text"] for r in extract_main_text(pages(spark, rows)).collect()}
+    assert all("Share this story" not in got[i] for i in range(24))
