@@ -2,8 +2,9 @@
 
 Three fixed patterns give the base spans.  A wider pattern adds candidate
 tokens.  Every candidate value is hashed and counted over the corpus by
-distinct repository and owner: a value that many owners share is a copied
-example, one that stays with few owners and looks random is taken as live.
+distinct repository and owner: a value that many owners share, or that one owner
+copies through many repositories, is a copied
+example; one that stays with few of both and looks random is taken as live.
 Live-looking wider tokens become further spans (kind ``owned``); base spans
 always stay.
 
@@ -31,6 +32,8 @@ PATTERNS = [
 BASE = ("assign", "access", "hex")
 #: an owner-specific value has at most so many owners
 MAX_OWNERS = 2
+#: and stands in at most so many repositories
+MAX_REPOS = 20
 #: a live-looking value has at least so many different characters
 MIN_DISTINCT = 10
 #: words that mark a value as a stand-in
@@ -74,6 +77,11 @@ def live_looking(value: Column) -> Column:
     )
 
 
+def widespread() -> Column:
+    """More owners, or more repositories, than an owner-specific value has."""
+    return (F.col("owners") > MAX_OWNERS) | (F.col("repos") > MAX_REPOS)
+
+
 def scan_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repo_col: str = "doc_id", owner_col: str = "source",
@@ -141,7 +149,7 @@ def scan_secrets(
     spans = (
         found.join(holders, F.col("_v") == F.col("_hv"))
         .withColumn("kind", names)
-        .withColumn("live", (F.col("owners") <= MAX_OWNERS) & live_looking(F.col("value")))
+        .withColumn("live", ~widespread() & live_looking(F.col("value")))
         .where(F.col("base") | F.col("live"))
         .select("_id", "_th", "kind_no", "kind", "start", "end", "value", "repos", "owners", "base", "live")
     )
@@ -150,7 +158,7 @@ def scan_secrets(
 
 def op2_secrets(spark, sf_dir: str) -> DataFrame:
     """Secrets of every whole text; ``n_live`` base or wider spans look live,
-    ``n_widespread`` base spans hold a value of more than two owners.
+    ``n_widespread`` base spans hold a value of more than two owners or 20 repositories.
 
     Each document stands for a repository, its source for the owner."""
     rows, spans = scan_secrets(read_table(spark, sf_dir, "documents"))
@@ -160,7 +168,7 @@ def op2_secrets(spark, sf_dir: str) -> DataFrame:
         ordered.alias("_s"),
         *[count(F.col("kind") == k).alias(f"n_{k}") for k in BASE],
         count(F.col("live")).alias("n_live"),
-        count(F.col("base") & (F.col("owners") > MAX_OWNERS)).alias("n_widespread"),
+        count(F.col("base") & widespread()).alias("n_widespread"),
     )
     joined = lambda a: F.concat_ws(
         ",", F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
@@ -203,9 +211,10 @@ pos AS (
     + coalesce(sum(length(m)) OVER (PARTITION BY doc_id, ko ORDER BY i
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
   FROM raw),
-freq AS (SELECT v, count(DISTINCT source) AS owners FROM raw WHERE m IS NOT NULL GROUP BY v),
-cand AS (SELECT doc_id, ko, kind, p.v, CAST(s AS BIGINT) AS s, CAST(s + length(m) AS BIGINT) AS e, owners,
-    owners <= {MAX_OWNERS} AND regexp_matches(p.v, '[0-9]') AND regexp_matches(p.v, '[A-Za-z]')
+freq AS (SELECT v, count(DISTINCT source) AS owners,
+    count(DISTINCT (source, doc_id)) AS repos FROM raw WHERE m IS NOT NULL GROUP BY v),
+cand AS (SELECT doc_id, ko, kind, p.v, CAST(s AS BIGINT) AS s, CAST(s + length(m) AS BIGINT) AS e, owners, repos,
+    owners <= {MAX_OWNERS} AND repos <= {MAX_REPOS} AND regexp_matches(p.v, '[0-9]') AND regexp_matches(p.v, '[A-Za-z]')
       AND len(list_distinct(string_split(p.v, ''))) >= {MIN_DISTINCT}
       AND NOT regexp_matches(p.v, '{PLACEHOLDER}') AS live
   FROM pos p JOIN freq f ON p.v = f.v WHERE m IS NOT NULL AND length(p.v) >= least),
@@ -214,7 +223,7 @@ spans AS (SELECT * FROM cand c WHERE ko < {len(BASE)} OR (live AND NOT EXISTS (
 per AS (SELECT doc_id,
     count(*) FILTER (WHERE ko = 0) AS n_assign, count(*) FILTER (WHERE ko = 1) AS n_access,
     count(*) FILTER (WHERE ko = 2) AS n_hex, count(*) FILTER (WHERE live) AS n_live,
-    count(*) FILTER (WHERE ko < {len(BASE)} AND owners > {MAX_OWNERS}) AS n_widespread,
+    count(*) FILTER (WHERE ko < {len(BASE)} AND (owners > {MAX_OWNERS} OR repos > {MAX_REPOS})) AS n_widespread,
     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ko) FILTER (WHERE ko < {len(BASE)}) AS base,
     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ko) AS spans
   FROM spans GROUP BY doc_id)

@@ -57,3 +57,12 @@ def test_repeated_rows_and_many_matches(spark):
     assert sorted(len(v) for v in got.values()) == [3000, 3000]
     for v in got.values():
         assert sorted((r["start"], 0, "assign", r["end"]) for r in v) == brute(text)
+
+
+def test_a_value_one_owner_copies_widely_is_no_live_one(spark):
+    own = "Zq8vTr2LmK9xWb4NcY7d"
+    docs = [(i, f"see {LIVE[::-1]} here", "en", "only") for i in range(30)] + [(50, f"key {own} here", "en", "only")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    _, spans = scan_secrets(frame)
+    got = [(r["_id"], r["value"], r["repos"]) for r in spans.collect()]
+    assert got == [(50, own, 1)]
