@@ -75,8 +75,8 @@ BY_LAYOUT, FOR_CERTAIN = 1, 2
 
 #: tables of two child lists up to so many cells are kept whole, larger ones halved
 TABLE_CELLS = 1 << 18
-#: scores of pairs of shapes kept from page to page
-KEPT_SCORES = 1 << 17
+#: references a task keeps parsed, and scores of pairs of shapes each keeps from page to page
+KEPT_REFERENCES, KEPT_SCORES = 64, 1 << 14
 #: elements whose tags and classes make a layout
 LAYOUT_TAG = r"<(?:body|main|article|section|header|nav|aside|footer|div)\b[^<>]*"
 #: share of a layout's distinct pages on which a template text is the same, and least pages
@@ -285,32 +285,31 @@ class Shapes:
         self.numbers: dict[tuple, int] = {}
         self.labels: list[str] = []
         self.runs: list[tuple[tuple[int, ...], ...]] = []
+        self.sizes: list[int] = []
         self.scores: dict[tuple[int, int], int] = {}
 
     def of(self, tree: Node) -> dict[int, int]:
         """Shape of every node under ``tree``, by ``id``."""
+        order = [(tree, _children(tree))]
+        for _, kids in order:
+            order.extend((k, _children(k)) for k in kids)
         out: dict[int, int] = {}
-        stack = [(tree, False)]
-        while stack:
-            x, ready = stack.pop()
-            kids = _children(x)
-            if kids and not ready:
-                stack.append((x, True))
-                stack.extend((k, False) for k in kids)
-                continue
-            key = (x.label, tuple(tuple(out[id(k)] for k in run) for run in _runs(kids)))
-            if key not in self.numbers:
-                self.numbers[key] = len(self.labels)
+        for x, kids in reversed(order):  # children before their parents
+            key = (x.label, tuple(tuple([out[id(k)] for k in run]) for run in _runs(kids)) if kids else ())
+            number = self.numbers.get(key)
+            if number is None:
+                number = self.numbers[key] = len(self.labels)
                 self.labels.append(x.label)
                 self.runs.append(key[1])
-            out[id(x)] = self.numbers[key]
+                self.sizes.append(1 + sum(self.sizes[k] for run in key[1] for k in run))
+            out[id(x)] = number
         return out
 
     def _weight(self, r, s) -> int:
         """Matched nodes of two runs, paired from the left."""
         if self.labels[r[0]] != self.labels[s[0]]:
             return 0
-        return sum(self.scores[x, y] for x, y in zip(r, s, strict=False))
+        return sum([self.sizes[x] if x == y else self.scores[x, y] for x, y in zip(r, s, strict=False)])
 
     def _open(self, p, q) -> list[tuple[int, int]]:
         """Pairs of shapes whose scores two lists of runs need and lack."""
@@ -319,7 +318,7 @@ class Shapes:
             by_label.setdefault(self.labels[s[0]], []).append(s)
         return [
             pair for r in set(p) for s in by_label.get(self.labels[r[0]], ())
-            for pair in zip(r, s, strict=False) if pair not in self.scores
+            for pair in zip(r, s, strict=False) if pair[0] != pair[1] and pair not in self.scores
         ]
 
     def fill(self, p, q) -> None:
@@ -331,14 +330,31 @@ class Shapes:
                 stack.pop()
                 continue
             u, v = self.runs[x], self.runs[y]
-            more = self._open(u, v) if u and v else []
+            i, j, k = equal_ends(u, v)
+            mid_u, mid_v = u[i:j], v[i:k]
+            more = self._open(mid_u, mid_v) if mid_u and mid_v else []
             if more:
                 stack.extend(more)
                 continue
-            self.scores[x, y] = 1 + int(Chain(self, u, v).last(0, len(u), 0, len(v))[-1]) if u and v else 1
+            same = sum([self.sizes[m] for run in u[:i] + u[j:] for m in run])
+            self.scores[x, y] = 1 + same + Chain(self, mid_u, mid_v).best()
             stack.pop()
 
 
+def equal_ends(p, q) -> tuple[int, int, int]:
+    """``(i, j, k)``: ``p[:i] == q[:i]`` and ``p[j:] == q[k:]``, as long as can be.
+
+    Equal runs at both ends match each other in a best alignment: no other
+    partner gives either more."""
+    least, i = min(len(p), len(q)), 0
+    while i < least and p[i] == q[i]:
+        i += 1
+    e = 0
+    while e < least - i and p[-1 - e] == q[-1 - e]:
+        e += 1
+    return i, len(p) - e, len(q) - e
+
+
 class Chain:
     """Best alignment in order of two lists of runs; scores are there."""
 
@@ -348,6 +364,13 @@ class Chain:
         self.codes = np.array([self.kinds.setdefault(s, len(self.kinds)) for s in q], np.int64)
         self.rows: dict[tuple, np.ndarray] = {}
 
+    def best(self) -> int:
+        """Score of the best alignment."""
+        m, n = len(self.p), len(self.codes)
+        if m == 0 or n == 0:
+            return 0
+        return int(self.last(0, m, 0, n)[-1])
+
     def weights(self, i: int) -> np.ndarray:
         r = self.p[i]
         if r not in self.rows:
@@ -425,9 +448,14 @@ def align(a: Node, b: Node, shapes: Shapes | None = None, known: dict[int, int]
             for r, s in zip(u, v, strict=True):
                 stack.extend(zip(r, s, strict=True))
             continue
-        shapes.fill(p, q)
-        for i, j in Chain(shapes, p, q).path():
-            stack.extend(zip(u[i], v[j], strict=False))
+        i, j, k = equal_ends(p, q)
+        for r, s in zip(u[:i] + u[j:], v[:i] + v[k:], strict=True):
+            stack.extend(zip(r, s, strict=True))
+        if i == j or i == k:
+            continue
+        shapes.fill(p[i:j], q[i:k])
+        for m, n in Chain(shapes, p[i:j], q[i:k]).path():
+            stack.extend(zip(u[i + m], v[i + n], strict=False))
     return out
 
 
@@ -484,11 +512,12 @@ def _evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cached: dict[tuple[str, int], Reference] = {}
     for batch in batches:
         out = []
+        batch = batch.sort_values(["host", "layout"])  # one reference after the other
         for host, layout, ref, page in zip(batch["host"], batch["layout"], batch["ref"], batch["html"], strict=True):
             key = (host, int(layout))
             if key not in cached:
-                if len(cached) > 16:
-                    cached.clear()
+                if len(cached) >= KEPT_REFERENCES:
+                    del cached[next(iter(cached))]
                 cached[key] = Reference(ref)
             mine = parse(page)
             whole = digest(*[t for _, t in blocks(mine)])
