@@ -6,9 +6,13 @@ is one exchange per side; no driver-side sets of keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafline.session import materialise
+
 # Fixed value (must equal the reference's): printed cost estimate per entity.
 COST_PER_ENTITY = 0.02
 
@@ -57,6 +61,40 @@ def failure_ledger(attempts: DataFrame, key: str, status_col: str = "status") ->
     )
 
 
+def retry_work(inputs: DataFrame, attempts: DataFrame, key: str, max_attempts: int) -> DataFrame:
+    """Inputs to try next, each with its ``attempt`` number (from 1).
+
+    A key with an ok attempt is done; one with ``max_attempts`` failed attempts is given
+    up.  ``attempts`` has ``key, attempt, status``; repeated input keys are tried once;
+    a null status is a failed attempt, a null key takes no part."""
+    tried = attempts.groupBy(F.col(key).alias("_tk")).agg(
+        F.max(F.coalesce(F.col("status") == "ok", F.lit(False))).alias("_ok"),
+        F.max("attempt").alias("_last"),
+        F.count_if(~F.coalesce(F.col("status") == "ok", F.lit(False))).alias("_failed"),
+    )
+    work = inputs.where(F.col(key).isNotNull()).dropDuplicates([key]).join(tried, F.col(key) == F.col("_tk"), "left")
+    return work.where(~F.coalesce("_ok", F.lit(False)) & (F.coalesce("_failed", F.lit(0)) < max_attempts)).withColumn(
+        "attempt", (F.coalesce("_last", F.lit(0)) + 1).cast("int")
+    ).drop("_tk", "_ok", "_last", "_failed")
+
+
+def run_with_retries(inputs: DataFrame, key: str, attempt: Callable[[DataFrame], DataFrame], max_attempts: int) -> DataFrame:
+    """All attempts ``(key, attempt, status)`` of a run that tries failed keys again.
+
+    ``attempt`` maps the rows to try (with their ``attempt`` number) to ``key, attempt, status``.  Each
+    round reads the attempts of earlier rounds as written to the shared folder and ends the run when nothing is
+    left, at the latest after ``max_attempts`` rounds."""
+    spark = inputs.sparkSession
+    kind = inputs.schema[key].dataType.simpleString()
+    done = spark.createDataFrame([], f"`{key}` {kind}, attempt int, status string")
+    for _ in range(max_attempts):
+        now = materialise(attempt(retry_work(inputs, done, key, max_attempts)).select(*done.columns), "retry-round")
+        if now.isEmpty():
+            break
+        done = done.unionByName(now)
+    return done
+
+
 def run_summary(inputs: DataFrame, previous_done: DataFrame, new_results: DataFrame, key: str,
                 required_section: str, json_col: str = "json") -> DataFrame:
     """One row: inputs, previously done, new successes, new failures,

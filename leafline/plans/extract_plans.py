@@ -160,6 +160,25 @@ def q_failure_ledger(spark, sf):
     return I.failure_ledger(att, "doc_id")
 
 
+RETRIES = 3
+
+
+def q_failure_retry(spark, sf):
+    """Every document tried up to three times; a document answers once its attempt
+    number exceeds its text's length modulo 4, so some never do."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+
+    def attempt(work):
+        need = F.char_length("text") % 4
+        status = F.when(F.col("text").isNull(), "missing").when(need < F.col("attempt"), "ok").otherwise("error: timeout")
+        return work.select("doc_id", "attempt", status.alias("status"))
+
+    tried = I.run_with_retries(docs, "doc_id", attempt, RETRIES)
+    return tried.groupBy("doc_id").agg(
+        F.max("attempt").cast("bigint").alias("attempts"), F.max_by("status", "attempt").alias("last_status")
+    )
+
+
 def q_run_summary(spark, sf):
     docs, _, done1, _, run2 = _runs(spark, sf)
     return I.run_summary(docs, done1, run2, "doc_id", REQUIRED)
@@ -180,6 +199,7 @@ QUERIES = {
     "remaining_work": q_remaining_work,
     "merge_results": q_merge_results,
     "failure_ledger": q_failure_ledger,
+    "failure_retry": q_failure_retry,
     "run_summary": q_run_summary,
 }
 
@@ -250,6 +270,10 @@ ORACLES = {
         att AS (SELECT doc_id, 1 AS attempt, ok, why FROM run1 UNION ALL SELECT doc_id, 2, ok, why FROM run2)
         SELECT doc_id, arg_max(why, attempt) AS reason, count(*) FILTER (WHERE NOT ok) AS failed_attempts FROM att
         GROUP BY doc_id HAVING NOT arg_max(ok, attempt)""",
+    "failure_retry": f"""
+        SELECT doc_id, CASE WHEN text IS NULL THEN {RETRIES} ELSE least(length(text) % 4 + 1, {RETRIES}) END::BIGINT AS attempts,
+               CASE WHEN text IS NULL THEN 'missing' WHEN length(text) % 4 < {RETRIES} THEN 'ok' ELSE 'error: timeout' END AS last_status
+        FROM documents""",
     "run_summary": "WITH " + _RUNS + """
         SELECT (SELECT count(*) FROM d) AS inputs, (SELECT count(*) FROM done1) AS previous,
                (SELECT count(*) FILTER (WHERE ok) FROM run2) AS new_ok, (SELECT count(*) FILTER (WHERE NOT ok) FROM run2) AS new_failed,
