@@ -157,8 +157,9 @@ def leave_one_out_labels(df: DataFrame, key: str, feats: Sequence[str], init: li
 
 
 def kmeans_pp_init(df: DataFrame, key: str, feats: Sequence[str], run_ks: dict, seed: int = 42,
-                   group_col: str | None = None, groups: dict | None = None) -> dict:
+                   group_col: str | None = None, groups: dict | None = None, weight: Column | None = None) -> dict:
     """k-means++ seeding for many runs at once: one pass per centre index.
+    A row of ``weight`` w counts as w rows; one of weight 0 is never drawn.
 
     A point is drawn with probability proportional to D² (distance to the
     nearest chosen centre) by the exponential-key method: the row with the
@@ -169,16 +170,17 @@ def kmeans_pp_init(df: DataFrame, key: str, feats: Sequence[str], run_ks: dict,
     kmax = max(run_ks.values())
     g = F.col(group_col).cast("string") if group_col else F.lit("")
     base = df.select(F.col(key).cast("string").alias("_key"), F.array(*[F.col(c).cast("double") for c in feats]).alias("_x"),
-                     g.alias("_g"), F.lit(1).alias("_one"))
+                     g.alias("_g"), F.lit(1).alias("_one"), (weight if weight is not None else F.lit(1)).alias("_w"))
+    base = base.where(F.col("_w") > 0)
     for step in range(kmax):
         active = [r for r, k in run_ks.items() if len(chosen[r]) < k]
         if not active:
             break
         model = F.broadcast(_model_frame(spark, {r: chosen[r] for r in active}, groups).withColumn("_one", F.lit(1)))
-        j = base.join(model, "_one").select("_key", "_x", F.inline(F.filter("runs", lambda r: r["grp"] == F.col("_g"))))
+        j = base.join(model, "_one").select("_key", "_x", "_w", F.inline(F.filter("runs", lambda r: r["grp"] == F.col("_g"))))
         u = uniform_hash(F.col("_key"), F.col("run"), F.lit(str(step)), seed=seed)
         d2 = F.when(F.size("centres") > 0, _nearest_hof(F.col("_x"), F.col("centres"))["d2"])
-        score = F.when(d2.isNull(), -F.log(u)).when(d2 > 0, -F.log(u) / d2)
+        score = F.when(d2.isNull(), -F.log(u) / F.col("_w")).when(d2 > 0, -F.log(u) / (d2 * F.col("_w")))
         rows = j.groupBy("run").agg(F.min_by("_x", score).alias("pt")).collect()
         got = {r["run"]: r["pt"] for r in rows}
         for r in active:
@@ -194,7 +196,7 @@ def kmeans_fit(df: DataFrame, key: str, feats: Sequence[str], k: int, n_init: in
     """Best of ``n_init`` k-means++ runs by inertia (all runs share each
     pass).  Returns (centres, inertia)."""
     runs = {r: k for r in range(n_init)}
-    init = kmeans_pp_init(df, key, feats, runs, seed)
+    init = kmeans_pp_init(df, key, feats, runs, seed, weight=weight)
     cur, inertia, _ = lloyd(df, feats, init, max_iter, weight=weight)
     best = min(inertia, key=lambda r: (inertia[r], r))
     return cur[best], inertia[best]

@@ -141,3 +141,14 @@ def test_poisson_weights(spark):
     w = spark.range(n).select(C.poisson1_weight(F.col("id"), F.lit(1)).alias("w"))
     mean, var, top = w.agg(F.avg("w"), F.var_pop("w"), F.max("w")).first()
     assert mean == pytest.approx(1, abs=0.03) and var == pytest.approx(1, abs=0.06) and top >= 6
+
+
+def test_weighted_seeding_draws_by_weight(spark):
+    rows = [(i, float(i % 4) * 10.0, float(i % 4 != 3)) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, x double, w double")
+    runs = {r: 3 for r in range(10)}
+    got = C.kmeans_pp_init(df, "k", ["x"], runs, weight=F.col("w"))
+    assert all(sorted(c[0] for c in got[r]) == [0.0, 10.0, 20.0] for r in runs)
+    heavy = spark.createDataFrame([(i, float(i), 1000.0 if i == 7 else 0.001) for i in range(20)], "k long, x double, w double")
+    first = C.kmeans_pp_init(heavy, "k", ["x"], {r: 1 for r in range(10)}, weight=F.col("w"))
+    assert all(first[r] == [[7.0]] for r in range(10))
