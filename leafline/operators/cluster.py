@@ -2,9 +2,10 @@
 
 K-means: centroids are metadata (runs x k x p numbers).  Each Lloyd
 iteration is one distributed pass: every point is assigned for every run
-by an expression over literal centroid arrays (no join, nothing paired),
-then ``groupBy(run, cluster)`` sums give the new centroids.  Many restarts
-(the reference runs thousands) share that one pass per iteration.
+against a broadcast model row (nothing paired), then ``groupBy(run,
+cluster)`` sums give the new centroids.  Fits with many restarts, reference
+sets or resamples (thousands of runs) take their passes from
+``operators.multirun``.
 
 DBSCAN: the eps-neighbour pairs come from the pivot search of
 ``operators.pivots`` over any number of columns; components are found by
@@ -20,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafline.operators import multirun
 from leafline.operators.pivots import pairs_within
 from leafline.session import materialise
 
@@ -56,13 +58,7 @@ def uniform_hash(*cols: Column, seed: int = 42) -> Column:
 # by the caller's parameters.  Keeping centres out of the generated code
 # means one compiled plan serves every iteration.
 
-MODEL_T = "runs array<struct<grp:string,run:string,skip:string,centres:array<array<double>>>>"
-
-
-def _model_frame(spark, runs: dict, groups: dict | None = None, skip: dict | None = None) -> DataFrame:
-    rows = [(str((groups or {}).get(r, "")), str(r), (skip or {}).get(r), [list(map(float, c)) for c in cs])
-            for r, cs in runs.items()]
-    return spark.createDataFrame([(rows,)], MODEL_T)
+MODEL_T = "runs array<struct<run:string,centres:array<array<double>>>>"
 
 
 def _nearest_hof(x: Column, centres: Column) -> Column:
@@ -73,36 +69,23 @@ def _nearest_hof(x: Column, centres: Column) -> Column:
     return F.array_min(d)
 
 
-def _with_model(df: DataFrame, feats: Sequence[str], runs: dict, weight: Column | None, group_col: str | None,
-                groups: dict | None, skip: dict | None = None, key_col: str | None = None) -> DataFrame:
-    spark = df.sparkSession
-    w = weight if weight is not None else F.lit(1.0)
-    g = F.col(group_col).cast("string") if group_col else F.lit("")
-    k = F.col(key_col).cast("string") if key_col else F.lit(None).cast("string")
-    pts = df.select(F.array(*[F.col(c).cast("double") for c in feats]).alias("_x"), w.alias("_w"), g.alias("_g"),
-                    k.alias("_k"), F.lit(1).alias("_one"))
-    model = F.broadcast(_model_frame(spark, runs, groups, skip).withColumn("_one", F.lit(1)))
-    j = pts.join(model, "_one")
-    # a run sees the points of its group, minus the one key it leaves out
-    mine = F.filter(F.col("runs"), lambda r: (r["grp"] == F.col("_g")) & ~F.coalesce(r["skip"] == F.col("_k"), F.lit(False)))
-    per = F.transform(mine, lambda r: F.struct(r["run"].alias("run"), _nearest_hof(F.col("_x"), r["centres"]).alias("n")))
-    return j.select("_x", "_w", "_k", F.inline(per))
-
-
-def lloyd_step(df: DataFrame, feats: Sequence[str], runs: dict, weight: Column | None = None,
-               group_col: str | None = None, groups: dict | None = None, skip: dict | None = None,
-               key_col: str | None = None):
+def _with_model(df: DataFrame, feats: Sequence[str], runs: dict) -> DataFrame:
+    rows = [(str(r), [list(map(float, c)) for c in cs]) for r, cs in runs.items()]
+    model = df.sparkSession.createDataFrame([(rows,)], MODEL_T).withColumn("_one", F.lit(1))
+    pts = df.select(F.array(*[F.col(c).cast("double") for c in feats]).alias("_x"), F.lit(1).alias("_one"))
+    per = F.transform("runs", lambda r: F.struct(r["run"].alias("run"), _nearest_hof(F.col("_x"), r["centres"]).alias("n")))
+    return pts.join(F.broadcast(model), "_one").select("_x", F.inline(per))
+
+
+def lloyd_step(df: DataFrame, feats: Sequence[str], runs: dict):
     """One assignment + update for every run at once.
 
-    ``runs``: run_id -> list of k centres; with ``group_col`` a run only
-    sees the points of its group (``groups``: run_id -> group value).
-    Returns (new runs, inertia per run, sizes per run); only runs x k
-    aggregate rows reach the driver."""
-    ex = _with_model(df, feats, runs, weight, group_col, groups, skip, key_col).where(F.col("_w") > 0)
-    aggs = [F.sum("_w").alias("w"), F.sum(F.col("_w") * F.col("n.d2")).alias("sse"), F.max("n.d2").alias("far_d2"),
+    ``runs``: run_id -> list of k centres.  Returns (new runs, inertia per
+    run, sizes per run); only runs x k aggregate rows reach the driver."""
+    aggs = [F.count(F.lit(1)).alias("w"), F.sum("n.d2").alias("sse"), F.max("n.d2").alias("far_d2"),
             F.max_by("_x", F.col("n.d2")).alias("far")]
-    aggs += [F.sum(F.col("_w") * F.col("_x")[i]).alias(f"s_{i}") for i in range(len(feats))]
-    rows = ex.groupBy("run", F.col("n.cluster").alias("cluster")).agg(*aggs).collect()
+    aggs += [F.sum(F.col("_x")[i]).alias(f"s_{i}") for i in range(len(feats))]
+    rows = _with_model(df, feats, runs).groupBy("run", F.col("n.cluster").alias("cluster")).agg(*aggs).collect()
     key = {str(r): r for r in runs}
     new, inertia, sizes, far = {}, {}, {}, {}
     for r in rows:
@@ -124,8 +107,7 @@ def lloyd_step(df: DataFrame, feats: Sequence[str], runs: dict, weight: Column |
 
 
 def lloyd(df: DataFrame, feats: Sequence[str], runs: dict, max_iter: int = 300, tol: float = 1e-4,
-          weight: Column | None = None, fixed_iterations: bool = False, group_col: str | None = None,
-          groups: dict | None = None, skip: dict | None = None, key_col: str | None = None):
+          fixed_iterations: bool = False):
     """Multi-run Lloyd until every run moves less than ``tol`` or
     ``max_iter``; with ``fixed_iterations`` exactly ``max_iter`` steps
     (deterministic, SQL-checkable).  Converged runs leave the model."""
@@ -134,96 +116,43 @@ def lloyd(df: DataFrame, feats: Sequence[str], runs: dict, max_iter: int = 300,
     for _ in range(max_iter):
         if not active:
             break
-        step = {r: cur[r] for r in active}
-        new, _, _ = lloyd_step(df, feats, step, weight, group_col, groups, skip, key_col)
+        new, _, _ = lloyd_step(df, feats, {r: cur[r] for r in active})
         for r in list(active):
             shift = max(np.sum((np.array(a) - np.array(b)) ** 2) for a, b in zip(cur[r], new[r]))
             cur[r] = new[r]
             if not fixed_iterations and shift <= tol * tol:
                 active.discard(r)
-    _, inertia, sizes = lloyd_step(df, feats, cur, weight, group_col, groups, skip, key_col)
+    _, inertia, sizes = lloyd_step(df, feats, cur)
     return cur, inertia, sizes
 
 
-def leave_one_out_labels(df: DataFrame, key: str, feats: Sequence[str], init: list, dropped: Sequence,
-                         max_iter: int = 20) -> DataFrame:
-    """One run per left-out key, all in the same Lloyd passes; returns
-    ``(run, key, cluster)`` for the points each run kept."""
-    runs = {f"loo_{i}": init for i in range(len(dropped))}
-    skip = {f"loo_{i}": str(d) for i, d in enumerate(dropped)}
-    cur, _, _ = lloyd(df, feats, runs, max_iter, skip=skip, key_col=key)
-    ex = _with_model(df.withColumn("_key", F.col(key)), feats, cur, None, None, None, skip, key)
-    return ex.select("run", F.col("_k").alias(key), F.col("n.cluster").alias("cluster"))
-
-
-def kmeans_pp_init(df: DataFrame, key: str, feats: Sequence[str], run_ks: dict, seed: int = 42,
-                   group_col: str | None = None, groups: dict | None = None, weight: Column | None = None) -> dict:
-    """k-means++ seeding for many runs at once: one pass per centre index.
-    A row of ``weight`` w counts as w rows; one of weight 0 is never drawn.
-
-    A point is drawn with probability proportional to D² (distance to the
-    nearest chosen centre) by the exponential-key method: the row with the
-    smallest -ln(u)/D² wins, one ``min_by`` per run (no sampling on the
-    driver, no row collect).  Chosen centres travel as the broadcast model."""
-    spark = df.sparkSession
-    chosen: dict = {r: [] for r in run_ks}
-    kmax = max(run_ks.values())
-    g = F.col(group_col).cast("string") if group_col else F.lit("")
-    base = df.select(F.col(key).cast("string").alias("_key"), F.array(*[F.col(c).cast("double") for c in feats]).alias("_x"),
-                     g.alias("_g"), F.lit(1).alias("_one"), (weight if weight is not None else F.lit(1)).alias("_w"))
-    base = base.where(F.col("_w") > 0)
-    for step in range(kmax):
-        active = [r for r, k in run_ks.items() if len(chosen[r]) < k]
-        if not active:
-            break
-        model = F.broadcast(_model_frame(spark, {r: chosen[r] for r in active}, groups).withColumn("_one", F.lit(1)))
-        j = base.join(model, "_one").select("_key", "_x", "_w", F.inline(F.filter("runs", lambda r: r["grp"] == F.col("_g"))))
-        u = uniform_hash(F.col("_key"), F.col("run"), F.lit(str(step)), seed=seed)
-        d2 = F.when(F.size("centres") > 0, _nearest_hof(F.col("_x"), F.col("centres"))["d2"])
-        score = F.when(d2.isNull(), -F.log(u) / F.col("_w")).when(d2 > 0, -F.log(u) / (d2 * F.col("_w")))
-        rows = j.groupBy("run").agg(F.min_by("_x", score).alias("pt")).collect()
-        got = {r["run"]: r["pt"] for r in rows}
-        for r in active:
-            pt = got.get(str(r))
-            if pt is None:  # fewer distinct points than k: repeat the last centre
-                pt = chosen[r][-1]
-            chosen[r].append([float(x) for x in pt])
-    return chosen
-
-
-def kmeans_fit(df: DataFrame, key: str, feats: Sequence[str], k: int, n_init: int = 10, max_iter: int = 300,
-               seed: int = 42, weight: Column | None = None):
-    """Best of ``n_init`` k-means++ runs by inertia (all runs share each
-    pass).  Returns (centres, inertia)."""
-    runs = {r: k for r in range(n_init)}
-    init = kmeans_pp_init(df, key, feats, runs, seed, weight=weight)
-    cur, inertia, _ = lloyd(df, feats, init, max_iter, weight=weight)
-    best = min(inertia, key=lambda r: (inertia[r], r))
-    return cur[best], inertia[best]
-
-
-def inertia_curve(df: DataFrame, key: str, feats: Sequence[str], ks: Sequence[int], n_init: int = 5,
-                  max_iter: int = 100, seed: int = 42, group_col: str | None = None,
-                  group_values: Sequence | None = None) -> list[tuple]:
-    """C2 (and C4's W_k): best inertia for each k (and each group, e.g. the
-    data and its reference sets); every (group, k, restart) is a run of the
-    same passes."""
-    gv = list(group_values) if group_values is not None else [None]
-    runs, groups = {}, {}
-    for gval in gv:
-        for k in ks:
-            for i in range(n_init):
-                rid = f"{gval}_{k}_{i}"
-                runs[rid] = k
-                groups[rid] = "" if gval is None else str(gval)
-    init = kmeans_pp_init(df, key, feats, runs, seed, group_col, groups)
-    cur, inertia, _ = lloyd(df, feats, init, max_iter, group_col=group_col, groups=groups)
-    out = []
-    for gval in gv:
-        for k in ks:
-            best = min(inertia[f"{gval}_{k}_{i}"] for i in range(n_init))
-            out.append((k, best) if gval is None else (k, gval, best))
-    return out
+def kmeans_fit(df: DataFrame, key: str, feats: Sequence[str], k: int, n_init: int = 50, max_iter: int = 500,
+               seed: int = 42):
+    """Best of ``n_init`` cold k-means++ runs by inertia (all runs share
+    each pass).  Returns (centres, inertia)."""
+    pts = multirun.points(df, key, feats, seed=seed)
+    centres, inertia = multirun.fit_best(pts, [(0, k, n_init)], max_iter)[0, k]
+    return centres.tolist(), inertia
+
+
+def inertia_curve(df: DataFrame, key: str, feats: Sequence[str], ks: Sequence[int], n_init: int = 50,
+                  max_iter: int = 500, seed: int = 42) -> list[tuple[int, float]]:
+    """Best inertia for each k; every (k, restart) is a run of the same passes."""
+    pts = multirun.points(df, key, feats, seed=seed)
+    fits = multirun.fit_best(pts, [(0, k, n_init) for k in ks], max_iter)
+    return [(k, float(fits[0, k][1])) for k in ks]
+
+
+def gap_inertias(df: DataFrame, key: str, feats: Sequence[str], ks: Sequence[int], b: int = 50, n_init: int = 20,
+                 ref_init: int = 10, max_iter: int = 300, seed: int = 42) -> list[tuple[int, int, float]]:
+    """C4's ``(k, ref_set, inertia)``: the data is set 0, sets 1..b are uniform
+    in each column's [min, max] with one point per row.  The sets are made
+    inside the passes and never stored; all of them share each pass."""
+    pts = multirun.points(df, key, feats, seed=seed)
+    ends = pts.agg(*[f(F.col("x")[j]) for f in (F.min, F.max) for j in range(len(feats))]).first()
+    plan = [(s, k, n_init if s == 0 else ref_init) for k in ks for s in range(b + 1)]
+    fits = multirun.fit_best(pts, plan, max_iter, box=(ends[: len(feats)], ends[len(feats):]))
+    return [(k, s, float(inertia)) for (s, k), (_, inertia) in fits.items()]
 
 
 def assign(df: DataFrame, feats: Sequence[str], centres: Sequence[Sequence[float]], name: str = "cluster") -> DataFrame:
@@ -234,19 +163,6 @@ def assign(df: DataFrame, feats: Sequence[str], centres: Sequence[Sequence[float
 
 # ------------------------------------------------------------------ gap statistic
 
-def reference_points(df: DataFrame, key: str, feats: Sequence[str], b: int, seed: int = 42) -> DataFrame:
-    """B reference data sets, uniform in each column's [min, max], one point
-    per real point per set (derived from the real rows, so it scales with
-    them)."""
-    bounds = df.agg(*[F.min(c).alias(f"lo_{c}") for c in feats], *[F.max(c).alias(f"hi_{c}") for c in feats]).first()
-    sets = df.select(key, F.explode(F.sequence(F.lit(1), F.lit(b))).alias("ref_set"))
-    cols = []
-    for c in feats:
-        u = uniform_hash(F.col(key).cast("string"), F.col("ref_set").cast("string"), F.lit(c), seed=seed)
-        cols.append((F.lit(bounds[f"lo_{c}"]) + u * F.lit(bounds[f"hi_{c}"] - bounds[f"lo_{c}"])).alias(c))
-    return sets.select(key, "ref_set", *cols)
-
-
 def gap_from_inertias(inertias: DataFrame, b: int) -> DataFrame:
     """C4 on an inertia table ``(k, ref_set, inertia)`` where ref_set 0 is
     the data: gap = mean_b ln W*_kb − ln W_k; s = std_pop(ln W*) √(1+1/B)."""
@@ -295,23 +211,25 @@ def cluster_names(info: DataFrame, cluster_col: str = "cluster_id") -> DataFrame
     return info.select(cluster_col, F.format_string("%s (%d-%d)", word, F.col("min_rank"), F.col("max_rank")).alias("cluster_name"))
 
 
-def adjusted_rand(df: DataFrame, a: str, b: str, weight: Column | None = None) -> DataFrame:
+def adjusted_rand(df: DataFrame, a: str, b: str, weight: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
     """ARI from the contingency table (groupBy(a, b)); 1.0 when the
-    denominator is 0.  Optional integer weights (bootstrap multiplicities).
-    The contingency table has at most k_a x k_b rows."""
+    denominator is 0.  Optional integer weights (bootstrap multiplicities);
+    ``by`` gives one ARI per group.  The contingency table has at most
+    k_a x k_b rows a group."""
     w = weight if weight is not None else F.lit(1)
-    cont = df.groupBy(a, b).agg(F.sum(w).cast("double").alias("nij"))
+    cont = df.groupBy(*by, a, b).agg(F.sum(w).cast("double").alias("nij"))
     comb = lambda x: x * (x - 1) / 2
-    wa, wb = Window.partitionBy(a), Window.partitionBy(b)
+    wa, wb = Window.partitionBy(*by, a), Window.partitionBy(*by, b)
     cont = cont.select("*", F.sum("nij").over(wa).alias("ai"), F.sum("nij").over(wb).alias("bj"),
                        F.row_number().over(wa.orderBy(b)).alias("ra"), F.row_number().over(wb.orderBy(a)).alias("rb"))
-    one = cont.agg(F.sum(comb(F.col("nij"))).alias("I"), F.sum("nij").alias("N"),
-                   F.sum(F.when(F.col("ra") == 1, comb(F.col("ai")))).alias("A"),
-                   F.sum(F.when(F.col("rb") == 1, comb(F.col("bj")))).alias("B"))
+    one = cont.groupBy(*by).agg(F.sum(comb(F.col("nij"))).alias("I"), F.sum("nij").alias("N"),
+                                F.sum(F.when(F.col("ra") == 1, comb(F.col("ai")))).alias("A"),
+                                F.sum(F.when(F.col("rb") == 1, comb(F.col("bj")))).alias("B"))
     # a single row has no pair of rows: the agreement is 1 by definition
     e = F.try_divide(F.col("A") * F.col("B"), comb(F.col("N")))
     den = (F.col("A") + F.col("B")) / 2 - e
-    return one.select(F.when(e.isNull() | (den == 0), F.lit(1.0)).otherwise((F.col("I") - e) / den).alias("ari"))
+    ari = F.when(e.isNull() | (den == 0), F.lit(1.0)).otherwise((F.col("I") - e) / den)
+    return one.select(*by, ari.alias("ari"))
 
 
 def match_rate(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -324,20 +242,6 @@ def stability_grade(mean_ari: Column) -> Column:
     return F.when(mean_ari > 0.7, "GOOD").when(mean_ari > 0.5, "MODERATE").otherwise("POOR")
 
 
-def poisson1_weight(key: Column, run: Column, seed: int = 42) -> Column:
-    """Bootstrap multiplicity ~ Poisson(1) from a hash uniform (inverse CDF);
-    the scalable stand-in for a multinomial draw of n rows.  Bounds run
-    until the distribution function reaches 1 in double precision."""
-    u = uniform_hash(key.cast("string"), run.cast("string"), seed=seed)
-    cdf, p, k, bounds = 0.0, math.exp(-1.0), 0, []
-    while cdf + p > cdf:
-        cdf += p
-        bounds.append(cdf)
-        k += 1
-        p /= k
-    return F.size(F.filter(F.array(*[F.lit(c) for c in bounds]), lambda c: c < u))
-
-
 # ------------------------------------------------------------------ DBSCAN
 
 def dbscan(df: DataFrame, key: str, order: str, feats: Sequence[str], eps: float | Sequence[float],

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from leafline.operators import cluster as C
 from leafline.operators import features as E
+from leafline.operators import multirun as M
 from leafline.operators import profile as P
 from leafline.operators import strategy as R
 from leafline.plans.analysis_plans import DENSE, FEAT_SQL, FOCUS
@@ -26,6 +27,8 @@ K = 5
 ITERS = 8
 EPS, MIN_SAMPLES = 0.8, 5
 SWEEP = [0.6, 0.8, 1.1]
+#: sizes of the searches: k, restarts, reference sets, bootstrap draws and their restarts, left-out rows
+K_RANGE, N_INIT, B, DRAWS, RESTARTS, LOO = range(2, 16), 50, 50, 100, 20, 20
 
 
 def _z(spark, sf):
@@ -77,28 +80,29 @@ def q_kmeans_inertia(spark, sf):
     return spark.createDataFrame([(round(inertia, 4),)], "inertia double")
 
 
+def _fit(z, ks=(K,)):
+    """C1 as the final clustering runs it: best of 50 cold starts for each k, all in shared passes."""
+    fits = M.fit_best(M.points(z, KEY, CL), [(0, k, N_INIT) for k in ks], max_iter=500)
+    return {k: fits[0, k] for k in ks}
+
+
 def q_kmeans_fit(spark, sf):
     z = _z(spark, sf)
-    centres, inertia = C.kmeans_fit(z, KEY, CL, K, n_init=4, max_iter=50)
+    centres, inertia = _fit(z)[K]
     a = C.relabel_by_rank(C.assign(z, CL, centres), "cluster", "rank")
-    return a.select(KEY, "rank", "cluster_id", F.lit(inertia).alias("inertia"))
+    return a.select(KEY, "rank", "cluster_id", F.lit(float(inertia)).alias("inertia"))
 
 
 def q_inertia_curve(spark, sf):
-    z = _z(spark, sf)
-    rows = C.inertia_curve(z, KEY, CL, list(range(2, 8)), n_init=2, max_iter=30)
+    rows = C.inertia_curve(_z(spark, sf), KEY, CL, K_RANGE, n_init=N_INIT, max_iter=500)
     return spark.createDataFrame(rows, "k int, inertia double")
 
 
 def q_gap_statistic(spark, sf):
-    z = _z(spark, sf)
-    b = 3
-    real = z.select(KEY, *CL, F.lit(0).alias("ref_set"))
-    both = real.unionByName(C.reference_points(z, KEY, CL, b).select(KEY, *CL, "ref_set"))
-    rows = C.inertia_curve(both, KEY, CL, list(range(2, 6)), n_init=2, max_iter=30, group_col="ref_set",
-                           group_values=list(range(b + 1)))
-    inert = spark.createDataFrame([(k, int(g), w) for k, g, w in rows], "k int, ref_set int, inertia double")
-    gaps = C.gap_from_inertias(inert, b)
+    """B reference sets, 20 restarts on the data and 10 on each set, for each k."""
+    rows = C.gap_inertias(_z(spark, sf), KEY, CL, K_RANGE, B)
+    inert = spark.createDataFrame(rows, "k int, ref_set int, inertia double")
+    gaps = C.gap_from_inertias(inert, B)
     return gaps.withColumn("k_gap", F.lit(C.gap_rule(gaps).first()["k_gap"]))
 
 
@@ -169,40 +173,41 @@ def q_dbscan_sweep(spark, sf):
     return sizes.join(named, "eps", "left").select("eps", "n_clusters", "n_outliers", "outliers")
 
 
+def _base(z):
+    """The final clustering: ``z`` with ``cluster_id`` by mean rank."""
+    return C.relabel_by_rank(C.assign(z, CL, _fit(z)[K][0]), "cluster", "rank")
+
+
 def q_bootstrap_stability(spark, sf):
-    z = _z(spark, sf)
-    base, _ = _fixed(z)
-    init = [[float(x) for x in r] for r in base.groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in CL]).orderBy("cluster_id").drop("cluster_id").collect()]
-    n_boot = 5
-    aris = []
-    for b in range(n_boot):
-        w = C.poisson1_weight(F.col(KEY), F.lit(b))
-        cur, _, _ = C.lloyd(z, CL, {0: init}, max_iter=20, weight=w)
-        lab = C.assign(z, CL, cur[0], "boot").withColumn("_w", w).where("_w > 0")
-        j = lab.join(base.select(KEY, "cluster_id"), KEY)
-        aris.append(C.adjusted_rand(j, "cluster_id", "boot", F.col("_w")).first()["ari"])
-    df = spark.createDataFrame([(i, float(a)) for i, a in enumerate(aris)], "run int, ari double")
-    s = df.agg(F.avg("ari").alias("mean_ari"), F.stddev_pop("ari").alias("std_ari"))
+    """Draws of n rows with replacement, each clustered anew from cold starts
+    and compared with the final clustering on the rows it drew."""
+    base = _base(_z(spark, sf)).select(KEY, "cluster_id", *CL)
+    pts = M.points(M.bootstrap_draws(base, KEY, DRAWS), KEY, CL, F.col("draws"), F.col("cluster_id"))
+    fits = M.fit_best(pts, [(d, K, RESTARTS) for d in range(DRAWS)])
+    cont = M.contingency(pts, {d: centres for (d, _), (centres, _) in fits.items()})
+    aris = C.adjusted_rand(cont, "label", "cluster", F.col("w"), by=["run"])
+    s = aris.agg(F.round(F.avg("ari"), 6).alias("mean_ari"), F.round(F.stddev_pop("ari"), 6).alias("std_ari"), F.count("*").alias("draws"))
     return s.withColumn("grade", C.stability_grade(F.col("mean_ari")))
 
 
 def q_loo_stability(spark, sf):
+    """Share of the focus cluster that stays with the focus when one other row is
+    left out, for 20 rows; each time clustered anew from cold starts."""
     z = _z(spark, sf)
-    base, _ = _fixed(z)
-    init = [[float(x) for x in r] for r in base.groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in CL])
-            .orderBy("cluster_id").drop("cluster_id").collect()]
     order = C.uniform_hash(F.col(KEY).cast("string"), seed=123)
-    dropped = [r[0] for r in z.where(F.col("c_name") != FOCUS).orderBy(order, KEY).select(KEY).limit(20).collect()]
-    lab = C.leave_one_out_labels(z, KEY, CL, init, dropped)
-    focus_key = z.where(F.col("c_name") == FOCUS).select(KEY)
-    focus_lab = lab.join(focus_key, KEY).select("run", F.col("cluster").alias("fc"))
-    own = base.where(F.col("c_name") == FOCUS).select("cluster_id")
-    peers = base.join(own, "cluster_id").where(F.col("c_name") != FOCUS).select(KEY)
-    n_peers = peers.count()
-    kept = lab.join(focus_lab, "run").where(F.col("cluster") == F.col("fc")).join(peers, KEY)
-    per = kept.groupBy("run").agg((F.count("*") / F.lit(max(n_peers, 1))).alias("peer_overlap"))
-    return per.agg(F.avg("peer_overlap").alias("mean_overlap"), F.min("peer_overlap").alias("min_overlap"),
-                   F.count("*").alias("runs")).withColumn("stable", F.col("mean_overlap") > 0.7)
+    dropped = [r[0] for r in z.where(F.col("c_name") != FOCUS).orderBy(order, KEY).select(KEY).limit(LOO).collect()]
+    base = _base(z)
+    pts = M.points(base, KEY, CL, M.left_out(F.col(KEY), dropped), F.col("cluster_id"))
+    fits = M.fit_best(pts, [(i, K, RESTARTS) for i in range(len(dropped))])
+    focus = base.where(F.col("c_name") == FOCUS).select("cluster_id", *CL).first()
+    own, at = (focus["cluster_id"], [focus[c] for c in CL]) if focus else (-1, [0.0] * len(CL))
+    near = [(i, int(((c - at) ** 2).sum(axis=1).argmin())) for (i, _), (c, _) in fits.items()]
+    near = F.broadcast(spark.createDataFrame(near, "run int, cluster int"))  # one row per left-out row
+    kept = M.contingency(pts, {i: c for (i, _), (c, _) in fits.items()}).join(near, ["run", "cluster"]).where(F.col("label") == own)
+    n = base.where(F.col("cluster_id") == own).count()
+    per = kept.select((F.col("w") / F.lit(max(n, 1))).alias("overlap"))
+    return per.agg(F.round(F.avg("overlap"), 6).alias("mean_overlap"), F.round(F.min("overlap"), 6).alias("min_overlap"), F.count("*").alias("runs"),
+                   F.count_if(F.col("overlap") > 0.7).alias("stable_runs"))
 
 
 def _member_centres(z, a):
@@ -234,12 +239,10 @@ def q_candidate_k(spark, sf):
     """K-means++ fits for k = 5, 6, 7 in shared passes; the k with the
     best centroid silhouette (first on ties); the focus cluster per k."""
     z = _z(spark, sf)
-    runs = {f"k{k}": k for k in (5, 6, 7)}
-    init = C.kmeans_pp_init(z, KEY, CL, runs)
-    cur, _, _ = C.lloyd(z, CL, init, 50)
+    fits = _fit(z, (5, 6, 7))
     rows = []
     for k in (5, 6, 7):
-        a = C.relabel_by_rank(C.assign(z, CL, cur[f"k{k}"]), "cluster", "rank")
+        a = C.relabel_by_rank(C.assign(z, CL, fits[k][0]), "cluster", "rank")
         cen = [[float(r[c]) for c in CL] for r in z.join(a.select(KEY, "cluster_id"), KEY).groupBy("cluster_id")
                .agg(*[F.avg(c).alias(c) for c in CL]).orderBy("cluster_id").collect()]
         sil = C.centroid_silhouette(a.drop("cluster").withColumnRenamed("cluster_id", "cluster"), CL, cen, "cluster")

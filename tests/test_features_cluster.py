@@ -77,6 +77,9 @@ def test_kmeans_fit_and_ari(spark, pts):
     assert C.adjusted_rand(lab, "cluster", "truth").first()["ari"] == pytest.approx(1.0)
     same = lab.withColumn("perm", (F.col("cluster") + 1) % 3)
     assert C.adjusted_rand(same, "cluster", "perm").first()["ari"] == pytest.approx(1.0)
+    runs = lab.withColumn("run", F.lit(1)).unionByName(lab.withColumn("run", F.lit(2)).withColumn("cluster", F.lit(0)))
+    got = {r["run"]: r["ari"] for r in C.adjusted_rand(runs, "cluster", "truth", by=["run"]).collect()}
+    assert got == {1: pytest.approx(1.0), 2: pytest.approx(0.0)}
     one = lab.withColumn("one", F.lit(0))
     assert C.adjusted_rand(one, "one", "one").first()["ari"] == 1.0
 
@@ -134,21 +137,3 @@ def test_kth_neighbour_loses_no_row(spark):
     assert got == {i: pytest.approx(sorted(abs(x - v) for v in xs)[2]) for i, x in enumerate(xs)}
     few = kth_distance(far.limit(2), "id", ["x", "y"], 3).collect()
     assert len(few) == 2 and all(r["k_distance"] is None for r in few)
-
-
-def test_poisson_weights(spark):
-    n = 20_000
-    w = spark.range(n).select(C.poisson1_weight(F.col("id"), F.lit(1)).alias("w"))
-    mean, var, top = w.agg(F.avg("w"), F.var_pop("w"), F.max("w")).first()
-    assert mean == pytest.approx(1, abs=0.03) and var == pytest.approx(1, abs=0.06) and top >= 6
-
-
-def test_weighted_seeding_draws_by_weight(spark):
-    rows = [(i, float(i % 4) * 10.0, float(i % 4 != 3)) for i in range(40)]
-    df = spark.createDataFrame(rows, "k long, x double, w double")
-    runs = {r: 3 for r in range(10)}
-    got = C.kmeans_pp_init(df, "k", ["x"], runs, weight=F.col("w"))
-    assert all(sorted(c[0] for c in got[r]) == [0.0, 10.0, 20.0] for r in runs)
-    heavy = spark.createDataFrame([(i, float(i), 1000.0 if i == 7 else 0.001) for i in range(20)], "k long, x double, w double")
-    first = C.kmeans_pp_init(heavy, "k", ["x"], {r: 1 for r in range(10)}, weight=F.col("w"))
-    assert all(first[r] == [[7.0]] for r in range(10))
