@@ -40,7 +40,7 @@ def work_partitions(df: DataFrame) -> int:
     return max(n, spark.sparkContext.defaultParallelism)
 
 
-def candidate_leaves(records: DataFrame, key: str, json_col: str = "json", max_depth: int = 8,
+def candidate_leaves(records: DataFrame, key: str, json_col: str = "json", max_depth: int | None = None,
                      legacy_zero_strip: bool = False, by_key: bool = True) -> DataFrame:
     """F2 + A2-A5: leaves with their ordered, deduplicated candidates.
 
@@ -64,7 +64,7 @@ def _match(c: Column, lower: Column, compact: Column, digits: Column) -> Column:
 
 
 def audit_records(records: DataFrame, texts: DataFrame, key: str, json_col: str = "json",
-                  text_col: str = "text", max_depth: int = 8, legacy_zero_strip: bool = False) -> DataFrame:
+                  text_col: str = "text", max_depth: int | None = None, legacy_zero_strip: bool = False) -> DataFrame:
     """One row per record that has a text: ``key, results`` where results is
     the array of per-leaf verdicts (A7), plus the A8 report columns."""
     leaves = candidate_leaves(records, key, json_col, max_depth, legacy_zero_strip)

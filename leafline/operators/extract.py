@@ -153,14 +153,15 @@ def complete_categories(entities: DataFrame, key: str, facts: DataFrame, categor
 
 
 def template_conformance(records: DataFrame, key: str, template_paths: Sequence[str],
-                         json_col: str = "json", max_depth: int = 8) -> DataFrame:
+                         json_col: str = "json") -> DataFrame:
     """Per record the template paths it lacks (``missing``) and the
     paths it has beyond the template (``unexpected``, X9's additional
-    fields).  Row-local set differences against a fixed path list."""
-    from leafline.operators.flatten import leaf_array
+    fields), at any depth.  Row-local set differences against a fixed path
+    list; a record that is no JSON has NULL in both."""
+    from leafline.operators.flatten import json_depth, leaf_array
 
     v = F.try_parse_json(F.col(json_col))
-    paths = F.transform(leaf_array(v, max_depth), lambda n: n["path"])
+    paths = F.transform(leaf_array(v, F.when(v.isNotNull(), json_depth(F.col(json_col)))), lambda n: n["path"])
     tmpl = F.array(*[F.lit(p) for p in template_paths])
     return records.select(
         key,
@@ -170,11 +171,11 @@ def template_conformance(records: DataFrame, key: str, template_paths: Sequence[
 
 
 def additional_fields(records: DataFrame, key: str, template_paths: Sequence[str],
-                      json_col: str = "json", max_depth: int = 8) -> DataFrame:
+                      json_col: str = "json") -> DataFrame:
     """Leaves outside the template, as ``(key, path, value_text)``."""
     from leafline.operators.flatten import flatten_leaves
 
-    leaves = flatten_leaves(records, [key], json_col, max_depth, spread=False)
+    leaves = flatten_leaves(records, [key], json_col)
     return leaves.where(~F.col("path").isin(*template_paths)).select(key, "path", "value_text")
 
 

@@ -1,8 +1,8 @@
 """F — nested records to leaves, flat rows and child tables.
 
 A record is a JSON text per row.  It is parsed once into a VARIANT; the
-leaves are found with higher-order functions unrolled to ``max_depth``
-levels, all inside the row, so no step shuffles.  VARIANT stores object
+leaves are found by higher-order functions, one level of containers at a time
+for as many levels as the text nests, all inside the row, so no step shuffles.  VARIANT stores object
 keys sorted, so the leaf order inside one record is sorted-key order (the
 reference keeps insertion order; nothing downstream depends on it).
 """
@@ -55,16 +55,38 @@ def _expand(n: Column, keep_arrays: bool) -> Column:
     return out.otherwise(F.array(n))
 
 
-def leaf_array(v: Column, max_depth: int = 8, keep_arrays: bool = False) -> Column:
-    """Array of (path, v, t) for every leaf of variant ``v``.
+def json_depth(text: Column) -> Column:
+    """How deep the brackets of a JSON text nest; 0 for a scalar, NULL for NULL.
+
+    Escapes go first, then strings, then all that is no bracket; what is left
+    has two characters a container.  For a text that is no JSON the number
+    means nothing."""
+    brackets = text
+    for pattern in ("\\\\.", '"[^"]*"', "[^\\[\\]{}]+"):
+        brackets = F.regexp_replace(brackets, pattern, "")
+    steps = F.transform(F.split(brackets, ""), lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0))
+    walk = F.aggregate(
+        steps, F.struct(F.lit(0).alias("now"), F.lit(0).alias("top")),
+        lambda acc, d: F.struct((acc["now"] + d).alias("now"), F.greatest(acc["top"], acc["now"] + d).alias("top")),
+    )
+    return walk["top"]
+
+
+def leaf_array(v: Column, depth: Column, keep_arrays: bool = False) -> Column:
+    """Array of (path, v, t) for every leaf of variant ``v`` whose containers
+    nest ``depth`` deep (``json_depth`` of its text).
 
     Paths are ``a.b[0].c``.  Empty objects and arrays yield nothing; JSON
     null is a leaf.  With ``keep_arrays`` arrays are leaves themselves (F3).
     Each node is typed once; later levels only read its tag."""
-    level = F.array(_node(F.lit(""), v, keep_arrays))
-    for _ in range(max_depth):
-        level = F.flatten(F.transform(level, lambda n: _expand(n, keep_arrays)))
-    return level
+    root = F.array(_node(F.lit(""), v, keep_arrays))
+    levels = F.slice(F.sequence(F.lit(0), depth), 2, depth)  # one entry a level, none for depth 0
+    return F.aggregate(levels, root, lambda nodes, _: F.flatten(F.transform(nodes, lambda n: _expand(n, keep_arrays))))
+
+
+def _depth(json_col: str, max_depth: int | None) -> Column:
+    depth = F.coalesce(json_depth(F.col(json_col)), F.lit(0))
+    return depth if max_depth is None else F.least(depth, F.lit(max_depth))
 
 
 def scalar_kind(v: Column, t: Column | None = None) -> Column:
@@ -131,25 +153,24 @@ def flatten_leaves(
     df: DataFrame,
     keys: Sequence[str],
     json_col: str = "json",
-    max_depth: int = 8,
+    max_depth: int | None = None,
     keep_arrays: bool = False,
-    spread: bool = True,
+    spread: bool = False,
 ) -> DataFrame:
     """one row per leaf ``(keys..., ord, path, kind, value, value_text)``.
 
-    A container still unopened at ``max_depth`` is reported with kind
-    ``depth_exceeded``; an unparsable record gives one ``invalid_json`` row.
-    With ``spread`` the records are first hash-partitioned by key over the
-    session's shuffle width: one record becomes many leaves, so the work is
-    spread before it grows, and the leaves come out partitioned by key for
-    any later per-record group-by or join."""
+    Records may nest to any depth; with a ``max_depth`` a container below it is
+    reported with kind ``depth_exceeded``.  An unparsable record gives one
+    ``invalid_json`` row.  Nothing is shuffled, but with ``spread`` the records are
+    hash-partitioned by key first, so that the leaves come out partitioned
+    for a later per-record group-by or join."""
     src = df.select(*keys, json_col)
     if spread:
         from leafline.operators.audit import work_partitions
 
         src = src.repartition(work_partitions(src), *keys)
     parsed = parse_records(src, json_col)
-    arr = leaf_array(F.col("record"), max_depth, keep_arrays)
+    arr = leaf_array(F.col("record"), _depth(json_col, max_depth), keep_arrays)
     exploded = parsed.select(
         *keys,
         "parse_error",
@@ -179,12 +200,12 @@ def flatten_leaves(
     return out.where(F.col("kind") != "container")
 
 
-def flatten_scalars(df: DataFrame, keys: Sequence[str], json_col: str = "json", max_depth: int = 8) -> DataFrame:
+def flatten_scalars(df: DataFrame, keys: Sequence[str], json_col: str = "json", max_depth: int | None = None) -> DataFrame:
     """scalar leaves outside arrays (paths without ``[``); nulls kept."""
     return flatten_leaves(df, keys, json_col, max_depth).where(~F.col("path").contains("["))
 
 
-def normalize_keep_arrays(df: DataFrame, keys: Sequence[str], json_col: str = "json", max_depth: int = 8) -> DataFrame:
+def normalize_keep_arrays(df: DataFrame, keys: Sequence[str], json_col: str = "json", max_depth: int | None = None) -> DataFrame:
     """like F1 but an array is one value, rendered as JSON text."""
     return flatten_leaves(df, keys, json_col, max_depth, keep_arrays=True)
 

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from leafline.functions.text import strip_fences
+from leafline.operators import extract as X
 from leafline.operators import flatten as FL
 from leafline.operators import links as L
 from leafline.operators import text as T
@@ -33,6 +34,27 @@ def test_flatten_edge_cases(spark):
     assert [r["kind"] for r in got if r["id"] == 9] == ["invalid_json"]
 
 
+def test_json_depth_and_records_of_any_depth(spark):
+    deep = '{"a":' * 12 + '[1,{"z":"} ] \\\\\\" {"},[]]' + "}" * 12
+    texts = [deep, '{"s":"[[[{{\\""}', "3", "[]", "{}", '"[["', None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, json string")
+    depth = {r["id"]: r["d"] for r in df.select("id", FL.json_depth(F.col("json")).alias("d")).collect()}
+    assert depth == {0: 14, 1: 1, 2: 0, 3: 1, 4: 1, 5: 0, 6: None}
+    path = ".".join("a" * 12)
+    leaves = [(r["path"], r["kind"], r["value_text"]) for r in FL.flatten_leaves(df.where("id = 0"), ["id"]).orderBy("ord").collect()]
+    assert leaves == [(path + "[0]", "int", "1"), (path + "[1].z", "str", '} ] \\" {')]
+    kept = FL.normalize_keep_arrays(df.where("id = 0"), ["id"]).collect()
+    assert [(r["path"], r["kind"]) for r in kept] == [(path, "array")]
+    got = {r["id"]: (r["missing"], r["unexpected"]) for r in X.template_conformance(df, "id", [path + "[0]", "b"]).collect()}
+    assert got[0] == (["b"], [path + "[1].z"]) and got[1] == ([path + "[0]", "b"], ["s"]) and got[6] == (None, None)
+
+
+def test_flatten_does_not_shuffle(spark):
+    df = spark.createDataFrame([(1, "{}")], "id long, json string")
+    for out in (FL.flatten_leaves(df, ["id"]), FL.flatten_scalars(df, ["id"]), FL.normalize_keep_arrays(df, ["id"])):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_flatten_depth_limit_reported(spark):
     df = spark.createDataFrame([(1, json.dumps({"a": {"b": {"c": {"d": 1}}}}))], "id long, json string")
     got = FL.flatten_leaves(df, ["id"], max_depth=2).collect()
