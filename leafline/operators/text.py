@@ -121,7 +121,11 @@ def main_container_text(html: Column, min_chars: int = REF_MIN_CHARS) -> Column:
 def strip_ads(html: Column, class_words: Sequence[str] = ()) -> Column:
     """Remove iframes and elements (of any tag) whose id/class carries an ad
     pattern, whose class list has one of ``class_words`` as a whole word, or that
-    carry an ad marker attribute; an element ends at its first closing tag."""
+    carry an ad marker attribute.
+
+    An element ends at the end tag that balances it, whatever it nests; a void
+    element is its tag alone.  An element that nothing closes stays, and so does all
+    after it.  Comments, scripts and styles are not searched for tags.  NULL stays NULL."""
     t = F.regexp_replace(html, "(?is)<iframe\\b.*?(</iframe>|/>)", "")
     attr = []
     for p in REF_AD_ID_PATTERNS:
@@ -133,7 +137,43 @@ def strip_ads(html: Column, class_words: Sequence[str] = ()) -> Column:
     for a in REF_AD_ATTRIBUTES:
         attr.append(f"\\b{a}\\b")
     attrs = "|".join(attr)
-    return F.regexp_replace(t, f"(?is)<([a-z][a-z0-9]*)\\b[^>]*(?:{attrs})[^>]*>.*?</\\1>", "")
+    pieces = F.regexp_extract_all(t, F.lit(HTML_PIECES), 0)
+    cuts = _balanced_cuts(pieces, f"(?is)^<[a-z][a-z0-9]*\\b[^>]*(?:{attrs})")
+    starts = F.concat(F.array(F.lit(1)), F.transform(cuts, lambda c: c["last"] + 1))
+    ends = F.concat(F.transform(cuts, lambda c: c["first"]), F.array(F.size(pieces) + 1))
+    kept = F.zip_with(starts, ends, lambda a, b: F.array_join(F.slice(pieces, a, b - a), ""))
+    return F.array_join(kept, "")
+
+
+#: a page cut at its tags; joined, the pieces are the page again
+HTML_PIECES = "(?is)<!--.*?-->|<(script|style)\\b.*?</\\1\\s*>|<[^>]*>|[^<]+|<"
+VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
+
+
+def _balanced_cuts(pieces: Column, wanted: str) -> Column:
+    """Places (first, last), from 1, of the outermost elements whose start tag matches ``wanted``.
+
+    One fold over the pieces: it holds the open element's name and how deep that name nests."""
+    name = lambda x: F.lower(F.regexp_extract(x, "^</?([A-Za-z][A-Za-z0-9]*)", 1))
+    tags = F.transform(pieces, lambda x, i: F.struct(
+        (i + 1).alias("at"), name(x).alias("name"), x.startswith("</").alias("end"),
+        (name(x).isin(*VOID_TAGS) | x.rlike("(?i)^<(script|style)\\b")).alias("alone"), x.rlike(wanted).alias("wanted")))
+    tags = F.filter(tags, lambda x: x["name"] != "")
+    zero = F.struct(F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("first"),
+                    F.array().cast("array<struct<first:int,last:int>>").alias("cuts"))
+
+    def step(acc: Column, x: Column) -> Column:
+        outside = acc["depth"] == 0
+        begins = outside & x["wanted"]
+        same = ~outside & (x["name"] == acc["name"]) & ~x["alone"]
+        depth = F.when(begins & ~x["alone"], 1).when(same, acc["depth"] + F.when(x["end"], -1).otherwise(1)).otherwise(acc["depth"])
+        first = F.when(begins, x["at"]).otherwise(acc["first"])
+        closed = (begins & x["alone"]) | (same & (depth == 0))
+        cut = F.array(F.struct(first.alias("first"), x["at"].alias("last")))
+        return F.struct(F.when(begins, x["name"]).otherwise(acc["name"]).alias("name"), depth.alias("depth"), first.alias("first"),
+                        F.when(closed, F.concat(acc["cuts"], cut)).otherwise(acc["cuts"]).alias("cuts"))
+
+    return F.aggregate(tags, zero, step, lambda acc: acc["cuts"])
 
 
 # ---------------------------------------------------------------- lines

@@ -170,3 +170,23 @@ def test_metric_sets_keep_existing_features(spark):
     m = spark.createDataFrame([("s", 0, "A", "a"), ("s", 1, "X", "x"), ("t", 0, "AA", "a"), ("t", 1, "C", "c")], "metric_set string, place int, metric string, feature string")
     got = sorted(tuple(r) for r in metric_set_tables(c, m).select("metric_set", "place", "metric", "feature", "focus").collect())
     assert got == [("s", 0, "A", "a", 1.0), ("t", 0, "AA", "a", 1.0), ("t", 1, "C", "c", None)]
+
+
+def test_strip_ads_ends_at_the_balancing_tag(spark):
+    cases = [
+        ('a<div class="ad"><div>x</div>y<DIV>z</DIV></div>b', "ab"),
+        ('a<div class="ad"><span>x</div>b<div>c</div>', "ab<div>c</div>"),
+        ('<section class="ad"><div class="ad">x</div></section><p>k</p>', "<p>k</p>"),
+        ('a<img class="ad">b<div class="ad">x</div>c', "abc"),
+        ('a<div class="ad">never closed <p>b</p>', 'a<div class="ad">never closed <p>b</p>'),
+        ('<div class="ad"><!-- </div> --><script>"</div>"</script>x</div>y', "y"),
+        ("1 < 2 <b>plain</b> <", "1 < 2 <b>plain</b> <"),
+        ("", ""),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(cases)], "id long, html string")
+    got = [r["t"] for r in df.select("id", T.strip_ads(F.col("html"), class_words=("ad",)).alias("t")).orderBy("id").collect()]
+    assert got == [w for _, w in cases]
+    wide = '<div class="ad">' + "<div>x</div>" * 20_000 + "</div>" + "<p>k</p>" * 20_000
+    one = spark.createDataFrame([(wide,)], "html string").select(T.strip_ads(F.col("html"), class_words=("ad",)).alias("t")).first()["t"]
+    assert one == "<p>k</p>" * 20_000
