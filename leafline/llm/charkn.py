@@ -31,7 +31,9 @@ START, END = 2, 3
 #: types that every task holds at most (about 50 MB), the same for any corpus
 HOT = 1 << 20
 #: code points worked on at once, and types held before they are merged; more than half of that is sent
-SLICE_CHARS, FLUSH_TYPES = 500_000, 500_000
+SLICE_CHARS, FLUSH_TYPES = 150_000, 400_000
+#: rows sent at once, so that no worker holds many as Python strings
+SENT_ROWS = 50_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 SCORED_SCHEMA = "_id bigint, _th bigint, _kind int, _values array<double>, _n bigint, g string, _c bigint, _tag string"
@@ -131,15 +133,18 @@ def _counter(classes: int, once: bool) -> Callable:
 
         def merged():
             keys, grams, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             return keys[first], grams[order[first]], np.add.reduceat(counts[order], first, axis=0)
 
-        def frame(h):
-            out = {"g": h[1].astype(object)}
-            out |= {f"n{k}": h[2][:, k] for k in range(classes + 1)}
-            return pd.DataFrame(out)
+        def frames(h):
+            for i in range(0, len(h[0]), SENT_ROWS):
+                part = slice(i, i + SENT_ROWS)
+                out = {"g": h[1][part].astype(object)}
+                out |= {f"n{k}": h[2][part, k] for k in range(classes + 1)}
+                yield pd.DataFrame(out)
 
         for batch in batches:
             texts, cls = batch["text"].tolist(), batch["cls"].to_numpy()
@@ -161,13 +166,14 @@ def _counter(classes: int, once: bool) -> Callable:
                 held.append((keys[where], gram_strings(cps, at[where]), counts))
                 waiting += len(where)
                 if waiting > FLUSH_TYPES:
-                    held = [merged()]
+                    held.append(merged())
                     waiting = len(held[0][0])
                     if waiting > FLUSH_TYPES // 2:
-                        yield frame(held[0])
-                        held, waiting = [], 0
+                        yield from frames(held.pop())
+                        waiting = 0
+                        give_back()
         if held:
-            yield frame(merged())
+            yield from frames(merged())
         give_back()
 
     return count

@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,3 +181,20 @@ def test_distinct_is_unique():
         at, number = distinct(values)
         assert (np.sort(values[at]) == np.unique(values)).all() and (values[at][number] == values).all()
         assert all(values[:k].tolist().count(values[k]) == 0 for k in at[:200])
+
+
+def test_counter_sends_small_frames_and_holds_little():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, rng.integers(97, 123, 5_000))) for _ in range(240)]
+    batches = [pd.DataFrame({"text": texts[i : i + 80], "cls": np.arange(80) % 2}) for i in range(0, 240, 80)]
+    tracemalloc.start()
+    rows, total, largest = 0, 0, 0
+    for out in charkn._counter(2, True)(iter(batches)):
+        rows, total, largest = rows + len(out), total + out["n2"].sum(), max(largest, len(out))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = sum(len({("\x02" * 4 + t + "\x03")[i : i + 5] for i in range(len(t) + 1)}) for t in texts)
+    assert total == want
+    assert largest <= 50_000 and peak < 110e6
