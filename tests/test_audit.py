@@ -131,3 +131,14 @@ def test_legacy_zero_strip(spark):
     case = [("0.2", "only 2% here", None)]
     assert verdicts(spark, case) == {0: NO}
     assert verdicts(spark, case, legacy_zero_strip=True) == {0: ("percent", "2%")}
+
+
+def test_a_value_is_stripped_once_for_all_its_candidates(spark):
+    from leafline.functions.candidates import string_candidates
+
+    df = spark.createDataFrame([(" May. 5 ",), ("5/13",), ("13/05",), ("NA",), ("  ",), (None,)], "s string")
+    got = df.select(string_candidates(F.col("s")).alias("c"))
+    assert str(got._jdf.queryExecution().analyzed()).count("trim(") == 1
+    assert [[c["text"] for c in r["c"]] for r in got.collect()] == [
+        ["may. 5", "may5", "05/05", "5/5", "may 05"], ["5/13", "513", "may. 13", "may 13"], ["13/05", "1305"],
+        ["na", "n/a", "a/v", "not available"], [], []]
