@@ -31,7 +31,8 @@ Q, RATE = 8, 0.1
 #: items of fewer characters are too short to tell and are searched exactly
 LEAST_CHARS = 40
 MAX_INDEX_CHARS = 4_000_000
-SLICE_CHARS = 1_000_000
+#: characters that a task looks up at once; q-gram tables take about 50 bytes a character
+SLICE_CHARS = 200_000
 BITS = 22
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,11 +53,10 @@ def qgrams(cps: np.ndarray, q: int = Q) -> np.ndarray:
     n = len(cps) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    c = cps.astype(np.uint64)
-    h = c[:n].copy()
+    h = cps[:n].astype(np.uint64)
     for i in range(1, q):
         h *= MULT
-        h += c[i : i + n]
+        h += cps[i : i + n]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(29)

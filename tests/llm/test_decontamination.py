@@ -91,3 +91,26 @@ def test_every_place_of_a_short_item(spark):
     items = spark.createDataFrame([(1, "xyz12"), (2, "aa")], "item_id long, text string")
     got = contaminated_spans(make_docs(spark, [(7, "xyz12 and xyz12 aaa")]), items).collect()
     assert sorted((r["item_id"], r["start"], r["end"]) for r in got) == [(1, 0, 5), (1, 10, 15), (2, 16, 18), (2, 17, 19)]
+
+
+def test_a_task_holds_little_beside_its_batch():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from leafline.llm import decontamination as D
+
+    rng = np.random.default_rng(3)
+    item = "the quick brown fox jumps over the lazy dog again and again"
+    index = D.build_index([(5, item)])
+    texts = ["".join(rng.choice(list("abcdefghij "), 20_000)) for _ in range(150)]
+    texts[77] = texts[77][:9_000] + " " + item + " " + texts[77][9_000:]
+    batch = pd.DataFrame({"_id": range(150), "_th": range(150), "text": texts})
+    run = D._searcher(SimpleNamespace(value=index))
+    tracemalloc.start()
+    found = pd.concat(run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[["_id", "item_id", "edits"]].to_numpy().tolist() == [[77, 5, 0]]
+    assert peak < 20e6, peak
