@@ -305,10 +305,23 @@ def hot_types(table: DataFrame, frequency: str, value: str, most: int = HOT) ->
         least, held = r[frequency], held + r["n"]
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(0)
-    rows = table.where(F.col(frequency) >= least).select("g", frequency, value).toArrow()
-    rows = rows.sort_by([(frequency, "ascending"), ("g", "ascending")])
-    cps = np.frombuffer("".join(rows["g"].to_pylist()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return gram_keys(cps)[::ORDER], rows[value].to_numpy().astype(np.float64)
+    rows = table.where(F.col(frequency) >= least).select("g", F.col(frequency).cast("bigint").alias("f"), F.col(value).cast("double").alias("v"))
+    got = rows.mapInPandas(_keyed, "k bigint, f bigint, v double").toArrow()
+    keys, often, values = (got[c].to_numpy() for c in ("k", "f", "v"))
+    del got
+    keys = keys.view(np.uint64)
+    order = np.lexsort((keys, often))
+    out = keys[order], values[order]
+    give_back()
+    return out
+
+
+def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Types as their keys, so that the driver gets numbers only and holds no strings."""
+    for batch in batches:
+        if len(batch):
+            cps = np.frombuffer("".join(batch["g"]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            yield pd.DataFrame({"k": gram_keys(cps)[::ORDER].astype(np.int64), "f": batch["f"], "v": batch["v"]})
 
 
 def slots(keys: np.ndarray, values: np.ndarray) -> tuple:

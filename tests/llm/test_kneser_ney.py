@@ -198,3 +198,21 @@ def test_counter_sends_small_frames_and_holds_little():
     want = sum(len({("\x02" * 4 + t + "\x03")[i : i + 5] for i in range(len(t) + 1)}) for t in texts)
     assert total == want
     assert largest <= 50_000 and peak < 110e6
+
+
+def test_frequent_types_reach_the_driver_as_numbers(spark):
+    import tracemalloc
+
+    n = 60_000
+    g = F.concat(*[F.char(65 + F.floor(F.col("id") / 26**k) % 26) for k in range(4)], F.lit("\U0001f600"))
+    table = spark.range(n).select(g.alias("g"), (F.col("id") % 7 + 1).alias("f"), F.col("id").cast("double").alias("v"))
+    charkn.hot_types(table.limit(10), "f", "v", 10)
+    tracemalloc.start()
+    keys, values = charkn.hot_types(table, "f", "v", n)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 * n
+    order = np.argsort(values)
+    cps = np.frombuffer("".join(r["g"] for r in table.orderBy("v").collect()).encode("utf-32-le"), dtype=np.uint32)
+    assert (keys[order] == charkn.gram_keys(cps)[::5]).all() and (values[order] == np.arange(n)).all()
+    assert (np.diff((values.astype(int) % 7)) >= 0).all()  # by rising frequency
