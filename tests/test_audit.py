@@ -142,3 +142,27 @@ def test_a_value_is_stripped_once_for_all_its_candidates(spark):
     assert [[c["text"] for c in r["c"]] for r in got.collect()] == [
         ["may. 5", "may5", "05/05", "5/5", "may 05"], ["5/13", "513", "may. 13", "may 13"], ["13/05", "1305"],
         ["na", "n/a", "a/v", "not available"], [], []]
+
+
+def test_numbers_stand_in_the_number_view_where_they_stand_in_the_text(spark):
+    from leafline.functions.text import compact_text, digits_view, number_view
+
+    rng = random.Random(5)
+    parts = ["1", "12", "0", ".", ",", "$", "#", "%", "-", " ", "\n", "a", "word", "é", "中", "😀", "٣", "e"]
+    texts = ["", "no number at all " * 50, "12", "x12", "12x", "$12", "a...12", "1,234.5%"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(400)]
+    wanted = ["1", "12", "0", "1.0", "1,2", "$1", "#12", "12%", "-1", "0.12%", "1..0"]
+    df = spark.createDataFrame([(t, w) for t in texts for w in wanted], "t string, w string").select(
+        "t", "w", bounded_search(F.col("w"), F.col("t")).alias("text"), bounded_search(F.col("w"), number_view(F.col("t"))).alias("view"))
+    got = df.collect()
+    assert sum(r["text"] for r in got) > 100 and [r for r in got if r["text"] != r["view"]] == []
+    one = spark.createDataFrame([("no number at all " * 50 + "or 12, in words. " * 2,)], "t string")
+    assert one.select(number_view(F.col("t"))).first()[0] == "n 12,  12,  "
+    odd = spark.createDataFrame([("ﬁ①a１٣-4 É",)], "t string").select(digits_view(F.col("t")), compact_text(F.col("t")))
+    assert tuple(odd.first()) == ("１٣4", "fi1a14")
+
+
+def test_the_audit_has_as_many_tasks_as_its_work_asks(spark):
+    recs = spark.range(40).select("id", F.lit('{"a": 46}').alias("json"))
+    audited = A.audit_records(recs, spark.range(40).select("id", F.lit("46 of them").alias("text")), "id")
+    assert audited.rdd.getNumPartitions() == A.work_partitions(recs)  # few bytes, but not one task
