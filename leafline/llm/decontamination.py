@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafline.llm.common import read_table, shared_table, text_or_empty
+from leafline.llm.common import giving_back, read_table, shared_table, text_or_empty
 
 Q, RATE = 8, 0.1
 #: items of fewer characters are too short to tell and are searched exactly
@@ -238,7 +238,7 @@ def contaminated_spans(
 
     def flush():
         held = spark.sparkContext.broadcast(build_index(part, Q, rate))
-        found.append(shared_table(rows.mapInPandas(_searcher(held), HITS_SCHEMA), "leaks"))
+        found.append(shared_table(rows.mapInPandas(giving_back(_searcher(held)), HITS_SCHEMA), "leaks"))
         held.destroy()
 
     for r in items.orderBy("item_id", "text").toLocalIterator():

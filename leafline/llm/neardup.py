@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.llm import shingles as sh
-from leafline.llm.common import read_table, shared_table, small_side, text_or_empty
+from leafline.llm.common import giving_back, read_table, shared_table, small_side, text_or_empty
 from leafline.llm.components import components
 
 BANDS, ROWS, THRESHOLD = 8, 3, 0.8
@@ -69,7 +69,7 @@ def _df_counter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def idf_table(rows: DataFrame) -> np.ndarray:
     """ln(1 + N / df) of each hashed cell, from all rows."""
     n = rows.count()
-    parts = rows.select("text").mapInPandas(_df_counter, "cell int, df bigint")
+    parts = rows.select("text").mapInPandas(giving_back(_df_counter), "cell int, df bigint")
     cells = parts.groupBy("cell").agg(F.sum("df").alias("df")).toArrow()
     df = np.ones(1 << DF_BITS)
     df[cells["cell"].to_numpy().astype(np.int64)] = cells["df"].to_numpy().astype(np.float64)
@@ -246,7 +246,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
     full = pairs.join(side("_b"), F.col("b") == F.col("_g_b")).join(side("_a"), F.col("a") == F.col("_g_a"))
     out = full.select("a", "b", "_set_a", "_w_a", "_set_b", "_w_b").mapInPandas(
-        _verifier, "a string, b string, similarity double"
+        giving_back(_verifier), "a string, b string, similarity double"
     )
     return shared_table(out.where(F.col("similarity") >= threshold - 1e-9).select("a", "b"), "near-links", batch_rows=500)
 
@@ -281,7 +281,7 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
     spark = rows.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(rows))
     signed = shared_table(
-        rows.mapInPandas(_signer(idf), "_id bigint, _g string, _weight double, _bands array<bigint>"),
+        rows.mapInPandas(giving_back(_signer(idf)), "_id bigint, _g string, _weight double, _bands array<bigint>"),
         "near-signed", batch_rows=2000,
     )
     nodes = signed.groupBy("_g").agg(
@@ -299,8 +299,10 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
         small_side(involved, 200_000), (F.col("_g") == F.col("_ig")) & F.col("_id").eqNullSafe(F.col("_imin"))
     ).select("_g", "text")
     sets = shared_table(
-        texts.mapInPandas(_packer(idf), "_g string, _len bigint, _set binary, _w binary").dropDuplicates(["_g"]), "near-sets"
+        texts.mapInPandas(giving_back(_packer(idf)), "_g string, _len bigint, _set binary, _w binary").dropDuplicates(["_g"]),
+        "near-sets",
     )
+    idf.destroy()
 
     known = sets.select(F.col("_g").alias("_kg"), "_len")
     bucket = shared_table(
@@ -343,7 +345,7 @@ def near_links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
         side = sets.select(F.col("_g").alias("_sg"), "_set", "_w")
         whole = dealt.join(side, F.col("_g") == F.col("_sg")).drop("_sg")
         whole = whole.repartition("_key", "_lo", "_hi").sortWithinPartitions("_key", "_lo", "_hi")
-        found = shared_table(whole.mapInPandas(_blocks(threshold), "a string, b string"), "near-links", batch_rows=500)
+        found = shared_table(whole.mapInPandas(giving_back(_blocks(threshold)), "a string, b string"), "near-links", batch_rows=500)
         links = links.union(found)
         classes = components(links)
     return signed.select("_id", "_g"), links, classes

@@ -166,3 +166,25 @@ def test_blocks_against_brute_force():
         found = [(int(a[1:]), int(b[1:])) for a, b in found]
         assert {(max(p), min(p)) for p in found} <= set(want) and classes(found) == classes(want)
     assert 1 < len(set(classes(want))) < 30
+
+
+def test_a_worker_gives_memory_back_when_its_own_values_are_gone(monkeypatch):
+    import weakref
+
+    from leafline.llm import common
+
+    class Held:
+        pass
+
+    alive, seen = [], []
+    monkeypatch.setattr(common, "give_back", lambda: seen.append([r() is None for r in alive]))
+
+    def work(batches):
+        held = Held()
+        alive.append(weakref.ref(held))
+        for b in batches:
+            yield b + 1
+        assert held
+
+    assert list(common.giving_back(work)(iter([1, 2]))) == [2, 3]
+    assert seen == [[True]]
