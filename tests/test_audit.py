@@ -166,3 +166,15 @@ def test_the_audit_has_as_many_tasks_as_its_work_asks(spark):
     recs = spark.range(40).select("id", F.lit('{"a": 46}').alias("json"))
     audited = A.audit_records(recs, spark.range(40).select("id", F.lit("46 of them").alias("text")), "id")
     assert audited.rdd.getNumPartitions() == A.work_partitions(recs)  # few bytes, but not one task
+
+
+def test_a_float_is_read_once_for_all_its_candidates(spark):
+    from leafline.functions.candidates import float_candidates
+
+    df = spark.createDataFrame([(0.205,), (0.0,), (-0.0,), (1.0,), (12.5,), (-0.5,), (1e-05,), (float("nan"),)], "d double")
+    got = df.select(float_candidates(F.col("d") + 0.0).alias("c"))
+    assert str(got._jdf.queryExecution().analyzed()).count("+ 0.0") <= 2  # the plan names it once, the schema may again
+    assert [[c["text"] for c in r["c"]] for r in got.collect()][:3] == [
+        ["0.205", "20%", "20", "20.5%", "20.5"], ["0", "0%"], ["0", "0%"]]
+    plain = df.select(float_candidates(F.col("d"), legacy_zero_strip=True).alias("c")).collect()
+    assert [c["text"] for c in plain[3]["c"]] == ["1", "1%", "100%", "100"] and len(plain[4]["c"]) == 1
